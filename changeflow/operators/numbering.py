@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeflow.operators.skew import SEGMENT_WIDTH, segment_of
+from changeflow.operators.skew import segment_of
 from changeflow.options import MigrationOptions
 from changeflow.session import pin
 
@@ -18,7 +18,7 @@ def prefix_sum(df: DataFrame, id_col: str, value: Column, out: str) -> DataFrame
     most 65,536 blocks, so the block totals are small enough for one window and for a broadcast.
     """
     blocks = df.withColumn("_value", value.cast("long")).withColumn(
-        "_block", segment_of(F.col(id_col), SEGMENT_WIDTH)
+        "_block", segment_of(F.col(id_col))
     )
     earlier = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -14,6 +14,11 @@ from changeflow.operators.numbering import prefix_sum
 from changeflow.operators.skew import segment_of
 
 
+def divide(value: Column, by: int) -> Column:
+    """Whole-number division, exact for any long."""
+    return F.call_function("div", value, F.lit(by))
+
+
 def with_content(nodes: DataFrame, contents: DataFrame, options: o.MigrationOptions) -> DataFrame:
     """Attach ``content`` to the records that need it. Give this only records that will be kept."""
     charset = options.charset
@@ -43,7 +48,7 @@ def assign_splits(changes: DataFrame, split_by: int) -> DataFrame:
     if not split_by:
         return changes.select("change_id", F.lit(0).alias("split_id"))
     ranked = prefix_sum(changes.select("change_id"), "change_id", F.lit(1), "_rank")
-    split = (F.floor((F.col("_rank") - 1) / split_by) + 1).cast("int")
+    split = (divide(F.col("_rank") - 1, split_by) + 1).cast("int")
     return ranked.select("change_id", split.alias("split_id"))
 
 
@@ -57,12 +62,12 @@ def place_units(records: DataFrame, options: o.MigrationOptions) -> DataFrame:
     # At most 32,768 units per change, so this window never holds record-level data.
     within = W.partitionBy("change_id").orderBy("unit").rowsBetween(W.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_n").over(within), F.lit(0))
-    segment = F.floor((F.col("_start") + F.col("_before")) / options.records_per_segment)
+    segment = divide(F.col("_start") + F.col("_before"), options.records_per_segment)
     return (
         counts.withColumn("_before", before)
         .join(started, "change_id")
         .join(splits, "change_id")
-        .select("change_id", "unit", "split_id", segment.cast("long").alias("segment"))
+        .select("change_id", "unit", "split_id", segment.alias("segment"))
     )
 
 

@@ -9,12 +9,16 @@ from changeflow.operators.skew import running, segment_of
 
 ADDS = ("Add", "Add Copy")
 CHANGES = ("Edit", "Replace Copy")
-PART_SPAN = 2**31
+PART_BITS = 31
 
 
 def log_position(change_id: Column, part: Column) -> Column:
     """One long per record whose order is (change_id, part)."""
-    return change_id.cast("long") * PART_SPAN + part
+    return F.shiftleft(change_id.cast("long"), PART_BITS) + part
+
+
+def change_of(position: Column) -> Column:
+    return F.shiftright(position, PART_BITS)
 
 
 def effect(action: Column) -> Column:
@@ -47,7 +51,7 @@ def replay(records: DataFrame, previous: DataFrame | None = None, hot: DataFrame
     if previous is not None:
         before = previous.select("path", F.lit(-1).cast("long").alias("_pos"), F.col("status").alias("_effect"))
         rows = rows.unionByName(before, allowMissingColumns=True)
-    segment = segment_of(F.col("_pos") / PART_SPAN)
+    segment = segment_of(change_of(F.col("_pos")))
     seen = running(rows, ["path"], ["_pos"], segment, F.col("_effect"), "last", "_status", hot)
     if previous is not None:
         seen = seen.where("_pos >= 0")
@@ -91,8 +95,8 @@ def replay_dirs(dirs: DataFrame, previous: DataFrame | None = None) -> DataFrame
     deletes = F.when(live & F.col("_del").isNotNull(), F.struct(F.col("_del").alias("pos"), F.lit("Delete").alias("change_action")))
     kept = folded.select("path", F.explode(F.array_compact(F.array(adds, deletes))).alias("_k"))
     return kept.select(
-        F.floor(F.col("_k.pos") / PART_SPAN).cast("int").alias("change_id"),
-        F.pmod("_k.pos", F.lit(PART_SPAN)).cast("int").alias("part"),
+        change_of(F.col("_k.pos")).cast("int").alias("change_id"),
+        F.col("_k.pos").bitwiseAND(2**PART_BITS - 1).cast("int").alias("part"),
         "path",
         F.col("_k.change_action").alias("change_action"),
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 HOT_KEY_ROWS = 1_000_000
 MAX_HOT_KEYS = 512
 SKETCH_ITEMS = 2_048
-SEGMENT_WIDTH = 1 << 16
+SEGMENT_BITS = 16
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -40,9 +40,9 @@ def _tag(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
     return df.join(F.broadcast(hot), key_hash(keys) == F.col("_hot"), "left")
 
 
-def segment_of(position: Column, width: int = SEGMENT_WIDTH) -> Column:
-    """Number of the stretch of ``width`` consecutive positions that holds ``position``."""
-    return F.floor(position / F.lit(width)).cast("long")
+def segment_of(position: Column) -> Column:
+    """Number of the stretch of 65,536 consecutive positions that holds ``position``."""
+    return F.shiftright(position.cast("long"), SEGMENT_BITS)
 
 
 def running(

@@ -113,7 +113,7 @@ def prefix_map_many(spark, sf_dir):
     FROM documents
 """)
 def nbsp_fix(spark, sf_dir):
-    nbsp = F.lit(" ")
+    nbsp = F.lit("\u00a0")
     path = F.concat(
         F.lit("//depot/main/"), "lang", nbsp, "source", nbsp, F.col("doc_id").cast("string"), F.lit(".txt")
     )

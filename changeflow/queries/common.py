@@ -81,6 +81,11 @@ class Log:
     def nodes(self) -> DataFrame:
         return nodes.change_nodes(self.wanted, self.copies, self.options)
 
+    @cached_property
+    def records(self) -> DataFrame:
+        """Node records as a stored table, which is what replay reads."""
+        return stage(self.nodes, "node-records")
+
     @cached_property
     def headers(self) -> DataFrame:
         return nodes.header_nodes(self.changelists, self.numbered, self.options)

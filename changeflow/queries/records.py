@@ -165,7 +165,7 @@ def dump_record_bytes(spark, sf_dir):
 """)
 def kept_record_bytes(spark, sf_dir):
     log = Log(spark, sf_dir)
-    kept = keep_allowed(log.nodes.unionByName(log.headers))
+    kept = keep_allowed(log.records.unionByName(log.headers))
     return publish.serialise(kept, log.contents, OPTIONS).select(
         "change_id", "part", F.md5("record").alias("digest")
     )

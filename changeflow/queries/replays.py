@@ -3,33 +3,21 @@
 from pyspark.sql import functions as F
 
 from changeflow.operators import replay
-from changeflow.operators.skew import hot_keys
 from changeflow.queries.common import Log
 from changeflow.queries.registry import query
-from changeflow.session import scratch_path, stage
+from changeflow.session import scratch_path
 from changeflow.streaming.replay_stream import replay_stream
 
 
 def _records(spark, sf_dir):
-    return Log(spark, sf_dir).nodes.select("change_id", "part", "path", "change_action", "node_kind")
-
-
-def _replayed(log, records, previous=None):
-    # Frequent target paths are the frequent depot paths plus top directories, so the cheap file rows
-    # (with their parents) are enough to find them.
-    from changeflow.functions.paths import ancestors_of
-
-    paths = log.wanted_events.select(
-        F.explode(F.array_append(ancestors_of(F.col("svn_path")), F.col("svn_path"))).alias("path")
-    )
-    return replay.replay(records, previous, hot_keys(paths, ["path"]))
+    return Log(spark, sf_dir).records.select("change_id", "part", "path", "change_action", "node_kind")
 
 
 @query("SELECT change_id, part, path, change_action, allowed FROM t_replayed WHERE node_kind = 'file'")
 def replay_allowed(spark, sf_dir):
     log = Log(spark, sf_dir)
-    records = log.nodes.where(F.col("node_kind") == "file").select("change_id", "part", "path", "change_action")
-    return replay.replay(records, hot=hot_keys(log.wanted_events, ["svn_path"]))
+    records = log.records.where(F.col("node_kind") == "file").select("change_id", "part", "path", "change_action")
+    return replay.replay(records)
 
 
 @query("""
@@ -47,8 +35,8 @@ def replay_summary(spark, sf_dir):
 @query("SELECT change_id, part, path, change_action, allowed FROM t_replayed")
 def replay_with_directories(spark, sf_dir):
     log = Log(spark, sf_dir)
-    records = log.nodes.select("change_id", "part", "path", "change_action")
-    return _replayed(log, records)
+    records = log.records.select("change_id", "part", "path", "change_action")
+    return replay.replay(records)
 
 
 @query("""
@@ -78,8 +66,8 @@ def replay_with_carried_state(spark, sf_dir):
     user = F.regexp_extract("path", "/u([0-9]+)/", 1).cast("int")
     previous = log.wanted_events.select(F.col("svn_path").alias("path")).distinct()
     previous = previous.withColumn("status", F.when(user % 3 == 0, 1).otherwise(0))
-    records = log.nodes.where(F.col("node_kind") == "file").select("change_id", "part", "path", "change_action")
-    return _replayed(log, records, previous)
+    records = log.records.where(F.col("node_kind") == "file").select("change_id", "part", "path", "change_action")
+    return replay.replay(records, previous)
 
 
 @query("SELECT change_id, part, path, change_action FROM t_replayed WHERE node_kind = 'dir' AND allowed")
@@ -90,15 +78,13 @@ def dir_replay_fast_path(spark, sf_dir):
 
 @query("SELECT change_id, part, path, change_action, allowed FROM t_replayed WHERE node_kind = 'file'")
 def streaming_replay(spark, sf_dir):
-    records = stage(
-        _records(spark, sf_dir).where(F.col("node_kind") == "file").drop("node_kind"), "stream-records"
-    )
+    records = _records(spark, sf_dir).where(F.col("node_kind") == "file").drop("node_kind")
     last = records.agg(F.max("change_id").alias("last")).first().last
     root = scratch_path(spark, "replay-stream")
-    source = spark.readStream.schema(records.schema).parquet(f"{root}/in")
     for step in range(3):
         low, high = last * step // 3, last * (step + 1) // 3
         arriving = records.where((F.col("change_id") > low) & (F.col("change_id") <= high))
         arriving.write.mode("append").parquet(f"{root}/in")
+        source = spark.readStream.schema(records.schema).parquet(f"{root}/in")
         replay_stream(source, f"{root}/state", f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/out")

@@ -37,7 +37,7 @@ def split_assignment(spark, sf_dir):
 def dump_write_roundtrip(spark, sf_dir):
     options = replace(PLAIN, split_by=SPLIT_BY, records_per_segment=500)
     log = Log(spark, sf_dir, options)
-    kept = stage(replay.keep_allowed(log.nodes.unionByName(log.headers)), "kept")
+    kept = stage(replay.keep_allowed(log.records.unionByName(log.headers)), "kept")
     out = scratch_path(spark, "dump")
     write_dump(publish.lay_out(kept, log.contents, options), out)
     return (

@@ -88,4 +88,4 @@ def usage_merged_over_runs(spark, sf_dir):
 def usage_of_kept_records(spark, sf_dir):
     from changeflow.operators.replay import keep_allowed
 
-    return directories.kept_usage(keep_allowed(Log(spark, sf_dir).nodes))
+    return directories.kept_usage(keep_allowed(Log(spark, sf_dir).records))

@@ -9,6 +9,7 @@ a task that runs twice leaves no trace in the result, and nothing has to be rena
 from __future__ import annotations
 
 import json
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -16,7 +17,9 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 MANIFEST = "manifest.jsonl"
@@ -24,6 +27,10 @@ MANIFEST_SCHEMA = "split_id int, segment long, file string, bytes long, records
 ORDER = ["split_id", "segment", "change_id", "part"]
 
 
+# Ship this module's code with the job, so that executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @dataclass
 class SegmentsWritten(WriterCommitMessage):
     entries: list
@@ -44,6 +51,7 @@ class DumpWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> SegmentsWritten:
         store, root = fs.FileSystem.from_uri(self.path)
+        store.create_dir(root, recursive=True)
         attempt = uuid.uuid4().hex
         entries, key, out = [], None, None
         for batch in iterator:
@@ -138,7 +146,5 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
     """Manifest rows with the bytes of each segment file."""
     files = spark.read.format("binaryFile").load(path)
-    from pyspark.sql import functions as F
-
     named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
     return read_manifest(spark, path).join(named, "file")

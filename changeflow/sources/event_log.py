@@ -6,7 +6,9 @@ inside an event's ``props``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.operators.skew import running, segment_of
@@ -28,16 +30,22 @@ EVENTS_PER_GROUP, DOCUMENTS_PER_GROUP = 20, 4
 # ------------------------------------------------------------------------------
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is read from the files once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def change_of_event(event: Column) -> Column:
+    return F.call_function("div", event, F.lit(FILES_PER_CHANGE)).cast("int") + 1
+
+
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file row per event, still without its revision number."""
     number = F.get_json_object("props", "$.k").cast("int")
     events = table(spark, sf_dir, "events").withColumn("k", number)
     event, user, k = F.col("event_id"), F.col("user_id"), F.col("k")
-    change = F.floor(event / FILES_PER_CHANGE).cast("int") + 1
+    change = change_of_event(event)
     unmapped = (change % 10 == 0) | (user % 10).isin(8, 9)
     root = F.when(unmapped, "scratch").when(user % 2 == 0, "main").otherwise("rel")
     kind = F.col("event_type")
@@ -77,7 +85,7 @@ def file_revisions(revised: DataFrame) -> DataFrame:
 
 def changelists(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    change = F.floor(F.col("event_id") / FILES_PER_CHANGE).cast("int") + 1
+    change = change_of_event(F.col("event_id"))
     return (
         events.groupBy(change.alias("change_id"))
         .agg(F.min_by("user_id", "event_id").alias("_user"), F.max("ts").alias("submitted_at"))
@@ -118,7 +126,7 @@ def contents(spark: SparkSession, sf_dir: str, revised: DataFrame, keyword_line:
     """Each revision holds one whole document; neighbouring events share a few of them."""
     documents = table(spark, sf_dir, "documents")
     n_docs = documents.agg(F.max("doc_id") + 1).scalar()
-    group = F.floor(F.col("event_id") / EVENTS_PER_GROUP) * DOCUMENTS_PER_GROUP
+    group = F.call_function("div", F.col("event_id"), F.lit(EVENTS_PER_GROUP)) * DOCUMENTS_PER_GROUP
     doc_id = (group + F.col("k") % DOCUMENTS_PER_GROUP) % n_docs
     rows = revised.select("depot_path", "rev", "file_type", "k", doc_id.alias("doc_id"))
     text = F.col("text")

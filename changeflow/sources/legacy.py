@@ -30,7 +30,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     """Key/value pairs of a map file. An odd last line is dropped and later keys win."""
-    line = read_lines(spark, path).withColumn("_pair", F.floor((F.col("line_no") - 1) / 2))
+    line = read_lines(spark, path).withColumn("_pair", F.shiftright(F.col("line_no") - 1, 1))
     odd = F.col("line_no") % 2 == 1
     pairs = (
         line.groupBy("file", "_pair")

@@ -77,9 +77,11 @@ def replay_stream(
             fresh = rows.where(F.col("change_id") > low)
             # Only statuses of paths in this batch take part.
             before = state.statuses(batch).join(fresh.select("path").distinct(), "path", "left_semi")
+            before = before.persist()
             replay(fresh, before).write.mode("overwrite").parquet(f"{out}/{batch}")
             last = fresh.agg(F.coalesce(F.max("change_id"), F.lit(low)).alias("last")).first().last
             state.save(batch, final_status(fresh, before), last, late)
+            before.unpersist()
         finally:
             rows.unpersist()
 
