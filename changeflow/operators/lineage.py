@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.paths import is_wanted, map_prefix
 from changeflow.functions.text import missing_text, to_bytes
+from changeflow.operators.changes import in_range
 from changeflow.operators.skew import hot_keys, lookup
 from changeflow.options import MigrationOptions
 
@@ -77,6 +78,17 @@ def fingerprints(contents: DataFrame, charset: str = "UTF-8") -> DataFrame:
     )
 
 
+def contents_of_run(contents: DataFrame, options: MigrationOptions) -> DataFrame:
+    """Contents under the branches; with a ``change_id`` column, only those of the run's range.
+
+    Both filters reach the scan, so an increment need not read the bytes of earlier runs.
+    """
+    rows = contents.where(is_wanted(F.col("depot_path"), options.branches))
+    if "change_id" in contents.columns:
+        rows = in_range(rows, options.from_change, options.to_change)
+    return rows
+
+
 def same_content(n_bytes: Column, digest: Column, other_bytes: Column, other_digest: Column) -> Column:
     return (n_bytes == other_bytes) & (digest == other_digest)
 
@@ -108,20 +120,19 @@ def resolve_copies(
     wanted: DataFrame,
     all_files: DataFrame,
     integrations: DataFrame,
-    contents: DataFrame,
+    prints: DataFrame,
     revisions: DataFrame,
     options: MigrationOptions,
 ) -> DataFrame:
     """(change_id, file_ord, copy_from_path, copy_from_rev) of the files that are plain copies.
 
-    Every step is an inner join that only narrows the candidates, so rows without a source never
+    ``prints`` holds content fingerprints; give it as a stored table, since it is used twice. Every step is an inner join that only narrows the candidates, so rows without a source never
     travel along as NULL keys. Hot keys are looked for on the stored tables, not on joined frames.
     """
     candidates = wanted.where(F.col("action").isin("BRANCH", "INTEGRATE")).select(
         "change_id", "file_ord", F.col("depot_path").alias("to_path"), F.col("rev").alias("to_rev")
     )
     picks = pick_sources(integrations, options.semantics)
-    prints = fingerprints(contents, options.charset)
     targets = prints.toDF("to_path", "to_rev", "to_bytes", "to_digest")
     asked = candidates.join(picks, ["to_path", "to_rev"]).join(targets, ["to_path", "to_rev"])
 

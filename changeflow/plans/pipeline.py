@@ -96,8 +96,12 @@ def build(
     if options.strict and not reject_rows.isEmpty():
         raise ValueError(f"files with unknown actions, see {folder}/rejects")
 
+    prints = lineage.fingerprints(lineage.contents_of_run(log.contents, options), options.charset)
+    if previous is not None and "change_id" in log.contents.columns:
+        prints = prints.unionByName(previous.fingerprints)
+    prints = st.save_table(root, run_id, "fingerprints", prints)
     copies = lineage.resolve_copies(
-        frames.wanted, log.file_revisions, log.integrations, log.contents, revisions, options
+        frames.wanted, log.file_revisions, log.integrations, prints, revisions, options
     )
     fingerprint = options_fingerprint(options)
     wanted, stored = frames.wanted, []
@@ -159,7 +163,8 @@ def publish(
     # Narrow rows are settled before any content is read.
     kept = st.write_table(kept, f"{built.folder}/kept", schema.NODE_RECORDS)
     if out is not None:
-        records = options.hooks.apply(lay_out(kept, log.contents, options), options.hooks.on_publish)
+        contents = lineage.contents_of_run(log.contents, options)
+        records = options.hooks.apply(lay_out(kept, contents, options), options.hooks.on_publish)
         write_dump(records, out, name)
     st.save_table(root, built.run_id, "path_status", replay.final_status(built.node_records, prior))
     return kept

@@ -71,10 +71,16 @@ class Log:
     def contents(self) -> DataFrame:
         return event_log.contents(self.spark, self.sf_dir, self.revised, self.keyword_line)
 
+    @cached_property
+    def prints(self) -> DataFrame:
+        """Content fingerprints as a stored table: the bytes are read once for them."""
+        contents = lineage.contents_of_run(self.contents, self.options)
+        return stage(lineage.fingerprints(contents), "fingerprints")
+
     @cached_property
     def copies(self) -> DataFrame:
         return lineage.resolve_copies(
-            self.wanted, self.files, self.integrations, self.contents, self.revisions, self.options
+            self.wanted, self.files, self.integrations, self.prints, self.revisions, self.options
         )
 
     @cached_property

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from changeflow.operators import lineage
 from changeflow.queries.common import OPTIONS, Log
 from changeflow.queries.registry import query
+from changeflow.session import stage
 from changeflow.sources.event_log import table
 
 
@@ -77,7 +78,7 @@ def source_revision_default0(spark, sf_dir):
 """)
 def content_identity(spark, sf_dir):
     log = Log(spark, sf_dir)
-    prints = lineage.fingerprints(log.contents)
+    prints = stage(lineage.fingerprints(log.contents), "fingerprints")
     targets = prints.toDF("to_path", "to_rev", "to_bytes", "to_digest")
     sources = prints.toDF("from_path", "from_rev", "from_bytes", "from_digest")
     same = lineage.same_content(

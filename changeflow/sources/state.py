@@ -18,6 +18,7 @@ TABLES = {
     "dir_usage": schema.DIR_USAGE,
     "path_status": schema.PATH_STATUS,
     "revision_map": schema.REVISION_MAP,
+    "fingerprints": schema.FINGERPRINTS,
 }
 
 
@@ -29,6 +30,7 @@ class State:
     dir_usage: DataFrame
     path_status: DataFrame
     revision_map: DataFrame
+    fingerprints: DataFrame
 
 
 def empty_state(spark: SparkSession) -> State:

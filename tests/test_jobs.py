@@ -277,6 +277,19 @@ def test_copy_source_may_lie_in_an_earlier_run(spark, tmp_path):
     assert b"Node-copyfrom-rev: 1\nNode-copyfrom-path: trunk/a.txt" in _dumps(spark, str(tmp_path / "out"))[0]
 
 
+def test_increment_reads_only_its_own_contents(spark, tmp_path):
+    root, out = str(tmp_path / "s"), str(tmp_path / "out")
+    log = _log(spark)
+    change = F.when(F.col("depot_path").contains("rel") | (F.col("rev") == 2), 2).otherwise(1)
+    log = replace(log, contents=log.contents.withColumn("change_id", change))
+    pipeline.run_incremental(log, replace(OPTIONS, to_change=1, cleanup=False), root, "r1")
+    # The first run's bytes are gone by now; its fingerprints are in the state.
+    later = replace(log, contents=log.contents.where("change_id > 1"))
+    pipeline.run_incremental(later, replace(OPTIONS, cleanup=False), root, "r2", out)
+    assert _dumps(spark, out)[0] == HEADER + R2 + R3
+    assert load_state(spark, root).fingerprints.count() == 3
+
+
 def test_restore_reuses_finished_changes(spark, tmp_path):
     root = str(tmp_path / "s")
     log = _log(spark)
@@ -287,8 +300,9 @@ def test_restore_reuses_finished_changes(spark, tmp_path):
     after = spark.read.parquet(f"{root}/r1/completed").collect()
     assert len(before) == 2 and len(after) == 3 and {r.change_id for r in after} == {1, 2, 3}
     # Other settings void the finished work.
+    records = built.node_records.where("part > 0").count()
     again = pipeline.build(log, replace(OPTIONS, restore=True, semantics="corrected"), root, "r1")
-    assert again.node_records.where("part > 0").count() == built.node_records.where("part > 0").count()
+    assert again.node_records.where("part > 0").count() == records
 
 
 def test_corrected_usage_counts_kept_records_only(spark, tmp_path):

@@ -85,7 +85,7 @@ def _copies(spark, semantics, hot=False):
     revisions = serial_numbers(mark_kept(changes, wanted))
     got = lineage.resolve_copies(
         wanted, files, spark.createDataFrame(links, schema.INTEGRATIONS),
-        spark.createDataFrame(content, schema.CONTENTS), revisions, options,
+        lineage.fingerprints(spark.createDataFrame(content, schema.CONTENTS)), revisions, options,
     )
     return {(r.change_id, r.file_ord): (r.copy_from_path, r.copy_from_rev) for r in got.collect()}
 
