@@ -103,6 +103,7 @@ def build(
     copies = lineage.resolve_copies(
         frames.wanted, log.file_revisions, log.integrations, prints, revisions, options
     )
+    copies = save(copies, "copies", schema.COPIES)
     fingerprint = options_fingerprint(options)
     wanted, stored = frames.wanted, []
     if options.restore:

@@ -79,9 +79,10 @@ class Log:
 
     @cached_property
     def copies(self) -> DataFrame:
-        return lineage.resolve_copies(
+        found = lineage.resolve_copies(
             self.wanted, self.files, self.integrations, self.prints, self.revisions, self.options
         )
+        return stage(found, "copies")
 
     @cached_property
     def nodes(self) -> DataFrame:
