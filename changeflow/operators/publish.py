@@ -36,11 +36,13 @@ def with_content(nodes: DataFrame, contents: DataFrame, options: o.MigrationOpti
     return nodes.where(~stored).withColumn("content", fixed).unionByName(found)
 
 
-def serialise(nodes: DataFrame, contents: DataFrame, options: o.MigrationOptions) -> DataFrame:
-    """(change_id, part, record): the final bytes of each record."""
+def serialise(
+    nodes: DataFrame, contents: DataFrame, options: o.MigrationOptions, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """(carried columns, change_id, part, record): the final bytes of each record."""
     rows = with_content(nodes, contents, options)
     record = record_bytes(F.col("content"), options.charset, options.property_order)
-    return rows.select("change_id", "part", record.alias("record"))
+    return rows.select(*carry, "change_id", "part", record.alias("record"))
 
 
 def assign_splits(changes: DataFrame, split_by: int) -> DataFrame:
@@ -82,8 +84,10 @@ def lay_out(nodes: DataFrame, contents: DataFrame, options: o.MigrationOptions)
     again writes the same segment. Each split opens with the format header.
     """
     units = place_units(nodes.select("change_id", "part"), options)
-    records = serialise(nodes, contents, options).withColumn("unit", _unit())
-    placed = records.join(units, ["change_id", "unit"])
+    # The place of a record is settled on narrow rows; its bytes then move only twice, once to meet
+    # their record and once to their segment.
+    placed = nodes.withColumn("unit", _unit()).join(units, ["change_id", "unit"])
+    records = serialise(placed, contents, options, ("split_id", "segment"))
     header = units.groupBy("split_id").agg(F.min("segment").alias("segment"))
     header = header.withColumns(
         {
@@ -93,4 +97,4 @@ def lay_out(nodes: DataFrame, contents: DataFrame, options: o.MigrationOptions)
         }
     )
     columns = ["split_id", "segment", "change_id", "part", "record"]
-    return placed.select(columns).unionByName(header.select(columns))
+    return records.select(columns).unionByName(header.select(columns))
