@@ -13,6 +13,8 @@ from changeflow.operators.lineage import load_content, resolved_content
 from changeflow.operators.numbering import prefix_sum
 from changeflow.operators.skew import segment_of
 
+LAYOUT = ["split_id", "segment", "change_id", "part", "record"]
+
 
 def divide(value: Column, by: int) -> Column:
     """Whole-number division, exact for any long."""
@@ -77,24 +79,26 @@ def _unit():
     return segment_of(F.col("part")).cast("int").alias("unit")
 
 
+def place(records: DataFrame, options: o.MigrationOptions) -> tuple[DataFrame, DataFrame]:
+    """Records with their split and segment, and the format header that opens each split.
+
+    Segments hold about ``records_per_segment`` rows. No change is too big to be cut up, and the cut
+    depends only on the data: a task that is run again writes the same segment.
+    """
+    units = place_units(records.select("change_id", "part"), options)
+    placed = records.withColumn("unit", _unit()).join(units, ["change_id", "unit"])
+    text = to_bytes(F.lit(o.DUMP_HEADER), options.charset)
+    headers = units.groupBy("split_id").agg(F.min("segment").alias("segment"))
+    headers = headers.withColumns({"change_id": F.lit(-1), "part": F.lit(-1), "record": text})
+    return placed, headers.select(LAYOUT)
+
+
 def lay_out(nodes: DataFrame, contents: DataFrame, options: o.MigrationOptions) -> DataFrame:
-    """Dump records with their split and an ordered segment of about ``records_per_segment`` rows.
+    """Dump records ready for the sink.
 
-    No change is too big to be cut up, and the cut depends only on the data: a task that is run
-    again writes the same segment. Each split opens with the format header.
+    The place of a record is settled on narrow rows; its bytes then move only twice, once to meet
+    their record and once to their segment.
     """
-    units = place_units(nodes.select("change_id", "part"), options)
-    # The place of a record is settled on narrow rows; its bytes then move only twice, once to meet
-    # their record and once to their segment.
-    placed = nodes.withColumn("unit", _unit()).join(units, ["change_id", "unit"])
+    placed, headers = place(nodes, options)
     records = serialise(placed, contents, options, ("split_id", "segment"))
-    header = units.groupBy("split_id").agg(F.min("segment").alias("segment"))
-    header = header.withColumns(
-        {
-            "change_id": F.lit(-1),
-            "part": F.lit(-1),
-            "record": to_bytes(F.lit(o.DUMP_HEADER), options.charset),
-        }
-    )
-    columns = ["split_id", "segment", "change_id", "part", "record"]
-    return records.select(columns).unionByName(header.select(columns))
+    return records.select(LAYOUT).unionByName(headers)

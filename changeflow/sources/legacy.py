@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from changeflow.operators.publish import LAYOUT, place
+from changeflow.operators.replay import replay
+from changeflow.options import MigrationOptions
+from changeflow.sources.tables import discover_parts
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, value) of text files, numbered without reading a file in one task."""
@@ -81,6 +86,30 @@ def import_legacy_state(spark: SparkSession, root: str, semantics: str = "faithf
     }
 
 
+def recorded_parts(spark: SparkSession, root: str, semantics: str = "faithful") -> DataFrame:
+    """Part files of an old dump directory with the path and action recorded for them, if any."""
+    parts = discover_parts(spark, root).select("change_id", "part", F.col("path").alias("file"))
+    records = import_legacy_state(spark, root, semantics)["node_records"]
+    return parts.join(records, ["change_id", "part"], "left")
+
+
+def assemble_parts(
+    spark: SparkSession,
+    root: str,
+    options: MigrationOptions,
+    previous: DataFrame | None = None,
+) -> DataFrame:
+    """Replay an old dump directory: its legal parts, and those without a record, ready for the sink."""
+    parts = recorded_parts(spark, root, options.semantics)
+    known = F.col("path").isNotNull()
+    kept = replay(parts.where(known), previous).where("allowed").drop("allowed")
+    kept = kept.unionByName(parts.where(~known)).select("change_id", "part", "file")
+    placed, headers = place(kept, options)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    files = files.select(F.col("path").alias("file"), F.col("content").alias("record"))
+    return placed.join(files, "file").select(LAYOUT).unionByName(headers)
+
+
 def export_pairs(df: DataFrame, key: str, value: str, path: str) -> None:
     """Write a map file: each key and, on the next line, its value."""
     pair = F.array(F.col(key).cast("string"), F.col(value).cast("string"))

@@ -73,6 +73,29 @@ def test_old_state_files(spark, tmp_path):
     assert rows("path_status") == [("trunk/", 1)]
 
 
+def test_old_dump_directory_is_assembled(spark, tmp_path):
+    from test_jobs import HEADER, _dumps
+
+    from changeflow.sinks.dump import write_dump
+
+    root = tmp_path / "dump"
+    parts = {"2/0": "r2;", "2/1": "edit;", "2/2": "junk;", "10/0": "r10;", "10/1": "again;", "10/2": "gone;", "2/ok": ""}
+    for name, text in parts.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(text)
+    actions = {"2/1": "t/f:Edit", "2/2": "t/a:b:Edit", "10/1": "t/f:Add", "10/2": "t/f:Delete"}
+    (root / "files").write_text("".join(f"tmp/{k}\n{v}\n" for k, v in actions.items()))
+    for name in ("dirsUsage", "revisionByChangeListId", "changeLists", "fileStatuses"):
+        (root / name).write_text("")
+    live = spark.createDataFrame([("t/f", 1)], schema.PATH_STATUS)
+    # A path with a colon loses its action in the old format, and so its part is always kept.
+    expected = {None: b"r2;junk;r10;again;gone;", live: b"r2;edit;junk;r10;gone;"}
+    for i, (previous, body) in enumerate(expected.items()):
+        out = str(tmp_path / f"out{i}")
+        write_dump(legacy.assemble_parts(spark, str(root), OPTIONS, previous), out)
+        assert _dumps(spark, out) == {0: HEADER + body}
+
+
 def test_path_with_colon_in_old_records(spark):
     df = spark.createDataFrame([("k", "a:b:Edit")], "key string, value string")
     assert tuple(legacy.split_path_action(df).first()) == ("k", "a", "b")
