@@ -134,7 +134,8 @@ def contents(spark: SparkSession, sf_dir: str, revised: DataFrame, keyword_line:
         is_text = F.col("file_type").isin("text", "unicode")
         text = F.when(is_text, F.concat(F.lit(KEYWORD_LINE + "\n"), text)).otherwise(text)
     missing = F.col("k") == MISSING_K
-    return rows.join(documents.select("doc_id", "text"), "doc_id").select(
+    # Both sides grow with the data, so they meet by shuffle and the texts spread over all tasks.
+    return rows.join(documents.select("doc_id", "text").hint("merge"), "doc_id").select(
         "depot_path", "rev",
         F.when(~missing, text.cast("binary")).alias("content"),
         missing.alias("missing"),

@@ -183,16 +183,23 @@ def _dumps(spark, out):
     return files
 
 
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("state"))
+    return root, pipeline.build(_log(spark), OPTIONS, root, "r1")
+
+
 @pytest.mark.parametrize("split_by,per_segment,expected", [
     (0, 100_000, {0: HEADER + R1 + R2 + R3 + R4}),
     (0, 1, {0: HEADER + R1 + R2 + R3 + R4}),
     (1, 100_000, {i: HEADER + r for i, r in enumerate((R1, R2, R3, R4), 1)}),
     (2, 3, {1: HEADER + R1 + R2, 2: HEADER + R3 + R4}),
 ])
-def test_golden_dump(spark, tmp_path, split_by, per_segment, expected):
+def test_golden_dump(spark, tmp_path, built, split_by, per_segment, expected):
+    root, build = built
+    assert build.last_revision == 4 and build.cleanup_change == 4
     options = replace(OPTIONS, split_by=split_by, records_per_segment=per_segment)
-    built = pipeline.run(_log(spark), options, str(tmp_path / "state"), "r1", str(tmp_path / "out"))
-    assert built.last_revision == 4 and built.cleanup_change == 4
+    pipeline.publish(build, _log(spark), options, root, str(tmp_path / "out"))
     assert _dumps(spark, str(tmp_path / "out")) == expected
 
 
