@@ -23,10 +23,14 @@ class Log:
         self.spark, self.sf_dir, self.options, self.keyword_line = spark, sf_dir, options, keyword_line
 
     @cached_property
-    def revised(self) -> DataFrame:
+    def rows(self) -> DataFrame:
         """File rows as a stored table, the way a real job would find them."""
-        rows = event_log.with_revisions(event_log.event_rows(self.spark, self.sf_dir))
-        return stage(rows, "file-revisions")
+        return stage(event_log.event_rows(self.spark, self.sf_dir), "file-rows")
+
+    @cached_property
+    def revised(self) -> DataFrame:
+        """The same with revision numbers, stored too."""
+        return stage(event_log.with_revisions(self.rows), "file-revisions")
 
     @cached_property
     def files(self) -> DataFrame:
@@ -34,7 +38,7 @@ class Log:
 
     @cached_property
     def events(self) -> DataFrame:
-        """File rows without revision numbers, for queries that do not need them."""
+        """File rows straight from the events, for queries that pass over them once."""
         return event_log.event_rows(self.spark, self.sf_dir).select(
             "change_id", "file_ord", "depot_path", "action", "file_type"
         )
@@ -53,7 +57,7 @@ class Log:
 
     @cached_property
     def marked(self) -> DataFrame:
-        return changes.mark_kept(self.changelists, self.wanted_events)
+        return changes.mark_kept(self.changelists, changes.wanted_files(self.rows, self.options))
 
     @cached_property
     def numbered(self) -> DataFrame:
