@@ -91,7 +91,7 @@ def content_identity(spark, sf_dir):
 
 
 @query("""
-    SELECT md5(text) AS digest, octet_length(encode(text)) AS n_bytes, count(*) AS n_copies,
+    SELECT md5(text) AS digest, CAST(octet_length(encode(text)) AS INTEGER) AS n_bytes, count(*) AS n_copies,
            min(doc_id) AS first_doc
     FROM documents GROUP BY text HAVING count(*) > 1
 """)

@@ -31,7 +31,7 @@ def node_records_all(spark, sf_dir):
 
 
 @query("""
-    SELECT change_id, part, path, change_action, octet_length(content) AS n_bytes, md5(content) AS digest,
+    SELECT change_id, part, path, change_action, CAST(octet_length(content) AS INTEGER) AS n_bytes, md5(content) AS digest,
            block
     FROM t_texts WHERE file_type = 'symlink' AND content IS NOT NULL AND action <> 'PURGE'
 """)
@@ -73,7 +73,7 @@ def property_map_rows(spark, sf_dir):
 
 
 @query("""
-    SELECT change_id, part, block, octet_length(encode(block)) + 1 AS prop_length
+    SELECT change_id, part, block, CAST(octet_length(encode(block)) + 1 AS INTEGER) AS prop_length
     FROM t_props WHERE change_action IN ('Add', 'Edit') AND node_kind = 'file'
 """)
 def property_blocks(spark, sf_dir):
@@ -85,7 +85,7 @@ def property_blocks(spark, sf_dir):
 
 
 @query(f"""
-    SELECT doc_id, md5(encode(m)) AS digest, octet_length(encode(m)) AS n_bytes FROM (
+    SELECT doc_id, md5(encode(m)) AS digest, CAST(octet_length(encode(m)) AS INTEGER) AS n_bytes FROM (
       SELECT doc_id, replace(replace(replace(replace(t, 'Author', 'LastChangedBy'), 'Date', 'LastChangedDate'),
           'Revision', 'LastChangedRevision'), 'File', 'HeadURL') AS m
       FROM (SELECT doc_id, '{KEYWORD_LINE}' || chr(10) || text AS t FROM documents))
@@ -99,7 +99,7 @@ def keyword_munge(spark, sf_dir):
 
 
 @query("""
-    SELECT depot_path, rev, missing, octet_length(content) AS n_bytes, md5(content) AS digest FROM t_contents
+    SELECT depot_path, rev, missing, CAST(octet_length(content) AS INTEGER) AS n_bytes, md5(content) AS digest FROM t_contents
 """)
 def missing_content_fallback(spark, sf_dir):
     return lineage.load_content(Log(spark, sf_dir).contents).select(
@@ -135,9 +135,9 @@ def description_suffix(spark, sf_dir):
 
 
 @query("""
-    SELECT doc_id, octet_length(encode(text)) AS text_length, md5(text) AS digest,
-           octet_length(encode('PROPS-END')) + 1 AS prop_length,
-           octet_length(encode(text)) + 10 AS content_length
+    SELECT doc_id, CAST(octet_length(encode(text)) AS INTEGER) AS text_length, md5(text) AS digest,
+           CAST(octet_length(encode('PROPS-END')) + 1 AS INTEGER) AS prop_length,
+           CAST(octet_length(encode(text)) + 10 AS INTEGER) AS content_length
     FROM documents
 """)
 def content_lengths_md5(spark, sf_dir):
@@ -149,7 +149,7 @@ def content_lengths_md5(spark, sf_dir):
     )
 
 
-@query("SELECT change_id, part, octet_length(record) AS n_bytes, md5(record) AS digest FROM t_records")
+@query("SELECT change_id, part, CAST(octet_length(record) AS INTEGER) AS n_bytes, md5(record) AS digest FROM t_records")
 def dump_record_bytes(spark, sf_dir):
     log = Log(spark, sf_dir)
     records = publish.serialise(log.nodes.unionByName(log.headers), log.contents, OPTIONS)

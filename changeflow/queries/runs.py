@@ -28,7 +28,7 @@ def split_assignment(spark, sf_dir):
 
 @query(f"""
     SELECT split_id, CAST(count(*) + 1 AS BIGINT) AS records, CAST(sum(octet_length(record)) + 31 AS BIGINT) AS bytes
-    FROM (SELECT r.*, (n.revision - 1) // {SPLIT_BY} + 1 AS split_id FROM t_records r
+    FROM (SELECT r.*, CAST((n.revision - 1) // {SPLIT_BY} + 1 AS INTEGER) AS split_id FROM t_records r
           JOIN t_numbered n ON n.change_id = r.change_id
           LEFT JOIN t_replayed p ON p.change_id = r.change_id AND p.part = r.part
           WHERE r.part = 0 OR p.allowed)
@@ -42,7 +42,7 @@ def dump_write_roundtrip(spark, sf_dir):
     write_dump(publish.lay_out(kept, log.contents, options), out)
     return (
         read_manifest(spark, out)
-        .groupBy(F.col("split_id").cast("long").alias("split_id"))
+        .groupBy("split_id")
         .agg(F.sum("records").alias("records"), F.sum("bytes").alias("bytes"))
     )
 
