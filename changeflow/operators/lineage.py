@@ -126,8 +126,9 @@ def resolve_copies(
 ) -> DataFrame:
     """(change_id, file_ord, copy_from_path, copy_from_rev) of the files that are plain copies.
 
-    ``prints`` holds content fingerprints; give it as a stored table, since it is used twice. Every step is an inner join that only narrows the candidates, so rows without a source never
-    travel along as NULL keys. Hot keys are looked for on the stored tables, not on joined frames.
+    ``prints`` holds content fingerprints; give it as a stored table, since it is used twice. Every
+    step is an inner join that only narrows the candidates, so rows without a source never travel
+    along as NULL keys. Hot keys are looked for on the stored tables, not on joined frames.
     """
     candidates = wanted.where(F.col("action").isin("BRANCH", "INTEGRATE")).select(
         "change_id", "file_ord", F.col("depot_path").alias("to_path"), F.col("rev").alias("to_rev")

@@ -90,9 +90,10 @@ def replay_dirs(dirs: DataFrame, previous: DataFrame | None = None) -> DataFrame
     folded = rows.groupBy("path").agg(
         F.min("_add").alias("_add"), F.min("_del").alias("_del"), F.max("_was").alias("_was")
     )
-    adds = F.when((F.col("_was") == 0) & F.col("_add").isNotNull(), F.struct(F.col("_add").alias("pos"), F.lit("Add").alias("change_action")))
-    live = (F.col("_was") == 1) | F.col("_add").isNotNull()
-    deletes = F.when(live & F.col("_del").isNotNull(), F.struct(F.col("_del").alias("pos"), F.lit("Delete").alias("change_action")))
+    has_add, has_del, was_live = F.col("_add").isNotNull(), F.col("_del").isNotNull(), F.col("_was") == 1
+    record = lambda pos, name: F.struct(F.col(pos).alias("pos"), F.lit(name).alias("change_action"))
+    adds = F.when(~was_live & has_add, record("_add", "Add"))
+    deletes = F.when((was_live | has_add) & has_del, record("_del", "Delete"))
     kept = folded.select("path", F.explode(F.array_compact(F.array(adds, deletes))).alias("_k"))
     return kept.select(
         change_of(F.col("_k.pos")).cast("int").alias("change_id"),

@@ -1,6 +1,5 @@
 """Selecting, mapping and numbering changes."""
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from changeflow.functions import filetypes
@@ -11,7 +10,6 @@ from changeflow.operators.skew import running, segment_of
 from changeflow.options import Branch
 from changeflow.queries.common import OPTIONS, Log
 from changeflow.queries.registry import query
-from changeflow.queries.sqlbase import GMT
 from changeflow.sources.event_log import table
 from changeflow.sources.tables import change_details, changes_touching
 

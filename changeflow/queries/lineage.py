@@ -5,6 +5,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from changeflow.operators import lineage
+from changeflow.operators.skew import lookup
 from changeflow.queries.common import OPTIONS, Log
 from changeflow.queries.registry import query
 from changeflow.session import stage
@@ -86,7 +87,7 @@ def content_identity(spark, sf_dir):
     )
     asked = lineage.pick_sources(log.integrations).join(targets, ["to_path", "to_rev"])
     hot = lineage.hot_sources(log.integrations)
-    met = lineage.lookup(asked, sources, ["from_path", "from_rev"], ["to_path", "to_rev"], hot=hot)
+    met = lookup(asked, sources, ["from_path", "from_rev"], ["to_path", "to_rev"], hot=hot)
     return met.select("to_path", "to_rev", same.alias("identical"))
 
 

@@ -10,7 +10,7 @@ from changeflow.operators import lineage, nodes, publish
 from changeflow.operators.replay import keep_allowed
 from changeflow.queries.common import OPTIONS, Log
 from changeflow.queries.registry import query
-from changeflow.queries.sqlbase import GMT, KEYWORD_WORDS, prop
+from changeflow.queries.sqlbase import GMT, KEYWORD_WORDS
 from changeflow.sources.event_log import KEYWORD_LINE, table
 
 

@@ -8,7 +8,6 @@ from changeflow.operators import publish, replay
 from changeflow.plans import pipeline
 from changeflow.queries.common import OPTIONS, Log
 from changeflow.queries.registry import query
-from changeflow.queries.sqlbase import GMT
 from changeflow.session import scratch_path, stage
 from changeflow.sinks.dump import read_manifest, write_dump
 from changeflow.sources import legacy

@@ -1,9 +1,5 @@
-import pytest
-from pyspark.sql import functions as F
-
 from changeflow import schema
 from changeflow.operators import lineage
-from changeflow.operators.skew import hot_keys
 from changeflow.options import Branch, MigrationOptions
 from changeflow.sources.tables import explode_files, explode_integrations
 
