@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import chat, decontaminate, mixing, sql, token_counts, token_files
+from changeflow.llm import chat, decontaminate, mixing, ngram_join, sql, token_counts, token_files
 from changeflow.llm.common import scratch_path, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.read_token_files(spark, path))
 
 
+@query("op2_ngram_join", sql.JACCARD)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"), width=3, percent=90).drop("row_key")
+
+
 @query("op3_chat_format", sql.CHAT)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "<|im_end|><|im_start|>assistant ok"

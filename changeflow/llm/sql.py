@@ -79,3 +79,25 @@ SELECT doc_id, source, n_tokens::BIGINT AS n_tokens, epoch, (place * 64 // quota
     md5(concat_ws('|', k, (place * 64 // quota)::VARCHAR)) AS block_key
 FROM placed WHERE place < quota
 """
+
+JACCARD = f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SPACED}') AS w FROM documents
+), sets AS (
+    SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS p FROM docs WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    WHERE 10 * least(x.n, y.n) >= 9 * greatest(x.n, y.n)
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n
+    HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM docs
+    UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.least AS component_id
+FROM docs d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) c ON c.a = d.doc_id
+"""
