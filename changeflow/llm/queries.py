@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import chat, decontaminate, mixing, ngram_join, sql, token_counts, token_files
-from changeflow.llm.common import scratch_path, stage, table
+from changeflow.llm import chat, decontaminate, langid, mixing, ngram_join, sql, token_counts, token_files
+from changeflow.llm.common import held_out, scratch_path, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,6 +64,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, held_out(docs["doc_id"], parts=4)).drop("row_key")
+
+
 @query("op5_token_counts")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), _path("byte_bpe_50k.json"), limit=1024)
