@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import chat, decontaminate, langid, mixing, ngram_join, sql, token_counts, token_files
+from changeflow.llm import chat, decontaminate, langid, mixing, ngram_join, repeats, sql, suffix_tree, token_counts, token_files
 from changeflow.llm.common import held_out, scratch_path, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), _path("byte_bpe_50k.json"), limit=1024)
 
 
+@query("op7_repeats")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op8_source_mix", sql.MIX)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.schedule(table(spark, sf_dir, "documents"), max_repetition=2.0, blocks=64, seed=7)
@@ -84,3 +89,9 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_decontaminate", sql.CONTAMINATION)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+
+
+@query("op10_suffix_tree")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return suffix_tree.scores(docs, held_out(docs["doc_id"], parts=7))
