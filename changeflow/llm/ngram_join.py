@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from changeflow.llm.columns import same
 from changeflow.llm.common import column, stage, sub_batches, words_of
 from changeflow.llm.graph import components
-from changeflow.llm.runs import Forest, whole_runs
+from changeflow.llm.runs import Forest, blocked, whole_runs
 
 RARITY_BUCKETS = 1 << 16
 COUNT_BUCKETS = 64
@@ -166,20 +166,6 @@ def within_reach(n_a, n_b, marks_a, marks_b, percent: int) -> np.ndarray:
     return near
 
 
-def blocked(df: DataFrame, size: str, by: str, block: int) -> DataFrame:
-    """Give rows of a group of ``size`` members their block pairs (_i, _j); a group of one block has just (0, 0)."""
-    blocks = F.ceil(F.col(size) / block)
-    own = F.pmod(F.xxhash64(by), blocks)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
-    return (
-        df.withColumn("_own", own)
-        .withColumn("_other", other)
-        .withColumn("_i", F.least("_own", "_other"))
-        .withColumn("_j", F.greatest("_own", "_other"))
-        .drop("_own", "_other")
-    )
-
-
 def candidate_edges(lists: DataFrame, percent: int) -> DataFrame:
     """Spanning edges (a, b) of groups that share a prefix shingle and are within reach."""
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import chat, decontaminate, langid, mixing, ngram_join, repeats, sql, suffix_tree, token_counts, token_files
+from changeflow.llm import chat, decontaminate, flat_graph, langid, mixing, ngram_join, repeats, sql, suffix_tree, token_counts, token_files
 from changeflow.llm.common import held_out, scratch_path, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), _path("byte_bpe_50k.json"), limit=1024)
 
 
+@query("op6_flat_graph", sql.COSINE)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_graph.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 @query("op7_repeats")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))

@@ -33,8 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.llm.common import column, stage, sub_batches
-from changeflow.llm.ngram_join import blocked
-from changeflow.llm.runs import whole_runs
+from changeflow.llm.runs import blocked, whole_runs
 
 LENGTH = 400
 GRAM = 256

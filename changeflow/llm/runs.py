@@ -1,4 +1,4 @@
-"""Groups of neighbouring rows in a sorted partition, and union-find, for use inside tasks."""
+"""Groups cut into blocks, groups of neighbouring rows in a sorted partition, and union-find for use in tasks."""
 
 from __future__ import annotations
 
@@ -6,6 +6,23 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def blocked(df: DataFrame, size: str, by: str, block: int) -> DataFrame:
+    """Give rows of a group of ``size`` members their block pairs (_i, _j), and their own block ``_own``.
+
+    Any two members meet in some pair; a group of one block has just the pair (0, 0).
+    """
+    blocks = F.ceil(F.col(size) / block)
+    return (
+        df.withColumn("_own", F.pmod(F.xxhash64(by), blocks))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        .withColumn("_i", F.least("_own", "_other"))
+        .withColumn("_j", F.greatest("_own", "_other"))
+        .drop("_other")
+    )
 
 
 def whole_runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:

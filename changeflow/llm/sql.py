@@ -101,3 +101,23 @@ links AS (
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.least AS component_id
 FROM docs d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) c ON c.a = d.doc_id
 """
+
+COSINE = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, x -> x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, least AS component_id, e.vec_id = least AS kept
+FROM embeddings e LEFT JOIN counts ON counts.a = e.vec_id
+JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) c ON c.a = e.vec_id
+"""
