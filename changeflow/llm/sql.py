@@ -104,10 +104,10 @@ FROM docs d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS least FROM
 
 COSINE = """
 WITH RECURSIVE v AS (
-    SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
     WHERE label IS NOT NULL AND len(embedding) > 0
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-        AND len(list_filter(embedding, x -> x <> 0)) > 0
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        AND len([x FOR x IN embedding IF x <> 0]) > 0
 ), links AS (
     SELECT a.vec_id AS a, b.vec_id AS b
     FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
