@@ -22,6 +22,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from changeflow.llm.columns import CASED_PLAIN_WORDS, PLAIN_WORDS, ascii_lower, same, word_list
+from changeflow.llm.common import stage
 
 WIDTH = 10
 BROADCAST_WINDOWS = 200_000
@@ -106,7 +107,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, id_
     # Windows of one document in order: each adds the words that no earlier one reached.
     earlier = W.partitionBy(*key).orderBy("_at", "_length").rowsBetween(W.unboundedPreceding, -1)
     reached = F.greatest(F.coalesce(F.max(end).over(earlier), F.lit(-1)), F.col("_at"))
-    per_doc = (
+    per_doc = stage(
         hits.withColumn("_new", F.when(F.col("_at") >= 0, F.greatest(end - reached, F.lit(0))).otherwise(0))
         .groupBy(*key)
         .agg(
@@ -114,7 +115,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, id_
             F.sum("_new").alias("n_hit"),
             F.count_if(F.col("_at") < 0).alias("_copies"),
             F.collect_set(F.when(F.col("_at") >= 0, F.col("_window"))).alias("_windows"),
-        )
+        ),
+        "contamination",
     )
     names = {k: v for k, v in (("item_col", cols.get("item_col")), ("text_col", cols.get("item_text_col"))) if v}
     of_item = windows(benchmark, width, **names).select("_window", "_item").distinct()
