@@ -25,29 +25,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.llm import tokenizing
-from changeflow.llm.common import column, sub_batches
+from changeflow.llm.common import column, sub_batches, words_of
 
 ROW_INDEX_STRIDE = 1_000
 STRIPE_BYTES = 16 << 20
 BLOOM_FPP = 0.01
 SEGMENT_BYTES = 64 << 20
 
-_encoders: dict[int, tokenizing.Pieces] = {}
+_encoders: dict[int, tokenizing.Words] = {}
 
 
-def encode_batch(texts: list[str], json_text: str) -> list[bytes]:
-    """Ids of each text as little-endian 32-bit numbers.
+def encode_rows(texts: pa.Array, json_text: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one after another, each closed by ``end_id``, and the number of ids of each.
 
-    The tokenizer drops white space between pre-tokens and normalises characters one by one, so the text
-    between blanks can be encoded piece by piece.
+    The tokenizer drops white space between pre-tokens and normalises characters one by one, so words are
+    encoded apart: each distinct word of a batch once.
     """
     key = hash(json_text)
     if key not in _encoders:
-        _encoders[key] = tokenizing.Pieces(tokenizing.load(json_text), tokenizing.id_bytes)
-    known = _encoders[key]
-    pieces = [tokenizing.blank_pieces(text) for text in texts]
-    known.learn([p for own in pieces for p in own])
-    return [b"".join(map(known.__getitem__, own)) for own in pieces]
+        _encoders[key] = tokenizing.Words(tokenizing.load(json_text))
+    rows, words = words_of(texts, lower=False)
+    coded = pc.dictionary_encode(words)
+    if isinstance(coded, pa.ChunkedArray):
+        coded = coded.combine_chunks()
+    values = _encoders[key].encode(coded.dictionary.to_pylist())
+    lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
+    starts = np.cumsum(lengths) - lengths
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    each = lengths[codes]
+    # Position in ``flat`` of every id: its word's start plus how far it lies into the word.
+    place = np.arange(each.sum()) + np.repeat(starts[codes] - (np.cumsum(each) - each), each)
+    ids = np.frombuffer(b"".join(values), "<u4")[place]
+    counts = np.bincount(rows.to_numpy(zero_copy_only=False), weights=each, minlength=len(texts)).astype(np.int64)
+    return np.insert(ids, np.cumsum(counts), end_id), counts + 1
 
 
 def by_id_ranges(docs: DataFrame, id_col: str, segments: int) -> DataFrame:
@@ -92,21 +102,18 @@ def write_token_files(
     """Encode ``docs`` and write (doc_id, segment, offset, n_tokens, ids) in ascending id order."""
     json_text = tokenizing.read_text(tokenizer_file)
     shared = docs.sparkSession.sparkContext.broadcast(json_text)
-    end = np.asarray([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment, offset = TaskContext.get().partitionId(), 0
-        for batch in sub_batches(batches, 2 << 20):
-            rows = [ids + end for ids in encode_batch(pc.fill_null(column(batch, "_text"), "").to_pylist(), shared.value)]
-            counts = np.fromiter((len(r) // 4 for r in rows), np.int64, len(rows))
+        for batch in sub_batches(batches):
+            ids, counts = encode_rows(column(batch, "_text"), shared.value, end_id)
             ends = np.concatenate(([0], np.cumsum(counts)))
-            ids = pa.array(np.frombuffer(b"".join(rows), "<u4").astype(np.int32))
             arrays = [
                 column(batch, "doc_id"),
-                pa.array(np.full(len(rows), segment, np.int32)),
+                pa.array(np.full(len(counts), segment, np.int32)),
                 pa.array(offset + ends[:-1]),
                 pa.array(counts),
-                pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids),
+                pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))),
             ]
             offset += int(ends[-1])
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "segment", "offset", "n_tokens", "ids"])
