@@ -41,6 +41,7 @@ RARITY_BUCKETS = 1 << 16
 COUNT_BUCKETS = 64
 LIST_BLOCK = 2_048
 SET_BLOCK = 512
+TEXT_BYTES = 3 << 20  # of text that a task turns into arrays at once
 NO_ID = -(1 << 63)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
@@ -98,7 +99,7 @@ def word_rarity(docs: DataFrame) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(RARITY_BUCKETS, np.int64)
-        for batch in sub_batches(batches):
+        for batch in sub_batches(batches, TEXT_BYTES):
             _, words = word_hashes(column(batch, "_text"))
             total += np.bincount((words >> np.uint64(48)).astype(np.int64), minlength=RARITY_BUCKETS)
         full = np.flatnonzero(total)
@@ -116,7 +117,7 @@ def profiles(docs: DataFrame, rarity: np.ndarray, width: int, percent: int) -> D
     shared = docs.sparkSession.sparkContext.broadcast(rarity)  # of fixed size
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sub_batches(batches):
+        for batch in sub_batches(batches, TEXT_BYTES):
             rows, words = word_hashes(column(batch, "_text"))
             own, value, n = shingles(rows, words, batch.num_rows, width, shared.value)
             d1, d2 = np.zeros(batch.num_rows, np.uint64), np.zeros(batch.num_rows, np.uint64)
@@ -238,7 +239,7 @@ def exact_links(sets: DataFrame, percent: int) -> DataFrame:
     """
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, bounds in whole_runs(batches, ["cc", "_i", "_j"]):
+        for table, bounds in whole_runs(sub_batches(batches), ["cc", "_i", "_j"]):
             ids, lists = table.column("c").to_numpy(), table.column("set").combine_chunks()
             flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
             out = []
@@ -257,7 +258,7 @@ def with_sets(texts: DataFrame, rarity: np.ndarray, width: int) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(rarity)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sub_batches(batches):
+        for batch in sub_batches(batches, TEXT_BYTES):
             rows, words = word_hashes(column(batch, "_text"))
             _, value, n = shingles(rows, words, batch.num_rows, width, shared.value)
             sets = _lists(value.view(np.int64), n)
@@ -334,7 +335,10 @@ def keep_one(docs: DataFrame, width: int = 3, percent: int = 90, id_col: str = "
     found = ngram_components(docs, width, percent, id_col, text_col)
     kept = found.where(same(F.col(id_col), F.col("component_id")))
     # Rows that share an id but are not one component each keep their row; equal rows are one component.
-    kept = kept.select(F.col(id_col).alias("_id"), F.col("row_key").alias("_key")).distinct()
-    rows = docs.dropDuplicates([id_col, text_col])
-    on = same(rows[id_col], kept["_id"]) & (F.xxhash64(rows[text_col]) == kept["_key"])
-    return rows.join(kept, on, "left_semi")
+    kept = kept.select(F.coalesce(id_col, F.lit(NO_ID)).alias("_kept_id"), F.col("row_key").alias("_kept_key")).distinct()
+    keyed = docs.select(
+        "*", F.coalesce(docs[id_col], F.lit(NO_ID)).alias("_kept_id"), F.xxhash64(docs[text_col]).alias("_kept_key")
+    )
+    keys = ["_kept_id", "_kept_key"]
+    # The join's partitioning also serves the removal of repeated rows: texts move once.
+    return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).drop(*keys)
