@@ -8,8 +8,9 @@ A repeat is a string of ``LENGTH`` bytes that starts at two places, in one text
 3. The suffixes at the anchors that remain are sorted within their group of equal ``GRAM`` bytes, which gives a suffix
    array restricted to anchors, with the lengths of common prefixes. A scan with a stack lists its common-prefix
    intervals; within each interval the occurrences are sorted by what stands to their left. Occurrences whose left
-   and right extensions reach ``LENGTH`` together form a repeat group; all of its occurrences are written. An anchor needs
-   no more than ``REACH`` bytes on either side, as longer repeats hold further anchors.
+   and right extensions reach ``LENGTH`` together form a repeat group, with all of its occurrences, not just neighbours.
+   An anchor needs no more than ``REACH`` bytes on either side, as longer repeats hold further anchors; its groups all cover
+   its own bytes, so one stretch per anchor is written.
 4. Per text the found stretches are merged and cut out.
 
 Equal texts are one text with a number of copies: of ``LENGTH`` bytes or more, such a text is removed whole. A group of
@@ -195,48 +196,72 @@ def intervals(common: list[int]) -> Iterator[tuple[int, int, int]]:
             stack.append((first, length))
 
 
-def groups_of(left: np.ndarray, right: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """Per repeat group: its rows, how far each reaches left, and how far all reach right behind the anchor."""
+class Least:
+    """Least value of any stretch of an array, by tables of stretches of 1, 2, 4, ... values."""
+
+    def __init__(self, values: np.ndarray):
+        self.tables = [values]
+        while len(self.tables[-1]) > (half := 1 << (len(self.tables) - 1)):
+            last = self.tables[-1]
+            self.tables.append(np.minimum(last[:-half], last[half:]))
+
+    def of(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Least of ``values[low:high]`` for stretches of one value or more."""
+        level = np.frexp(high - low)[1] - 1
+        out = np.empty(len(low), np.int64)
+        for k in np.unique(level).tolist():
+            at = np.flatnonzero(level == k)
+            out[at] = np.minimum(self.tables[k][low[at]], self.tables[k][high[at] - (1 << k)])
+        return out
+
+
+def repeat_groups(left: np.ndarray, right: np.ndarray, bounds: np.ndarray):
+    """Rows of every repeat group, how far each reaches left of its anchor, and how far right behind it.
+
+    A group is the part of a common-prefix interval whose members each share ``LENGTH`` bytes with another member.
+    """
     run = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    order = _order(right, run)
-    common = _common(right[order[:-1]], right[order[1:]])
-    pair = np.flatnonzero(np.diff(bounds) == 2)
-    a, b = order[bounds[pair]], order[bounds[pair] + 1]
-    reach = _common(left[a], left[b])
-    for i in np.flatnonzero(reach + common[bounds[pair]] >= REACH).tolist():
-        yield np.asarray([a[i], b[i]]), np.full(2, reach[i]), int(common[bounds[pair[i]]])
-    for k in np.flatnonzero(np.diff(bounds) > 2).tolist():
-        low, high = int(bounds[k]), int(bounds[k + 1])
-        for first, last, length in intervals(common[low : high - 1].tolist()):
-            rows = order[low + first : low + last + 1]
-            rows = rows[_order(left[rows])]
-            near = _common(left[rows[:-1]], left[rows[1:]])
-            # Farthest reach to the left that a row shares with any other row of the interval.
-            reach = np.maximum(np.append(near, 0), np.append(0, near))
-            good = reach + length >= REACH
-            if good.any():
-                yield rows[good], reach[good], length
+    edge = run[1:] != run[:-1]
+    by_right, by_left = _order(right, run), _order(left, run)
+    common = np.where(edge, -1, _common(right[by_right[:-1]], right[by_right[1:]]))
+    shared = Least(np.where(edge, 0, _common(left[by_left[:-1]], left[by_left[1:]])))
+    rank = np.empty(len(run), np.int64)
+    rank[by_left] = np.arange(len(run))
+    found = np.asarray([x for x in intervals(common.tolist()) if x[2] >= 0], np.int64).reshape(-1, 3)
+    size = found[:, 1] - found[:, 0] + 1
+    for part in np.array_split(np.arange(len(found)), int(size.sum()) // 500_000 + 1):
+        total = size[part]
+        node = np.repeat(np.arange(len(part)), total)
+        place = np.arange(total.sum()) + np.repeat(found[part, 0] - (np.cumsum(total) - total), total)
+        rows = by_right[place]
+        # Members of each interval by what stands to their left; neighbours then share most.
+        order = np.lexsort((rank[rows], node))
+        rows, node = rows[order], node[order]
+        near = np.zeros(len(rows) + 1, np.int64)
+        inner = np.flatnonzero(node[1:] == node[:-1])
+        near[inner + 1] = shared.of(rank[rows[inner]], rank[rows[inner + 1]])
+        reach, length = np.maximum(near[:-1], near[1:]), found[part, 2][node]
+        good = reach + length >= REACH
+        yield rows[good], reach[good], length[good]
 
 
 def stretches(around: DataFrame) -> DataFrame:
-    """(group, r1, r2, start, end): every occurrence of every repeat group."""
+    """(r1, r2, start, end): the stretch around each anchor that its repeat groups cover."""
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_runs(batches, ["key", "_i", "_j"]):
-            r1, r2, pos, key = (table.column(c).to_numpy() for c in ("r1", "r2", "pos", "key"))
-            rows, starts, ends, groups = [], [], [], []
-            for own, reach, length in groups_of(_matrix(table.column("left")), _matrix(table.column("right")), bounds):
-                rows.append(own)
-                starts.append(pos[own] - reach)
-                ends.append(pos[own] + GRAM + length)
-                groups.append(np.full(len(own), key[own[0]] ^ (length << 1)))
-            if rows:
-                own = np.concatenate(rows)
-                arrays = [np.concatenate(groups), r1[own], r2[own], np.concatenate(starts), np.concatenate(ends)]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["group", "r1", "r2", "start", "end"])
+            r1, r2, pos = (table.column(c).to_numpy() for c in ("r1", "r2", "pos"))
+            # All groups of an anchor cover its own bytes, so together they cover one stretch.
+            before, behind = np.full(len(pos), -1), np.zeros(len(pos), np.int64)
+            for rows, reach, length in repeat_groups(_matrix(table.column("left")), _matrix(table.column("right")), bounds):
+                np.maximum.at(before, rows, reach)
+                np.maximum.at(behind, rows, length)
+            hit = before >= 0
+            arrays = [r1[hit], r2[hit], (pos - before)[hit], (pos + GRAM + behind)[hit]]
+            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["r1", "r2", "start", "end"])
 
     dealt = blocked(around, "size", "pos", BLOCK).repartition("key", "_i", "_j").sortWithinPartitions("key", "_i", "_j")
-    return dealt.mapInArrow(scan, "group long, r1 long, r2 long, start long, end long")
+    return dealt.mapInArrow(scan, "r1 long, r2 long, start long, end long")
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -251,7 +276,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeat_stretches(texts: DataFrame) -> DataFrame:
-    """Occurrences of repeat groups in distinct texts; see ``stretches``."""
+    """Covered stretches of distinct texts; see ``stretches``."""
     places = stage(repeated(anchors(texts)), "repeat-anchors")
     lists = places.groupBy("r1", "r2").agg(F.collect_list(F.struct("pos", "key", "size")).alias("own"))
     # One row of each text.
