@@ -136,6 +136,32 @@ def identify_batch(texts: list[str | None], names: list[str], units: np.ndarray)
     return [UNDEFINED if e else names[b] for e, b in zip(empty.tolist(), best.tolist(), strict=True)], score
 
 
+def _shared_model(docs: DataFrame, train: DataFrame, text_col: str, label_col: str):
+    names, vectors = prototypes(train, train[label_col], text_col)
+    norms = np.linalg.norm(vectors, axis=1, keepdims=True) if names else np.ones((0, 1))
+    return docs.sparkSession.sparkContext.broadcast((names, vectors / np.where(norms == 0, 1, norms)))
+
+
+def keep_identified(
+    docs: DataFrame, least_score: float = 0.0, text_col: str = "text", label_col: str = "lang"
+) -> DataFrame:
+    """The rows of ``docs`` whose language can be told: not ``und``, and with ``least_score`` or more.
+
+    All labelled rows train. Rows keep all their columns and do not move between partitions.
+    """
+    shared = _shared_model(docs, docs, text_col, label_col)
+
+    def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sub_batches(batches, 2 << 20):
+            for start in range(0, batch.num_rows, 1_000):
+                part = batch.slice(start, 1_000)
+                found, score = identify_batch(column(part, text_col).to_pylist(), *shared.value)
+                good = [f != UNDEFINED and s >= least_score for f, s in zip(found, score.tolist(), strict=True)]
+                yield part.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(accept, docs.schema)
+
+
 def identify(
     docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang"
 ) -> DataFrame:
@@ -143,9 +169,7 @@ def identify(
 
     Rows for which ``held_out`` is true do not train. Labels and ids are never inputs of a prediction.
     """
-    names, vectors = prototypes(docs.where(~held_out), docs[label_col], text_col)
-    norms = np.linalg.norm(vectors, axis=1, keepdims=True) if names else np.ones((0, 1))
-    shared = docs.sparkSession.sparkContext.broadcast((names, vectors / np.where(norms == 0, 1, norms)))
+    shared = _shared_model(docs, docs.where(~held_out), text_col, label_col)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, 2 << 20):

@@ -33,7 +33,7 @@ def sized(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     return docs.select(
         docs[id_col].alias("doc_id"),
         docs[source_col].alias("source"),
-        F.xxhash64(docs[text_col]).alias("row_key"),
+        F.xxhash64(docs[id_col], docs[source_col], docs[text_col]).alias("row_key"),
         (F.size(word_list(docs[text_col], SPACED_WORDS)) + 1).cast("long").alias("n_tokens"),
     )
 
@@ -143,16 +143,12 @@ def schedule(
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs``, each as often as the schedule reads it, with the columns of ``docs``."""
     planned = schedule(docs, id_col=id_col, source_col=source_col, text_col=text_col, **options)
-    times = planned.groupBy(
-        F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("row_key").alias("_r")
-    ).agg(F.count("*").alias("_reads"))
-    distinct = docs.dropDuplicates([id_col, source_col, text_col])
-    on = (
-        same(distinct[id_col], times["_d"])
-        & same(distinct[source_col], times["_s"])
-        & (F.xxhash64(distinct[text_col]) == times["_r"])
-    )
-    reads = F.explode(F.sequence(F.lit(1).cast("long"), times["_reads"]))
-    return distinct.join(times, on).select(*(distinct[c] for c in docs.columns), reads.alias("_read_of_mix")).select(
-        *(F.col(c) for c in docs.columns)
+    times = planned.groupBy(F.col("row_key").alias("_mix_key")).agg(F.count("*").alias("_mix_reads"))
+    keyed = docs.select("*", F.xxhash64(docs[id_col], docs[source_col], docs[text_col]).alias("_mix_key"))
+    # The join's partitioning also serves to take each distinct row once: texts move once.
+    return (
+        keyed.join(times, "_mix_key")
+        .dropDuplicates(["_mix_key"])
+        .withColumn("_mix_read", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_reads"))))
+        .drop("_mix_key", "_mix_reads", "_mix_read")
     )
