@@ -13,8 +13,9 @@ A repeat is a string of ``LENGTH`` bytes that starts at two places, in one text
    its own bytes, so one stretch per anchor is written.
 4. Per text the found stretches are merged and cut out.
 
-Equal texts are one text with a number of copies: of ``LENGTH`` bytes or more, such a text is removed whole. A group of
-more than ``BLOCK`` occurrences is cut into blocks that meet pairwise, so no task holds more than two blocks.
+Equal texts are one text with a number of copies: of ``LENGTH`` bytes or more, such a text is removed whole. Anchors with
+equal surroundings are compared once. A group of more than ``BLOCK`` different surroundings is cut into blocks that meet
+pairwise, so no task holds more than two blocks.
 
 Texts are compared as UTF-8 bytes; null is empty. Repeated rows and ids are texts at their own places. Extra columns are not
 read. ``GRAM`` bytes are taken as equal when their 64-bit hashes are, texts when 128 bits of hash and length are.
@@ -40,6 +41,7 @@ LENGTH = 400
 GRAM = 256
 REACH = LENGTH - GRAM
 BLOCK = 4_096
+AROUND = ["r1", "r2", "pos", "key", "around", "n_left", "n_right", "left", "right"]
 PIECE = 1 << 20  # bytes of one text handled at once
 BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -116,7 +118,7 @@ def anchors(texts: DataFrame) -> DataFrame:
 
 
 def repeated(found: DataFrame) -> DataFrame:
-    """Anchors whose bytes start at two places or more, once each, with the number of places ``size``."""
+    """Anchors whose bytes start at two places or more, once each."""
 
     def several(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_runs(batches, ["key"]):
@@ -125,35 +127,44 @@ def repeated(found: DataFrame) -> DataFrame:
             new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
             sizes = np.repeat(np.add.reduceat(new.astype(np.int64), bounds[:-1]), np.diff(bounds))
             keep = new & (sizes > 1)
-            arrays = [pa.array(c[keep]) for c in (*columns, sizes)]
-            yield pa.RecordBatch.from_arrays(arrays, ["r1", "r2", "pos", "key", "size"])
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["r1", "r2", "pos", "key"])
 
     order = ["key", "r1", "r2", "pos"]
     dealt = found.repartition("key").sortWithinPartitions(*order)
-    return dealt.mapInArrow(several, "r1 long, r2 long, pos long, key long, size long")
+    return dealt.mapInArrow(several, "r1 long, r2 long, pos long, key long")
 
 
 def surroundings(placed: DataFrame) -> DataFrame:
-    """(r1, r2, pos, key, size, left, right): the bytes around each anchor, ``left`` read backwards."""
+    """(r1, r2, pos, key, around, n_left, n_right, left, right): what stands around each anchor.
+
+    ``around`` is a digest of it. The bytes, ``left`` read backwards, are given once per task for each digest.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[tuple[int, int]] = set()
         for batch in sub_batches(batches):
-            out: list[list] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(9)]
             rows = zip(
                 column(batch, "r1").to_pylist(), column(batch, "r2").to_pylist(), _texts(batch), column(batch, "own"), strict=True
             )
             for r1, r2, text, own in rows:
                 for a in own.as_py():
-                    p = a["pos"]
-                    left, right = bytes(text[max(p - REACH, 0) : p])[::-1], bytes(text[p + GRAM : p + LENGTH])
-                    for values, v in zip(out, (r1, r2, p, a["key"], a["size"], left, right), strict=True):
+                    p, key = a["pos"], a["key"]
+                    low, high = max(p - REACH, 0), min(p + LENGTH, len(text))
+                    n_left, n_right = p - low, high - p - GRAM
+                    digest = xxhash.xxh3_64_intdigest(text[low:high], n_left) - (1 << 63)
+                    left = right = None
+                    if (key, digest) not in given:
+                        given.add((key, digest))
+                        left, right = bytes(text[low:p])[::-1], bytes(text[p + GRAM : high])
+                    for values, v in zip(out, (r1, r2, p, key, digest, n_left, n_right, left, right), strict=True):
                         values.append(v)
-            kinds = [pa.int64()] * 5 + [pa.binary()] * 2
+            kinds = [pa.int64()] * 7 + [pa.binary()] * 2
             arrays = [pa.array(v, k) for v, k in zip(out, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["r1", "r2", "pos", "key", "size", "left", "right"])
+            yield pa.RecordBatch.from_arrays(arrays, AROUND)
 
-    schema = "r1 long, r2 long, pos long, key long, size long, left binary, right binary"
-    return placed.mapInArrow(cut, schema)
+    kinds = ["long"] * 7 + ["binary"] * 2
+    return placed.mapInArrow(cut, ", ".join(f"{c} {k}" for c, k in zip(AROUND, kinds, strict=True)))
 
 
 def _matrix(values: pa.ChunkedArray) -> np.ndarray:
@@ -245,23 +256,57 @@ def repeat_groups(left: np.ndarray, right: np.ndarray, bounds: np.ndarray):
         yield rows[good], reach[good], length[good]
 
 
-def stretches(around: DataFrame) -> DataFrame:
-    """(r1, r2, start, end): the stretch around each anchor that its repeat groups cover."""
+def reaches(around: DataFrame) -> DataFrame:
+    """(key, around, before, behind): how far repeats cover the bytes around anchors with these surroundings.
+
+    All repeat groups of an anchor cover its own bytes, so together they cover one stretch.
+    """
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_runs(batches, ["key", "_i", "_j"]):
-            r1, r2, pos = (table.column(c).to_numpy() for c in ("r1", "r2", "pos"))
-            # All groups of an anchor cover its own bytes, so together they cover one stretch.
-            before, behind = np.full(len(pos), -1), np.zeros(len(pos), np.int64)
+            key, digest = table.column("key").to_numpy(), table.column("around").to_numpy()
+            # Several tasks may have given the same bytes; rows are sorted by digest within a run.
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])
+            new[bounds[:-1]] = True
+            table, bounds = table.filter(pa.array(new)), np.append(0, np.cumsum(np.add.reduceat(new, bounds[:-1])))
+            before, behind = np.full(table.num_rows, -1), np.zeros(table.num_rows, np.int64)
             for rows, reach, length in repeat_groups(_matrix(table.column("left")), _matrix(table.column("right")), bounds):
                 np.maximum.at(before, rows, reach)
                 np.maximum.at(behind, rows, length)
             hit = before >= 0
-            arrays = [r1[hit], r2[hit], (pos - before)[hit], (pos + GRAM + behind)[hit]]
-            yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["r1", "r2", "start", "end"])
+            arrays = [key[new][hit], digest[new][hit], before[hit], behind[hit]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "around", "before", "behind"])
+
+    sizes = around.groupBy("key").agg(F.count_distinct("around").alias("size")).where(F.col("size") > BLOCK)
+    bytes_of = around.where(F.col("left").isNotNull()).select("key", "around", "left", "right")
+    sized = bytes_of.join(sizes, "key", "left").withColumn("size", F.coalesce("size", F.lit(1)))
+    place = ["key", "_i", "_j"]
+    dealt = blocked(sized, "size", "around", BLOCK).repartition(*place).sortWithinPartitions(*place, "around")
+    return dealt.mapInArrow(scan, "key long, around long, before long, behind long")
 
-    dealt = blocked(around, "size", "pos", BLOCK).repartition("key", "_i", "_j").sortWithinPartitions("key", "_i", "_j")
-    return dealt.mapInArrow(scan, "r1 long, r2 long, start long, end long")
+
+def stretches(around: DataFrame) -> DataFrame:
+    """(r1, r2, start, end): the stretch around each anchor that is covered by repeats."""
+    known = reaches(around).groupBy("key", "around").agg(F.max("before").alias("before"), F.max("behind").alias("behind"))
+    # Places with equal surroundings repeat each other as far as these go.
+    places = around.groupBy("key", "around").agg(
+        F.count("*").alias("n"), F.first("n_left").alias("n_left"), F.first("n_right").alias("n_right")
+    )
+    several = (F.col("n") > 1) & (F.col("n_left") + F.col("n_right") >= REACH)
+    covers = (
+        places.join(known, ["key", "around"], "left")
+        .where(several | F.col("before").isNotNull())
+        .select(
+            "key",
+            "around",
+            F.when(several, F.col("n_left")).otherwise(F.col("before")).alias("before"),
+            F.when(several, F.col("n_right")).otherwise(F.col("behind")).alias("behind"),
+        )
+    )
+    return around.select("r1", "r2", "pos", "key", "around").join(covers, ["key", "around"]).select(
+        "r1", "r2", (F.col("pos") - F.col("before")).alias("start"), (F.col("pos") + GRAM + F.col("behind")).alias("end")
+    )
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -278,14 +323,14 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeat_stretches(texts: DataFrame) -> DataFrame:
     """Covered stretches of distinct texts; see ``stretches``."""
     places = stage(repeated(anchors(texts)), "repeat-anchors")
-    lists = places.groupBy("r1", "r2").agg(F.collect_list(F.struct("pos", "key", "size")).alias("own"))
+    lists = places.groupBy("r1", "r2").agg(F.collect_list(F.struct("pos", "key")).alias("own"))
     # One row of each text.
     least = W.partitionBy("r1", "r2").orderBy(F.col("_id").asc_nulls_first())
     one = texts.select("r1", "r2", "_id").withColumn("k", F.row_number().over(least)).where("k = 1")
     lists = lists.join(one.select(F.col("r1"), F.col("r2"), F.col("_id").alias("_one")), ["r1", "r2"])
     on = (texts["r1"] == lists["r1"]) & (texts["r2"] == lists["r2"]) & texts["_id"].eqNullSafe(lists["_one"])
     placed = texts.join(lists, on).select(texts["r1"], texts["r2"], "_text", "own")
-    return stretches(surroundings(placed))
+    return stretches(stage(surroundings(placed), "repeat-surroundings"))
 
 
 def cut_out(text: memoryview, spans: list, whole: bool) -> tuple[bytes, int, int]:
