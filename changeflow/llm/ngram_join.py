@@ -249,7 +249,9 @@ def exact_links(sets: DataFrame, percent: int) -> DataFrame:
             pairs = np.asarray(out, np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
-    dealt = sets.repartition("cc", "_i", "_j").sortWithinPartitions("cc", "_i", "_j")
+    # Sets are long rows: more and smaller partitions than the default keep a task's batches small.
+    parts = 4 * int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = sets.repartition(parts, "cc", "_i", "_j").sortWithinPartitions("cc", "_i", "_j")
     return dealt.mapInArrow(compare, "a long, b long")
 
 
