@@ -7,6 +7,7 @@ worker and not once per occurrence.
 from __future__ import annotations
 
 import os
+from struct import pack
 
 import numpy as np
 
@@ -78,8 +79,16 @@ class Words:
         return np.asarray(ids, "<u4").tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if self.SIGN not in w]
-        self.known.update((w, self._bytes(self._alone(w))) for w in words if self.SIGN in w)
+        # ASCII letters are one pre-token that the model can take as it is.
+        merge, rest = self.tokenizer.model.tokenize, []
+        for w in words:
+            if w.isascii() and w.isalpha():
+                ids = [t.id for t in merge(w)]
+                self.known[w] = pack(f"<{len(ids)}I", *ids)
+            else:
+                rest.append(w)
+        plain = [w for w in rest if self.SIGN not in w]
+        self.known.update((w, self._bytes(self._alone(w))) for w in rest if self.SIGN in w)
         for start in range(0, len(plain), self.PER_CALL):
             some = plain[start : start + self.PER_CALL]
             joined = f" {self.SIGN} ".join(some)
