@@ -15,23 +15,11 @@ BLANKS = "".join(chr(c) for c in range(0x21))
 # A no-break space is written out as two characters.
 NBSP, NBSP_TARGET = "\u00a0", "\u00c2\u00a0"
 
-MAX_BRANCHES = 10_000
-CHAIN_BRANCHES = 16
-
-
 def ranked(branches: Sequence[Branch]) -> list[Branch]:
     """Branches in match order: priority first, then longest prefix."""
     return sorted(branches, key=lambda b: (b.priority, -len(b.depot_prefix), b.depot_prefix))
 
 
-def read_branches(table: DataFrame, limit: int = MAX_BRANCHES) -> tuple[Branch, ...]:
-    """Load a branch table; it is configuration, so its size is checked, not trusted."""
-    rows = table.select("depot_prefix", "target_prefix", "priority").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"branch table has more than {limit} rows")
-    return tuple(Branch(*row) for row in rows)
-
-
 def replace_prefix(path: Column, branch: Branch) -> Column:
     return F.concat(
         F.lit(branch.target_prefix), F.substring(path, len(branch.depot_prefix) + 1, 2**31 - 1)
@@ -43,42 +31,42 @@ def widen_nbsp(path: Column) -> Column:
 
 
 def map_prefix(path: Column, branches: Sequence[Branch]) -> Column:
-    """Target path of the first branch whose prefix matches, NULL when none does."""
+    """Target path of the first branch whose prefix matches, NULL when none does.
+
+    For the handful of branches of a job's options; a table of branches goes through ``map_paths``.
+    """
     order = ranked(branches)
     if not order:
         return F.lit(None).cast("string")
-    if len(order) <= CHAIN_BRANCHES:
-        mapped = F.coalesce(
-            *[F.when(path.startswith(b.depot_prefix), replace_prefix(path, b)) for b in order]
-        )
-    else:
-        mapped = _map_by_lookup(path, order)
-    return widen_nbsp(mapped)
-
-
-def _map_by_lookup(path: Column, order: list[Branch]) -> Column:
-    # One map probe per distinct prefix length instead of one comparison per branch.
-    first = {b.depot_prefix: (rank, b) for rank, b in reversed(list(enumerate(order)))}
-    table = F.create_map(
-        *[
-            part
-            for prefix, (rank, b) in first.items()
-            for part in (
-                F.lit(prefix),
-                F.struct(
-                    F.lit(rank).alias("rank"),
-                    F.lit(b.target_prefix).alias("target"),
-                    F.lit(len(prefix)).alias("width"),
-                ),
-            )
-        ]
+    return widen_nbsp(F.coalesce(*[F.when(path.startswith(b.depot_prefix), replace_prefix(path, b)) for b in order]))
+
+
+def map_paths(df: DataFrame, branches: DataFrame, path_col: str = "depot_path", out: str = "svn_path") -> DataFrame:
+    """Add the mapped path by a table (depot_prefix, target_prefix, priority) of any size; NULL where no prefix fits.
+
+    Each distinct path is cut once per prefix length that occurs, and the cuts meet the prefixes by equality. Of the
+    branches that fit, the one of least priority counts, then the longest, then the least target.
+    """
+    best = F.min(F.struct("priority", (-F.length("depot_prefix")).alias("_short"), "target_prefix")).alias("_b")
+    # Repeated prefixes fold to the one that counts.
+    table = branches.groupBy("depot_prefix").agg(best).select("depot_prefix", "_b.*")
+    # Bounded by the length of the longest prefix, whatever the number of branches.
+    lengths = [r[0] for r in table.select(F.length("depot_prefix")).distinct().collect()]
+    path = F.col("_path")
+    widths = F.filter(F.array(*map(F.lit, sorted(lengths))).cast("array<int>"), lambda n: n <= F.length(path))
+    cuts = (
+        df.select(F.col(path_col).alias("_path"))
+        .where(path.isNotNull())
+        .distinct()
+        .select("_path", F.explode(widths).alias("_n"))
+        .select("_path", F.substr(path, F.lit(1), F.col("_n")).alias("depot_prefix"))
+    )
+    first = cuts.join(table, "depot_prefix").groupBy("_path").agg(
+        F.min(F.struct("priority", "_short", "target_prefix")).alias("_b")
     )
-    hits = [
-        F.when(F.length(path) >= n, F.try_element_at(table, F.substring(path, 1, n)))
-        for n in sorted({len(p) for p in first})
-    ]
-    best = F.array_min(F.array(*hits))
-    return F.concat(best["target"], F.substr(path, best["width"] + 1))
+    mapped = F.concat(F.col("_b.target_prefix"), F.substr(path, 1 - F.col("_b._short")))
+    found = first.select("_path", widen_nbsp(mapped).alias(out))
+    return df.join(found, df[path_col] == found["_path"], "left").drop("_path")
 
 
 def is_wanted(path: Column, branches: Sequence[Branch]) -> Column:

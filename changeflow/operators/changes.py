@@ -19,10 +19,12 @@ def late_changes(df: DataFrame, last_seen: int, id_col: str = "change_id") -> Da
     return df.where(F.col(id_col) <= last_seen).agg(F.count("*").alias("late_rows"))
 
 
-def last_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """One row per key: the one latest by ``order``."""
+def last_per_key(df: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """One row per key: the one latest by ``order``; ties, or no order, go to the greatest by time, then by all columns."""
     others = [c for c in df.columns if c != key]
-    newest = F.max_by(F.struct(*others), F.col(order)).alias("_row")
+    first = [c for c in (order, "submitted_at") if c in others]
+    rank = F.struct(*first, *(c for c in others if c not in first))
+    newest = F.max_by(F.struct(*others), rank).alias("_row")
     return df.groupBy(key).agg(newest).select(key, "_row.*").select(*df.columns)
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from changeflow.functions.paths import is_wanted, map_prefix
 from changeflow.functions.text import missing_text, to_bytes
 from changeflow.operators.changes import in_range
-from changeflow.operators.skew import hot_keys, lookup
 from changeflow.options import MigrationOptions
 
 
@@ -93,26 +92,20 @@ def same_content(n_bytes: Column, digest: Column, other_bytes: Column, other_dig
     return (n_bytes == other_bytes) & (digest == other_digest)
 
 
-def hot_sources(integrations: DataFrame) -> DataFrame:
-    """Source revisions that many targets name, found on the stored table alone."""
-    named = integrations.select(F.col("from_path"), F.col("end_from_rev").alias("from_rev"))
-    return hot_keys(named, ["from_path", "from_rev"])
-
-
-def find_source_changes(picks: DataFrame, all_files: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def find_source_changes(picks: DataFrame, all_files: DataFrame) -> DataFrame:
     """Add the change that made each picked source revision; unknown sources drop out."""
     sources = all_files.select(
         F.col("depot_path").alias("from_path"),
         F.col("rev").alias("from_rev"),
         F.col("change_id").alias("from_change_id"),
     )
-    return lookup(picks, sources, ["from_path", "from_rev"], ["to_path", "to_rev"], hot=hot)
+    return picks.join(sources, ["from_path", "from_rev"])
 
 
 def with_revision(files: DataFrame, revisions: DataFrame) -> DataFrame:
     """Add the revision number of each file row's change; 0 when it has none."""
     numbered = revisions.select("change_id", "revision")
-    out = lookup(files, numbered, ["change_id"], ["depot_path", "rev"], "left")
+    out = files.join(numbered, ["change_id"], "left")
     return out.withColumn("revision", F.coalesce("revision", F.lit(0)))
 
 
@@ -128,7 +121,7 @@ def resolve_copies(
 
     ``prints`` holds content fingerprints; give it as a stored table, since it is used twice. Every
     step is an inner join that only narrows the candidates, so rows without a source never travel
-    along as NULL keys. Hot keys are looked for on the stored tables, not on joined frames.
+    along as NULL keys.
     """
     candidates = wanted.where(F.col("action").isin("BRANCH", "INTEGRATE")).select(
         "change_id", "file_ord", F.col("depot_path").alias("to_path"), F.col("rev").alias("to_rev")
@@ -157,9 +150,7 @@ def resolve_copies(
         )
     )
     same = same_content(F.col("to_bytes"), F.col("to_digest"), F.col("from_bytes"), F.col("from_digest"))
-    copies = lookup(
-        asked, sources, ["from_path", "from_rev"], ["change_id", "file_ord"], hot=hot_sources(integrations)
-    ).where(same)
+    copies = asked.join(sources, ["from_path", "from_rev"]).where(same)
     if options.corrected:
         copies = copies.where(F.col("from_change_id") < F.col("change_id"))
     return copies.select("change_id", "file_ord", "copy_from_path", "copy_from_rev")

@@ -10,7 +10,7 @@ from changeflow.functions import filetypes
 from changeflow.functions.records import property_map
 from changeflow.functions.text import change_log_text, gmt_date
 from changeflow.operators.directories import first_dir_uses
-from changeflow.operators.skew import hot_keys, running, segment_of
+from changeflow.operators.skew import running, segment_of
 from changeflow.schema import NODE_RECORDS
 
 NODE_COLUMNS = NODE_RECORDS.fieldNames()
@@ -96,11 +96,11 @@ def dir_nodes(wanted: DataFrame) -> DataFrame:
     )
 
 
-def number_parts(nodes: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def number_parts(nodes: DataFrame) -> DataFrame:
     """Part 1, 2, ... inside each change: directories, parents first, then their file."""
     numbered = running(
         nodes, ["change_id"], ["file_ord", "is_file", "path"], segment_of(F.col("file_ord")),
-        F.lit(1), "sum", "part", hot,
+        F.lit(1), "sum", "part",
     )
     return numbered.withColumn("part", F.col("part").cast("int"))
 
@@ -108,7 +108,7 @@ def number_parts(nodes: DataFrame, hot: DataFrame | None = None) -> DataFrame:
 def change_nodes(wanted: DataFrame, copies: DataFrame, options: o.MigrationOptions) -> DataFrame:
     """All numbered directory and file records of the wanted files."""
     nodes = file_nodes(wanted, copies, options).unionByName(dir_nodes(wanted), allowMissingColumns=True)
-    return as_nodes(number_parts(nodes, hot_keys(wanted, ["change_id"])))
+    return as_nodes(number_parts(nodes))
 
 
 def header_nodes(changelists: DataFrame, numbered: DataFrame, options: o.MigrationOptions) -> DataFrame:

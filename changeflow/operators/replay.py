@@ -37,7 +37,7 @@ def is_allowed(action: Column, status: Column) -> Column:
     )
 
 
-def replay(records: DataFrame, previous: DataFrame | None = None, hot: DataFrame | None = None) -> DataFrame:
+def replay(records: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """Add ``allowed`` to records that have a path, given the statuses of an earlier run.
 
     An earlier status is one more row at the very start of its path's log.
@@ -52,7 +52,7 @@ def replay(records: DataFrame, previous: DataFrame | None = None, hot: DataFrame
         before = previous.select("path", F.lit(-1).cast("long").alias("_pos"), F.col("status").alias("_effect"))
         rows = rows.unionByName(before, allowMissingColumns=True)
     segment = segment_of(change_of(F.col("_pos")))
-    seen = running(rows, ["path"], ["_pos"], segment, F.col("_effect"), "last", "_status", hot)
+    seen = running(rows, ["path"], ["_pos"], segment, F.col("_effect"), "last", "_status")
     if previous is not None:
         seen = seen.where("_pos >= 0")
     status = F.coalesce("_status", F.lit(0))

@@ -1,7 +1,7 @@
-"""Windows and lookups that stay balanced when a few keys hold most of the rows.
+"""Running values per key that stay balanced when a few keys hold most of the rows.
 
-``hot_keys`` finds frequent keys with a fixed-size sketch, so its result is small whatever the
-input. Finding too few or too many only shifts load: every row is handled on one of two exact ways.
+Every key's ordered rows are cut into segments of 65,536 positions, and each segment starts from a carried value. There
+is one path for all keys, so nothing has to be guessed about which of them are large.
 """
 
 from __future__ import annotations
@@ -12,64 +12,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-HOT_KEY_ROWS = 1_000_000
-MAX_HOT_KEYS = 512
-SKETCH_ITEMS = 2_048
 SEGMENT_BITS = 16
 
 
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*keys)
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
-    """Hashes of keys with about ``rows`` rows or more; at most ``MAX_HOT_KEYS`` of them."""
-    rows = HOT_KEY_ROWS if rows is None else rows
-    sketch = F.expr(f"approx_top_k(_key, {MAX_HOT_KEYS}, {SKETCH_ITEMS})")
-    return (
-        df.select(key_hash(keys).alias("_key"))
-        .agg(sketch.alias("_top"))
-        .select(F.explode("_top").alias("_top"))
-        .where(F.col("_top.count") >= rows)
-        .select(F.col("_top.item").alias("_hot"))
-    )
-
-
-def _tag(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    # hot has at most MAX_HOT_KEYS rows, so it is always safe to broadcast.
-    return df.join(F.broadcast(hot), key_hash(keys) == F.col("_hot"), "left")
-
-
 def segment_of(position: Column) -> Column:
     """Number of the stretch of 65,536 consecutive positions that holds ``position``."""
     return F.shiftright(position.cast("long"), SEGMENT_BITS)
 
 
 def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    segment: Column,
-    value: Column,
-    how: str,
-    out: str,
-    hot: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], segment: Column, value: Column, how: str, out: str
 ) -> DataFrame:
     """Add a running value per key: ``sum`` up to each row, or the ``last`` non-null before it.
 
-    Rows of a hot key are spread over ordered segments (``segment`` must not decrease along
-    ``order``). The state each segment starts from joins the window as one extra row, removed again
-    at the end, so neither a giant key nor a wide lookup is needed.
+    ``segment`` must not decrease along ``order``. The state a segment starts from joins the window as one extra row,
+    removed again at the end: at most one more row per segment, and no window longer than a segment.
     """
     if how not in ("sum", "last"):
         raise ValueError("how must be 'sum' or 'last'")
-    hot = hot_keys(df, keys) if hot is None else hot
     columns = df.columns
-    tagged = (
-        _tag(df, keys, hot)
-        .withColumn("_seg", F.when(F.col("_hot").isNotNull(), segment))
-        .withColumn("_value", value)
-    )
+    rows = df.withColumn("_seg", segment).withColumn("_value", value)
     position = F.struct(*order)
     if how == "sum":
         total = F.sum("_value")
@@ -82,39 +44,12 @@ def running(
 
     by_segment = W.partitionBy(*keys).orderBy("_seg").rowsBetween(W.unboundedPreceding, -1)
     carried = (
-        tagged.where(F.col("_seg").isNotNull())
-        .groupBy(*keys, "_seg")
+        rows.groupBy(*keys, "_seg")
         .agg(total.alias("_total"))
         .select(*keys, "_seg", before.over(by_segment).alias("_value"), F.lit(0).alias("_own"))
         .where(F.col("_value").isNotNull())
     )
-    rows = tagged.drop("_hot").withColumn("_own", F.lit(1))
-    rows = rows.unionByName(carried, allowMissingColumns=True)
+    both = rows.withColumn("_own", F.lit(1)).unionByName(carried, allowMissingColumns=True)
     frame = W.partitionBy(*keys, "_seg").orderBy("_own", *order)
     frame = frame.rowsBetween(W.unboundedPreceding, 0 if how == "sum" else -1)
-    return rows.withColumn(out, current.over(frame)).where(F.col("_own") == 1).select(*columns, out)
-
-
-def lookup(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    how: str = "inner",
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Join many ``left`` rows to the one ``right`` row per key, salting the hot keys.
-
-    ``spread_by`` names columns that tell left rows of one key apart. Right rows of the (few) hot
-    keys are copied once per salt; all other right rows are sent once.
-    """
-    if how not in ("inner", "left"):
-        raise ValueError("how must be 'inner' or 'left'")
-    hot = hot_keys(left, keys) if hot is None else hot
-    salts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.col("_hot").isNotNull()
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(0)
-    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_left = _tag(left, keys, hot).withColumn("_salt", salt).drop("_hot")
-    salted_right = _tag(right, keys, hot).withColumn("_salt", F.explode(every)).drop("_hot")
-    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
+    return both.withColumn(out, current.over(frame)).where(F.col("_own") == 1).select(*columns, out)

@@ -12,7 +12,6 @@ from changeflow import schema
 from changeflow.operators import changes, directories, lineage, nodes, replay
 from changeflow.operators.numbering import number_changes
 from changeflow.operators.publish import lay_out
-from changeflow.operators.skew import lookup
 from changeflow.options import Hooks, MigrationOptions
 from changeflow.session import scratch_path
 from changeflow.sinks.dump import write_dump
@@ -96,22 +95,19 @@ def build(
     if options.strict and not reject_rows.isEmpty():
         raise ValueError(f"files with unknown actions, see {folder}/rejects")
 
+    # Finished changes leave first: nothing below is done for them.
+    fingerprint = options_fingerprint(options)
+    wanted, stored = frames.wanted, []
+    if options.restore:
+        done, stored = _batches(spark, folder, fingerprint)
+        wanted = wanted.join(done.select("change_id").distinct(), ["change_id"], "left_anti")
+
     prints = lineage.fingerprints(lineage.contents_of_run(log.contents, options), options.charset)
     if previous is not None and "change_id" in log.contents.columns:
         prints = prints.unionByName(previous.fingerprints)
     prints = st.save_table(root, run_id, "fingerprints", prints)
-    copies = lineage.resolve_copies(
-        frames.wanted, log.file_revisions, log.integrations, prints, revisions, options
-    )
+    copies = lineage.resolve_copies(wanted, log.file_revisions, log.integrations, prints, revisions, options)
     copies = save(copies, "copies", schema.COPIES)
-    fingerprint = options_fingerprint(options)
-    wanted, stored = frames.wanted, []
-    if options.restore:
-        done, stored = _batches(spark, folder, fingerprint)
-        marks = done.select("change_id", F.lit(True).alias("_done")).distinct()
-        wanted = lookup(wanted, marks, ["change_id"], ["file_ord"], "left")
-        wanted = wanted.where(F.col("_done").isNull()).drop("_done")
-        copies = copies.join(wanted.select("change_id", "file_ord"), ["change_id", "file_ord"], "left_semi")
     batch = hashlib.sha256(scratch_path(spark, "batch").encode()).hexdigest()[:16]
     made = nodes.change_nodes(wanted, copies, options)
     made = options.hooks.apply(made, options.hooks.after_build)

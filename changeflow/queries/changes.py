@@ -1,9 +1,11 @@
 """Selecting, mapping and numbering changes."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from changeflow.functions import filetypes
-from changeflow.functions.paths import map_prefix
+from changeflow.functions.paths import map_paths, map_prefix
 from changeflow.operators import changes, nodes
 from changeflow.operators.numbering import identity_numbers, serial_numbers
 from changeflow.operators.skew import running, segment_of
@@ -91,18 +93,15 @@ def prefix_map_overlap(spark, sf_dir):
     FROM t_rows
 """)
 def prefix_map_many(spark, sf_dir):
-    # One branch per (root, user): the lookup form, whose cost follows the number of prefix lengths.
+    # One branch per (root, user): a table that grows with the data.
     log = Log(spark, sf_dir)
     prefix = F.regexp_extract("depot_path", "^//depot/[a-z]+/u([0-9]+)/", 0)
     user = F.regexp_extract("depot_path", "^//depot/[a-z]+/u([0-9]+)/", 1)
-    from changeflow.functions.paths import read_branches
-
     rows = log.events.select(
         prefix.alias("depot_prefix"), F.concat(F.lit("m"), user, F.lit("/")).alias("target_prefix"),
         F.lit(0).alias("priority"),
     ).distinct()
-    path = F.col("depot_path")
-    return log.events.select(path, map_prefix(path, read_branches(rows)).alias("svn_path")).distinct()
+    return map_paths(log.events.select("depot_path").distinct(), rows)
 
 
 @query("""
@@ -213,6 +212,17 @@ def revision_numbering(spark, sf_dir):
     return Log(spark, sf_dir).revisions
 
 
+@query("SELECT change_id, revision FROM t_numbered")
+def duplicate_changelists_numbered(spark, sf_dir):
+    """Every third changelist is logged twice; the job gives it one number."""
+    from changeflow.plans.pipeline import plan
+
+    log = Log(spark, sf_dir)
+    again = log.changelists.where("change_id % 3 = 0").withColumn("description", F.lit("logged again"))
+    twice = replace(log.change_log, changelists=log.changelists.unionByName(again))
+    return plan(twice, log.options).numbered.select("change_id", "revision")
+
+
 @query("SELECT change_id, CAST(CASE WHEN kept THEN revision + 1000 ELSE 0 END AS INTEGER) AS revision FROM t_numbered")
 def revision_numbering_with_base(spark, sf_dir):
     return serial_numbers(Log(spark, sf_dir).marked, 1000).select("change_id", "revision")

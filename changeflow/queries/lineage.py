@@ -5,7 +5,6 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from changeflow.operators import lineage
-from changeflow.operators.skew import lookup
 from changeflow.queries.common import OPTIONS, Log
 from changeflow.queries.registry import query
 from changeflow.session import stage
@@ -57,8 +56,7 @@ def history_of_single_revisions(spark, sf_dir):
 """)
 def copy_source_lookup(spark, sf_dir):
     log = Log(spark, sf_dir)
-    hot = lineage.hot_sources(log.integrations)
-    return lineage.find_source_changes(lineage.pick_sources(log.integrations), log.files, hot)
+    return lineage.find_source_changes(lineage.pick_sources(log.integrations), log.files)
 
 
 @query("""
@@ -86,8 +84,7 @@ def content_identity(spark, sf_dir):
         F.col("to_bytes"), F.col("to_digest"), F.col("from_bytes"), F.col("from_digest")
     )
     asked = lineage.pick_sources(log.integrations).join(targets, ["to_path", "to_rev"])
-    hot = lineage.hot_sources(log.integrations)
-    met = lookup(asked, sources, ["from_path", "from_rev"], ["to_path", "to_rev"], hot=hot)
+    met = asked.join(sources, ["from_path", "from_rev"])
     return met.select("to_path", "to_rev", same.alias("identical"))
 
 

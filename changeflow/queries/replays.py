@@ -6,7 +6,7 @@ from changeflow.operators import replay
 from changeflow.queries.common import Log
 from changeflow.queries.registry import query
 from changeflow.session import scratch_path
-from changeflow.streaming.replay_stream import replay_stream
+from changeflow.streaming.replay_stream import flush_replay, replay_stream
 
 
 def _records(spark, sf_dir):
@@ -81,10 +81,15 @@ def streaming_replay(spark, sf_dir):
     records = _records(spark, sf_dir).where(F.col("node_kind") == "file").drop("node_kind")
     last = records.agg(F.max("change_id").alias("last")).first().last
     root = scratch_path(spark, "replay-stream")
+    # The change at each boundary comes in two halves, its even parts one step later than its odd ones.
+    edges = [last * step // 3 for step in range(1, 3)]
+    late_half = F.col("change_id").isin(edges) & (F.col("part") % 2 == 0)
+    place = F.col("change_id") + F.when(late_half, 1).otherwise(0)
     for step in range(3):
         low, high = last * step // 3, last * (step + 1) // 3
-        arriving = records.where((F.col("change_id") > low) & (F.col("change_id") <= high))
+        arriving = records.where((place > low) & ((place <= high) | F.lit(step == 2)))
         arriving.write.mode("append").parquet(f"{root}/in")
         source = spark.readStream.schema(records.schema).parquet(f"{root}/in")
         replay_stream(source, f"{root}/state", f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    flush_replay(spark, records.schema, f"{root}/state", f"{root}/out", 2)
     return spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/out")

@@ -188,4 +188,4 @@ def with_tables(sql: str) -> str:
     names = _needs(sql)
     if not names:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS ({TABLES[n]})" for n in names) + "\n" + sql
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({TABLES[n]})" for n in names) + "\n" + sql

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from changeflow.functions.paths import ancestors_of, parent_of, url_path
 from changeflow.operators import directories, nodes
-from changeflow.operators.skew import hot_keys
 from changeflow.queries.common import Log
 from changeflow.queries.registry import query
 from changeflow.queries.sqlbase import ancestors
@@ -66,8 +65,7 @@ def part_numbers(spark, sf_dir):
         F.lit("file").alias("node_kind"),
     )
     rows = files.unionByName(nodes.dir_nodes(wanted).select(files.columns))
-    hot = hot_keys(wanted, ["change_id"])
-    return nodes.number_parts(rows, hot).select("change_id", "part", "path", "node_kind")
+    return nodes.number_parts(rows).select("change_id", "part", "path", "node_kind")
 
 
 @query("""

@@ -18,6 +18,7 @@ FILE_REVISIONS = _table(
     change_id=_int, file_ord=_int, depot_path=_str, rev=_int, action=_str, file_type=_str
 )
 CONTENTS = _table(depot_path=_str, rev=_int, content=_bin, missing=BooleanType())
+CONTENTS_BY_CHANGE = _table(depot_path=_str, rev=_int, content=_bin, missing=BooleanType(), change_id=_int)
 INTEGRATIONS = _table(
     to_path=_str, to_rev=_int, seq=_int, how_from=_str, from_path=_str, end_from_rev=_int
 )

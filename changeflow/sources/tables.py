@@ -31,20 +31,32 @@ def read_table(spark: SparkSession, source: str | DataFrame, table_schema=None,
     return reader.load(source) if source else reader.load()
 
 
-def read_change_log(spark: SparkSession, root: str, format: str = "parquet") -> ChangeLog:
-    read = lambda name, s: read_table(spark, f"{root.rstrip('/')}/{name}", s, format)
+def read_change_log(
+    spark: SparkSession, root: str, format: str = "parquet", contents_by_change: bool = False, **options
+) -> ChangeLog:
+    """The four tables under ``root``; with jdbc, ``root`` is the schema they are in and ``options`` the connection.
+
+    With ``contents_by_change`` the contents carry the change that made them, so increments read only their range.
+    """
+    contents = schema.CONTENTS_BY_CHANGE if contents_by_change else schema.CONTENTS
+
+    def read(name: str, table_schema) -> DataFrame:
+        if format == "jdbc":
+            return read_table(spark, "", None, format, **{**options, "dbtable": f"{root}.{name}" if root else name})
+        return read_table(spark, f"{root.rstrip('/')}/{name}", table_schema, format, **options)
+
     return ChangeLog(
         read("changelists", schema.CHANGELISTS),
         read("file_revisions", schema.FILE_REVISIONS),
-        read("contents", schema.CONTENTS),
+        read("contents", contents),
         read("integrations", schema.INTEGRATIONS),
     )
 
 
 def read_changelists(changelists: DataFrame, options: MigrationOptions, order: str | None = None) -> DataFrame:
-    """Changes of the wanted id range; with ``order``, repeated ids keep their last row."""
+    """Changes of the wanted id range, one row each: the last by ``order``, else by time and the other columns."""
     rows = in_range(changelists, options.from_change, options.to_change)
-    return last_per_key(rows, "change_id", order) if order else rows
+    return last_per_key(rows, "change_id", order)
 
 
 def changes_touching(changelists: DataFrame, files: DataFrame, options: MigrationOptions) -> DataFrame:
@@ -69,10 +81,8 @@ def explode_integrations(revisions: DataFrame) -> DataFrame:
 
 
 def change_details(changelists: DataFrame, files: DataFrame) -> DataFrame:
-    """Changes with their files; the big side never meets a giant change in one task."""
-    from changeflow.operators.skew import lookup
-
-    return lookup(files, changelists, ["change_id"], ["file_ord"])
+    """Changes with their files; Spark splits the join's partition that holds a giant change."""
+    return files.join(changelists, ["change_id"])
 
 
 def discover_parts(spark: SparkSession, root: str) -> DataFrame:

@@ -27,8 +27,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def tiny_segments(monkeypatch):
-    """Two positions per segment, and every key counts as hot."""
+    """Two positions per segment."""
     from changeflow.operators import skew
 
     monkeypatch.setattr(skew, "SEGMENT_BITS", 1)
-    monkeypatch.setattr(skew, "HOT_KEY_ROWS", 1)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeflow.functions.paths import (
-    ancestors_of, is_wanted, map_prefix, parent_of, read_branches, url_path,
+    ancestors_of, is_wanted, map_paths, map_prefix, parent_of, url_path,
 )
 from changeflow.options import Branch
 
@@ -58,23 +58,17 @@ def test_no_branches_map_nothing(spark):
     assert _mapped(spark, ["//d/a"], ()) == {"//d/a": None}
 
 
-def test_lookup_form_agrees_with_chain(spark):
+def test_branch_table_agrees_with_chain(spark):
     branches = tuple(Branch(f"//d/{'x' * (i % 5)}{i}", f"t{i}/", i % 3) for i in range(40))
-    paths = [b.depot_prefix + "/f" for b in branches] + ["//d/", "//d/1", "//d", "/", ""]
-
-    def first(path):
-        hits = [b for b in branches if path.startswith(b.depot_prefix)]
-        best = min(hits, key=lambda b: (b.priority, -len(b.depot_prefix)), default=None)
-        return best and best.target_prefix + path[len(best.depot_prefix):]
-
-    assert _mapped(spark, paths, branches) == {p: first(p) for p in paths}
-
-
-def test_branch_table_size_is_checked(spark):
-    table = spark.createDataFrame([("a", "b", 1), ("c", "d", 2)], "depot_prefix string, target_prefix string, priority int")
-    assert set(read_branches(table)) == {Branch("a", "b", 1), Branch("c", "d", 2)}
-    with pytest.raises(ValueError):
-        read_branches(table, limit=1)
+    paths = [b.depot_prefix + "/f\u00a0" for b in branches] + ["//d/", "//d/1", "//d", "/", ""]
+    df = spark.createDataFrame([(p, i) for i, p in enumerate(paths * 2)] + [(None, -1)], "p string, i int")
+    rows = [(b.depot_prefix, b.target_prefix, b.priority) for b in branches]
+    table = spark.createDataFrame(rows + [(*rows[0][:1], "zz", 9)], "depot_prefix string, target_prefix string, priority int")
+    got = map_paths(df, table, "p", "m")
+    want = df.select("p", "i", map_prefix(F.col("p"), branches).alias("m"))
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert {r.m for r in map_paths(df, table.limit(0), "p", "m").collect()} == {None}
 
 
 def test_url_path(spark):

@@ -7,8 +7,8 @@ from conftest import SMALL
 
 from changeflow.queries import QUERIES
 
-# Only fixed-size sketches, block totals and single-row totals may meet in one partition.
-SMALL_BELOW_SINGLE = ("approx_top_k", "_total", "max(doc_id)", "count(1)", "HashAggregate(keys=[]")
+# Only block totals and single-row totals may meet in one partition.
+SMALL_BELOW_SINGLE = ("_total", "max(doc_id)", "count(1)", "HashAggregate(keys=[]")
 BATCH = [
     "revision_numbering", "order_numbering", "part_numbers", "path_rollup_usage", "copy_decision_branch",
     "node_records_all", "replay_with_carried_state", "dump_record_bytes", "split_assignment", "run_summary",

@@ -5,6 +5,7 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry
+from changeflow.queries import ORACLE, QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -25,10 +26,15 @@ def _rows(columns, rows):
     return sorted(tuple(str(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_entry_without_the_training_data_operators(monkeypatch):
+    monkeypatch.setattr(entry, "find_spec", lambda name: None)
+    assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SMALL)
-    checked = duck.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, SMALL)
+    checked = duck.execute(ORACLE[name])
     columns = [d[0] for d in checked.description]
     assert sorted(df.columns) == sorted(columns)
     assert _rows(df.columns, df.collect()) == _rows(columns, checked.fetchall())

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from changeflow.operators.nodes import as_nodes
 from changeflow.operators.replay import final_status, keep_allowed, log_position, change_of, replay, replay_dirs
-from changeflow.operators.skew import hot_keys
 
 RECORDS = "change_id int, part int, path string, change_action string"
 ACTIONS = ["Add", "Add Copy", "Delete", "Edit", "Replace Copy", "Other"]
@@ -38,14 +37,13 @@ def _random_log(seed, n=700):
 
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("carried", [False, True])
-@pytest.mark.parametrize("threshold", [1, 100, 10**6])
-def test_replay_equals_simulation(spark, tiny_segments, seed, carried, threshold):
+def test_replay_equals_simulation(spark, tiny_segments, seed, carried):
     rows = _random_log(seed)
     before = {f"f{i}": i % 2 for i in range(0, 30, 2)} | {"hot": 1} if carried else {}
     df = spark.createDataFrame(rows, RECORDS).repartition(4)
     previous = spark.createDataFrame(list(before.items()), "path string, status int") if carried else None
     allowed, status = simulate(rows, before)
-    got = replay(df, previous, hot_keys(df, ["path"], threshold)).collect()
+    got = replay(df, previous).collect()
     assert {(r.change_id, r.part): r.allowed for r in got} == allowed and len(got) == len(rows)
     assert {r.path: r.status for r in final_status(df, previous).collect()} == status
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeflow.operators.numbering import identity_numbers, number_changes, number_rows, prefix_sum, serial_numbers
-from changeflow.operators.skew import hot_keys, lookup, running, segment_of
+from changeflow.operators.skew import running, segment_of
 from changeflow.options import Branch, MigrationOptions
 
 
@@ -16,16 +16,9 @@ def _log(spark, n=600):
     return rows, spark.createDataFrame(rows, "key string, pos int, v int").repartition(5)
 
 
-def test_hot_keys_finds_the_frequent_ones(spark):
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_running_equals_brute_force(spark, tiny_segments, reuse):
     rows, df = _log(spark)
-    assert hot_keys(df, ["key"], 100).count() == 1
-    assert hot_keys(df, ["key"], 10**6).count() == 0
-
-
-@pytest.mark.parametrize("threshold", [1, 100, 10**6])
-def test_running_equals_brute_force(spark, tiny_segments, threshold):
-    rows, df = _log(spark)
-    hot = hot_keys(df, ["key"], threshold)
     sums, lasts = {}, {}
     for key in {r[0] for r in rows}:
         total, last = 0, None
@@ -34,21 +27,12 @@ def test_running_equals_brute_force(spark, tiny_segments, threshold):
             sums[key, pos], lasts[key, pos] = total, last
             last = v if v is not None else last
     segment = segment_of(F.col("pos"))
-    got = running(df, ["key"], ["pos"], segment, F.lit(1), "sum", "out", hot).collect()
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    got = running(df, ["key"], ["pos"], segment, F.lit(1), "sum", "out").collect()
     assert {(r.key, r.pos): r.out for r in got} == sums and len(got) == len(rows)
-    got = running(df, ["key"], ["pos"], segment, F.col("v"), "last", "out", hot).collect()
+    got = running(df, ["key"], ["pos"], segment, F.col("v"), "last", "out").collect()
     assert {(r.key, r.pos): r.out for r in got} == lasts and len(got) == len(rows)
-
-
-@pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("threshold", [1, 100, 10**6])
-def test_lookup_equals_plain_join(spark, how, threshold):
-    _, df = _log(spark)
-    right = spark.createDataFrame([("hot", "H"), *[(f"k{i}", f"K{i}") for i in range(20)]], "key string, name string")
-    got = lookup(df, right, ["key"], ["pos"], how, hot_keys(df, ["key"], threshold))
-    want = df.join(right, ["key"], how)
-    order = ["pos"]
-    assert got.select(want.columns).orderBy(order).collect() == want.orderBy(order).collect()
+    spark.conf.unset("spark.sql.exchange.reuse")
 
 
 def test_prefix_sum_over_many_blocks(spark, tiny_segments):

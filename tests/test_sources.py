@@ -9,7 +9,7 @@ from changeflow.options import Branch, MigrationOptions
 from changeflow.sources import legacy
 from changeflow.sources.state import load_state, merge_latest, save_run_meta, save_table
 from changeflow.sources.tables import changes_touching, read_changelists, read_table
-from changeflow.streaming.replay_stream import ReplayState, migrate_stream, replay_stream
+from changeflow.streaming.replay_stream import ReplayState, flush_replay, migrate_stream, replay_stream
 
 OPTIONS = MigrationOptions(branches=(Branch("//d/main/", "trunk/"), Branch("//d/rel/", "rel/")), from_change=1)
 
@@ -144,6 +144,10 @@ def test_state_tables(spark, tmp_path):
     assert {r.path: r.status for r in merge_latest(old, new, "path", "status").collect()} == {"a": 1, "b": 0, "c": 1}
 
 
+def _out(spark, root):
+    return spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/out").collect()
+
+
 def test_replay_stream_over_many_batches(spark, tmp_path):
     from test_replay import RECORDS, _random_log, simulate
 
@@ -153,12 +157,17 @@ def test_replay_stream_over_many_batches(spark, tmp_path):
     schema_ = spark.createDataFrame([], RECORDS).schema
     cuts = [0, 20, 45, 70, 99]
     for step, (low, high) in enumerate(zip(cuts, cuts[1:])):
-        arriving = [r for r in rows if low < r[0] <= high]
+        # The change at each boundary is split: its even parts come one batch later.
+        arriving = [r for r in rows if low < r[0] + (r[0] in cuts[1:-1] and r[1] % 2 == 0) <= high]
         if step == 2:
             arriving.append((5, 999, "late", "Add"))
         spark.createDataFrame(arriving, RECORDS).write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(schema_).parquet(f"{root}/in")
         replay_stream(stream, f"{root}/state", f"{root}/out", f"{root}/cp", compact_every=2).awaitTermination()
+        if step == 1:  # the newest change is held back
+            halves = {r[:2] for r in rows if r[0] == high}
+            assert not halves & {(r.change_id, r.part) for r in _out(spark, root)}
+    flush_replay(spark, schema_, f"{root}/state", f"{root}/out", 3, compact_every=2)
     got = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/out").collect()
     assert {(r.change_id, r.part): r.allowed for r in got} == allowed and len(got) == len(rows)
     state = ReplayState(spark, f"{root}/state", 2)
