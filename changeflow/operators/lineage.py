@@ -126,15 +126,20 @@ def resolve_copies(
     candidates = wanted.where(F.col("action").isin("BRANCH", "INTEGRATE")).select(
         "change_id", "file_ord", F.col("depot_path").alias("to_path"), F.col("rev").alias("to_rev")
     )
-    picks = pick_sources(integrations, options.semantics)
+    target = ["to_path", "to_rev"]
+    # Only what this run's candidates name is looked up in the history.
+    named = integrations.join(candidates.select(target), target, "left_semi")
+    picks = pick_sources(named, options.semantics)
     targets = prints.toDF("to_path", "to_rev", "to_bytes", "to_digest")
-    asked = candidates.join(picks, ["to_path", "to_rev"]).join(targets, ["to_path", "to_rev"])
+    asked = candidates.join(picks, target).join(targets, target)
+    keys = picks.select(F.col("from_path").alias("depot_path"), F.col("from_rev").alias("rev")).distinct()
 
     # Everything known about a source revision is gathered once per revision, before it meets the
     # (possibly very many) targets that name it.
     sources = all_files.where(is_wanted(F.col("depot_path"), options.branches)).select(
         "depot_path", "rev", "change_id"
     )
+    sources = sources.join(keys, ["depot_path", "rev"], "left_semi")
     sources = (
         with_revision(sources, revisions)
         .where("revision <> 0")

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from changeflow.functions import filetypes
 from changeflow.functions.paths import map_paths, map_prefix
+from changeflow.functions.text import byte_length
 from changeflow.operators import changes, nodes
 from changeflow.operators.numbering import identity_numbers, serial_numbers
 from changeflow.operators.skew import running, segment_of
-from changeflow.options import Branch
+from changeflow.options import Branch, Hooks
 from changeflow.queries.common import OPTIONS, Log
 from changeflow.queries.registry import query
 from changeflow.sources.event_log import table
@@ -223,6 +224,33 @@ def duplicate_changelists_numbered(spark, sf_dir):
     return plan(twice, log.options).numbered.select("change_id", "revision")
 
 
+@query("""
+    SELECT change_id, CAST(CASE WHEN n > 0 THEN count(*) FILTER (n > 0) OVER (ORDER BY change_id) ELSE 0 END AS INTEGER)
+        AS revision
+    FROM (SELECT c.change_id, count(w.file_ord) AS n FROM t_changes c
+          LEFT JOIN (SELECT * FROM t_wanted WHERE action <> 'DELETE') w ON w.change_id = c.change_id
+          WHERE c.change_id % 5 <> 0 GROUP BY c.change_id)
+""")
+def hooks_reshape_a_plan(spark, sf_dir):
+    """Hooks drop every fifth changelist and all deletions before anything is numbered."""
+    from changeflow.plans.pipeline import plan
+
+    hooks = Hooks(
+        on_changelist=(lambda df: df.where("change_id % 5 <> 0"),), on_file=(lambda df: df.where("action <> 'DELETE'"),)
+    )
+    log = Log(spark, sf_dir)
+    return plan(log.change_log, replace(log.options, hooks=hooks)).numbered.select("change_id", "revision")
+
+
+@query("SELECT doc_id, CAST(length(text) AS INTEGER) AS narrow, CAST(octet_length(encode(text)) AS INTEGER) AS wide FROM documents")
+def charset_lengths(spark, sf_dir):
+    """Byte lengths in a one-byte charset and in UTF-8."""
+    text = F.col("text")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", byte_length(text, "ISO-8859-1").alias("narrow"), byte_length(text).alias("wide")
+    )
+
+
 @query("SELECT change_id, CAST(CASE WHEN kept THEN revision + 1000 ELSE 0 END AS INTEGER) AS revision FROM t_numbered")
 def revision_numbering_with_base(spark, sf_dir):
     return serial_numbers(Log(spark, sf_dir).marked, 1000).select("change_id", "revision")

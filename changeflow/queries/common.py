@@ -5,7 +5,9 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from changeflow.functions.paths import is_wanted
 from changeflow.operators import changes, lineage, nodes
 from changeflow.operators.numbering import number_changes
 from changeflow.options import MigrationOptions
@@ -77,9 +79,9 @@ class Log:
 
     @cached_property
     def prints(self) -> DataFrame:
-        """Content fingerprints as a stored table: the bytes are read once for them."""
-        contents = lineage.contents_of_run(self.contents, self.options)
-        return stage(lineage.fingerprints(contents), "fingerprints")
+        """Content fingerprints as a stored table, from one hash per document."""
+        prints = event_log.fingerprints(self.spark, self.sf_dir, self.revised, self.keyword_line)
+        return stage(prints.where(is_wanted(F.col("depot_path"), self.options.branches)), "fingerprints")
 
     @cached_property
     def copies(self) -> DataFrame:

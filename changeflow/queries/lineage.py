@@ -8,7 +8,7 @@ from changeflow.operators import lineage
 from changeflow.queries.common import OPTIONS, Log
 from changeflow.queries.registry import query
 from changeflow.session import stage
-from changeflow.sources.event_log import table
+from changeflow.sources.event_log import fingerprints, table
 
 
 @query("SELECT to_path, to_rev, from_path, from_rev FROM t_picks")
@@ -77,7 +77,7 @@ def source_revision_default0(spark, sf_dir):
 """)
 def content_identity(spark, sf_dir):
     log = Log(spark, sf_dir)
-    prints = stage(lineage.fingerprints(log.contents), "fingerprints")
+    prints = stage(fingerprints(spark, sf_dir, log.revised), "fingerprints")
     targets = prints.toDF("to_path", "to_rev", "to_bytes", "to_digest")
     sources = prints.toDF("from_path", "from_rev", "from_bytes", "from_digest")
     same = lineage.same_content(

@@ -9,7 +9,7 @@ from changeflow.plans import pipeline
 from changeflow.queries.common import OPTIONS, Log
 from changeflow.queries.registry import query
 from changeflow.session import scratch_path, stage
-from changeflow.sinks.dump import read_manifest, write_dump
+from changeflow.sinks.dump import read_segments, write_dump
 from changeflow.sources import legacy
 from changeflow.sources.event_log import table
 from changeflow.sources.state import load_state, merge_latest
@@ -26,8 +26,10 @@ def split_assignment(spark, sf_dir):
 
 
 @query(f"""
-    SELECT split_id, CAST(count(*) + 1 AS BIGINT) AS records, CAST(sum(octet_length(record)) + 31 AS BIGINT) AS bytes
-    FROM (SELECT r.*, CAST((n.revision - 1) // {SPLIT_BY} + 1 AS INTEGER) AS split_id FROM t_records r
+    SELECT split_id, CAST(count(*) + 1 AS BIGINT) AS records, CAST(sum(octet_length(record)) + 31 AS BIGINT) AS bytes,
+      md5(unhex(hex(encode('SVN-fs-dump-format-version: 1' || chr(10) || chr(10)))
+                || string_agg(hex(record), '' ORDER BY r_change, r_part))) AS digest
+    FROM (SELECT r.record, r.change_id AS r_change, r.part AS r_part, CAST((n.revision - 1) // {SPLIT_BY} + 1 AS INTEGER) AS split_id FROM t_records r
           JOIN t_numbered n ON n.change_id = r.change_id
           LEFT JOIN t_replayed p ON p.change_id = r.change_id AND p.part = r.part
           WHERE r.part = 0 OR p.allowed)
@@ -39,10 +41,13 @@ def dump_write_roundtrip(spark, sf_dir):
     kept = stage(replay.keep_allowed(log.records.unionByName(log.headers)), "kept")
     out = scratch_path(spark, "dump")
     write_dump(publish.lay_out(kept, log.contents, options), out)
+    # The files themselves, their bytes in manifest order; a split of 100 changes fits a row.
+    parts = F.sort_array(F.collect_list(F.struct("segment", "content")))
+    joined = F.aggregate(parts, F.lit("").cast("binary"), lambda whole, part: F.concat(whole, part["content"]))
     return (
-        read_manifest(spark, out)
+        read_segments(spark, out)
         .groupBy("split_id")
-        .agg(F.sum("records").alias("records"), F.sum("bytes").alias("bytes"))
+        .agg(F.sum("records").alias("records"), F.sum(F.length("content")).alias("bytes"), F.md5(joined).alias("digest"))
     )
 
 

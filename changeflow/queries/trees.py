@@ -69,11 +69,28 @@ def part_numbers(spark, sf_dir):
 
 
 @query("""
-    SELECT path, usage + usage AS usage FROM t_usage
+    SELECT path, usage FROM t_usage
 """)
 def usage_merged_over_runs(spark, sf_dir):
-    usage = path_rollup_usage(spark, sf_dir)
-    return directories.merge_usage(usage, usage)
+    """Two id ranges with directories of their own add up to the whole."""
+    wanted = Log(spark, sf_dir).wanted_events
+    early = F.col("change_id") % 1000 < 300
+    return directories.merge_usage(directories.dir_usage(wanted.where(early)), directories.dir_usage(wanted.where(~early)))
+
+
+@query(f"""
+    SELECT change_id, path, CAST(1 AS INTEGER) AS file_ord FROM (
+      SELECT page_id AS change_id, unnest({ancestors('p')}) AS path FROM (
+        SELECT page_id, '/' || regexp_replace(url, '^[a-z]+://|[?#].*$', '', 'g') AS p FROM pages))
+    WHERE path <> '/'
+""")
+def dir_adds_below_root(spark, sf_dir):
+    """Paths that begin with a slash: the root itself is never added."""
+    path = F.concat(F.lit("/"), url_path(F.col("url")))
+    rows = table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("change_id"), F.lit(1).alias("file_ord"), path.alias("svn_path")
+    )
+    return directories.first_dir_uses(rows).select("change_id", "path", "file_ord")
 
 
 @query(f"""

@@ -11,6 +11,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.functions.text import missing_text, to_bytes
 from changeflow.operators.skew import running, segment_of
 from changeflow.options import Branch
 from changeflow.sources.tables import ChangeLog
@@ -122,13 +123,34 @@ def integrations(revised: DataFrame) -> DataFrame:
     )
 
 
+def _document_of_row(spark: SparkSession, sf_dir: str, revised: DataFrame) -> DataFrame:
+    n_docs = table(spark, sf_dir, "documents").agg(F.max("doc_id") + 1).scalar()
+    group = F.call_function("div", F.col("event_id"), F.lit(EVENTS_PER_GROUP)) * DOCUMENTS_PER_GROUP
+    doc_id = (group + F.col("k") % DOCUMENTS_PER_GROUP) % n_docs
+    return revised.select("depot_path", "rev", "file_type", "k", doc_id.alias("doc_id"))
+
+
+def fingerprints(spark: SparkSession, sf_dir: str, revised: DataFrame, keyword_line: bool = False) -> DataFrame:
+    """Length and digest of each revision's content. A document is hashed once, where it is read; texts never move."""
+    def print_of(content: Column) -> Column:
+        return F.struct(F.octet_length(content).alias("n_bytes"), F.sha2(content, 256).alias("digest"))
+
+    text = F.col("text").cast("binary")
+    with_line = F.concat(F.lit(KEYWORD_LINE + "\n"), F.col("text")).cast("binary") if keyword_line else text
+    prints = table(spark, sf_dir, "documents").select(
+        "doc_id", print_of(text).alias("_plain"), print_of(with_line).alias("_lined")
+    )
+    rows = _document_of_row(spark, sf_dir, revised).join(prints, "doc_id")
+    is_text = F.col("file_type").isin("text", "unicode")
+    gone = print_of(to_bytes(missing_text(F.col("depot_path"), F.col("rev"))))
+    found = F.when(F.col("k") == MISSING_K, gone).when(is_text, F.col("_lined")).otherwise(F.col("_plain"))
+    return rows.select("depot_path", "rev", found.alias("_f")).select("depot_path", "rev", "_f.*")
+
+
 def contents(spark: SparkSession, sf_dir: str, revised: DataFrame, keyword_line: bool = False) -> DataFrame:
     """Each revision holds one whole document; neighbouring events share a few of them."""
     documents = table(spark, sf_dir, "documents")
-    n_docs = documents.agg(F.max("doc_id") + 1).scalar()
-    group = F.call_function("div", F.col("event_id"), F.lit(EVENTS_PER_GROUP)) * DOCUMENTS_PER_GROUP
-    doc_id = (group + F.col("k") % DOCUMENTS_PER_GROUP) % n_docs
-    rows = revised.select("depot_path", "rev", "file_type", "k", doc_id.alias("doc_id"))
+    rows = _document_of_row(spark, sf_dir, revised)
     text = F.col("text")
     if keyword_line:
         is_text = F.col("file_type").isin("text", "unicode")
