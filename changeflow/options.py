@@ -84,6 +84,8 @@ class MigrationOptions:
     restore: bool = False
     strict: bool = False
     records_per_segment: int = 100_000
+    # Changes per step of a build; each step is marked as finished when it is written. 0: one step.
+    changes_per_step: int = 0
     hooks: Hooks = field(default_factory=Hooks)
 
     def __post_init__(self) -> None:
@@ -91,8 +93,8 @@ class MigrationOptions:
             raise ValueError(f"semantics must be one of {SEMANTICS}")
         if not callable(self.numbering) and self.numbering not in ("serial", "identity"):
             raise ValueError("numbering must be 'serial', 'identity' or a callable")
-        if self.split_by < 0 or self.records_per_segment < 1:
-            raise ValueError("split_by must be >= 0 and records_per_segment >= 1")
+        if self.split_by < 0 or self.records_per_segment < 1 or self.changes_per_step < 0:
+            raise ValueError("split_by and changes_per_step must be >= 0 and records_per_segment >= 1")
 
     @property
     def corrected(self) -> bool:

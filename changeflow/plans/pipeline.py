@@ -67,6 +67,12 @@ def _batches(spark: SparkSession, folder: str, fingerprint: str) -> tuple[DataFr
     return done, [r.batch for r in done.select("batch").distinct().collect()]
 
 
+def _steps(options: MigrationOptions, last: int) -> list[tuple[int, int]]:
+    """Ranges of changes that are built and marked one after another."""
+    size = options.changes_per_step or max(last - options.from_change, 1)
+    return [(low, min(low + size, last)) for low in range(options.from_change, last, size)]
+
+
 def build(
     log: ChangeLog,
     options: MigrationOptions,
@@ -108,17 +114,22 @@ def build(
     prints = st.save_table(root, run_id, "fingerprints", prints)
     copies = lineage.resolve_copies(wanted, log.file_revisions, log.integrations, prints, revisions, options)
     copies = save(copies, "copies", schema.COPIES)
-    batch = hashlib.sha256(scratch_path(spark, "batch").encode()).hexdigest()[:16]
-    made = nodes.change_nodes(wanted, copies, options)
-    made = options.hooks.apply(made, options.hooks.after_build)
-    made = save(made, f"node_records/{batch}", schema.NODE_RECORDS)
-    marked = made.select("change_id").distinct().select(
-        "change_id", F.lit(fingerprint).alias("fingerprint"), F.lit(batch).alias("batch")
-    )
-    marked.write.mode("append" if options.restore else "overwrite").parquet(f"{folder}/completed")
-    paths = [f"{folder}/node_records/{name}" for name in (*stored, batch)]
+    attempt = hashlib.sha256(scratch_path(spark, "batch").encode()).hexdigest()[:16]
+    for number, (low, high) in enumerate(_steps(options, summary["last_change_id"])):
+        batch = f"{attempt}-{number:06d}"
+        step = lambda df: changes.in_range(df, low, high)  # noqa: B023, E731
+        made = nodes.change_nodes(step(wanted), step(copies), options)
+        made = options.hooks.apply(made, options.hooks.after_build)
+        made = save(made, f"node_records/{batch}", schema.NODE_RECORDS)
+        marked = made.select("change_id").distinct().select(
+            "change_id", F.lit(fingerprint).alias("fingerprint"), F.lit(batch).alias("batch")
+        )
+        # Appended once the step's records are whole, so a run that dies keeps all steps before.
+        marked.write.mode("append" if options.restore or number else "overwrite").parquet(f"{folder}/completed")
+        stored.append(batch)
+    paths = [f"{folder}/node_records/{name}" for name in stored]
     records = spark.read.schema(schema.NODE_RECORDS).parquet(*paths)
-    if stored:
+    if options.restore:
         # A restored run may cover a narrower range than the one that wrote the records.
         records = changes.in_range(records, options.from_change, options.to_change)
     headers = nodes.header_nodes(frames.changelists, numbered, options)

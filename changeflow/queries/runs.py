@@ -5,6 +5,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from changeflow.operators import publish, replay
+from changeflow.options import Hooks
 from changeflow.plans import pipeline
 from changeflow.queries.common import OPTIONS, Log
 from changeflow.queries.registry import query
@@ -91,6 +92,35 @@ def restore_skips_done(spark, sf_dir):
     )
 
 
+@query("""
+    SELECT change_id, part, path, change_action, node_kind FROM t_nodes
+""")
+def restore_after_partial_write(spark, sf_dir):
+    """A build that dies in its third step, then a restored one that makes only what is missing."""
+    log = _staged_log(spark, sf_dir)
+    root = scratch_path(spark, "runs")
+    last = log.changelists.agg(F.max("change_id").alias("last")).first().last
+    steps = replace(PLAIN, changes_per_step=last // 4 + 1)
+    seen = []
+
+    def fail(records):
+        seen.append(records)
+        return records.where(F.raise_error(F.lit("stopped")).isNull()) if len(seen) == 3 else records
+
+    try:
+        pipeline.build(log, replace(steps, hooks=Hooks(after_build=(fail,))), root, "run")
+    except Exception as error:
+        if "stopped" not in str(error):
+            raise
+    made = spark.read.parquet(f"{root}/run/completed")
+    if made.select("batch").distinct().count() != 2:
+        raise AssertionError("two finished steps were expected")
+    built = pipeline.build(log, replace(steps, restore=True), root, "run")
+    return built.node_records.where("path is not null").select(
+        "change_id", "part", "path", "change_action", "node_kind"
+    )
+
+
 @query(f"""
     SELECT (SELECT max(change_id) + 1 FROM t_changes) AS change_id,
            CAST(row_number() OVER (ORDER BY path DESC) AS INTEGER) AS part, path, CAST(NULL AS INTEGER) AS revision,
@@ -174,3 +204,20 @@ def legacy_state_pairs(spark, sf_dir):
     cut = legacy.split_path_action(pairs).withColumnRenamed("change_action", "action")
     whole = legacy.split_path_action(pairs, "corrected").toDF("key", "whole_path", "whole_action")
     return cut.join(whole, "key")
+
+
+@query("""
+    SELECT CAST(change_id AS INTEGER) AS change_id, CAST(revision AS INTEGER) AS revision FROM t_numbered WHERE change_id % 9 <> 0
+    UNION ALL SELECT NULL, CAST(revision AS INTEGER) FROM t_numbered WHERE change_id % 9 = 0
+""")
+def legacy_revision_map_casts(spark, sf_dir):
+    """An old revision map read back; keys that are not whole numbers become NULL."""
+    numbered = Log(spark, sf_dir).numbered
+    key = F.when(F.col("change_id") % 9 == 0, F.concat(F.lit("x"), F.col("change_id").cast("string")))
+    root = scratch_path(spark, "legacy-root")
+    rows = numbered.select(F.coalesce(key, F.col("change_id").cast("string")).alias("key"), "revision")
+    legacy.export_pairs(rows, "key", "revision", f"{root}/revisionByChangeListId")
+    for name in ("files", "dirsUsage", "fileStatuses"):
+        legacy.export_pairs(rows.limit(0), "key", "revision", f"{root}/{name}")
+    legacy.export_list(numbered, "change_id", f"{root}/changeLists")
+    return legacy.import_legacy_state(spark, root)["revision_map"]
