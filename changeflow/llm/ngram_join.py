@@ -39,8 +39,10 @@ from changeflow.llm.runs import Forest, blocked, whole_runs
 
 RARITY_BUCKETS = 1 << 16
 COUNT_BUCKETS = 64
+FINE_FROM, FINE_BUCKETS = 4_096, 1_024  # long sets also keep counts of more buckets
 LIST_BLOCK = 2_048
 SET_BLOCK = 512
+SET_VALUES = 1 << 21  # shingles compared at once
 TEXT_BYTES = 3 << 20  # of text that a task turns into arrays at once
 NO_ID = -(1 << 63)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
@@ -136,6 +138,10 @@ def profiles(docs: DataFrame, rarity: np.ndarray, width: int, percent: int) -> D
             counts = np.bincount(bucket, minlength=batch.num_rows * COUNT_BUCKETS)
             # One byte each, modulo 256; ``within_reach`` compares them so.
             marks = counts.astype(np.uint8).reshape(batch.num_rows, COUNT_BUCKETS)
+            fine = [b""] * batch.num_rows
+            for i in np.flatnonzero(n >= FINE_FROM).tolist():
+                bucket = (value[first[i] : first[i] + n[i]] >> np.uint64(54)).astype(np.int64)
+                fine[i] = np.bincount(bucket, minlength=FINE_BUCKETS).astype(np.uint8).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     column(batch, "id"),
@@ -146,11 +152,12 @@ def profiles(docs: DataFrame, rarity: np.ndarray, width: int, percent: int) -> D
                     pa.array(dp.view(np.int64)),
                     _lists(prefix.view(np.int64), p),
                     pa.array([m.tobytes() for m in marks], pa.binary()),
+                    pa.array(fine, pa.binary()),
                 ],
-                ["id", "row_key", "n", "d1", "d2", "dp", "prefix", "marks"],
+                ["id", "row_key", "n", "d1", "d2", "dp", "prefix", "marks", "fine"],
             )
 
-    schema = "id long, row_key long, n long, d1 long, d2 long, dp long, prefix array<long>, marks binary"
+    schema = "id long, row_key long, n long, d1 long, d2 long, dp long, prefix array<long>, marks binary, fine binary"
     return docs.mapInArrow(profile, schema)
 
 
@@ -161,9 +168,23 @@ def within_reach(n_a, n_b, marks_a, marks_b, percent: int) -> np.ndarray:
     # Links need 100 * common >= percent * union, so the sets differ in at most this many shingles.
     room = (n_a + n_b) * (100 - percent) // (100 + percent)
     at = np.flatnonzero(near)
-    gap = marks_a[at] - marks_b[at]  # modulo 256
-    gap = np.minimum(gap, np.uint8(0) - gap).sum(axis=1, dtype=np.int64)  # least difference that fits
-    near[at] = gap <= room[at]
+    near[at] = least_gap(marks_a[at], marks_b[at]) <= room[at]
+    return near
+
+
+def least_gap(marks_a: np.ndarray, marks_b: np.ndarray) -> np.ndarray:
+    """Least sum of differences that fits bucket counts known modulo 256."""
+    gap = marks_a - marks_b
+    return np.minimum(gap, np.uint8(0) - gap).sum(axis=1, dtype=np.int64)
+
+
+def still_near(n_a, n_b, fine_a: list[bytes], fine_b: list[bytes], percent: int) -> np.ndarray:
+    """The same check with the finer counts, for pairs of which both sets have them."""
+    near = np.ones(len(n_a), bool)
+    at = np.asarray([i for i, (a, b) in enumerate(zip(fine_a, fine_b, strict=True)) if a and b], np.int64)
+    for some in np.array_split(at, len(at) // 5_000 + 1):
+        a, b = (np.frombuffer(b"".join(f[i] for i in some), np.uint8).reshape(-1, FINE_BUCKETS) for f in (fine_a, fine_b))
+        near[some] = least_gap(a, b) <= (n_a[some] + n_b[some]) * (100 - percent) // (100 + percent)
     return near
 
 
@@ -177,6 +198,7 @@ def candidate_edges(lists: DataFrame, percent: int) -> DataFrame:
         for table, bounds in whole_runs(batches, ["token", "_i", "_j"]):
             ids, n = table.column("g").to_numpy(), table.column("n").to_numpy()
             marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(-1, COUNT_BUCKETS)
+            fine = table.column("fine").to_pylist()
             known, node = np.unique(ids, return_inverse=True)
             spots = np.fromiter((place.setdefault(i, len(place)) for i in known.tolist()), np.int64, len(known))
             written.up = np.append(written.up, np.arange(len(written.up), len(place)))
@@ -192,6 +214,8 @@ def candidate_edges(lists: DataFrame, percent: int) -> DataFrame:
                 some = a[flat[node[a]] != flat[node[a + step]]]
                 b = some + step
                 hit = within_reach(n[some], n[b], marks[some], marks[b], percent)
+                some, b = some[hit], b[hit]
+                hit = still_near(n[some], n[b], [fine[i] for i in some.tolist()], [fine[i] for i in b.tolist()], percent)
                 for x, y in zip(node[some[hit]].tolist(), node[b[hit]].tolist(), strict=True):
                     if forest.union(x, y):
                         written.union(spots[x], spots[y])
@@ -205,31 +229,43 @@ def candidate_edges(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def links_of(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Spanning links among the sets of one block pair, by exact comparison."""
+    """Spanning links among the sets of one block pair, by exact comparison of all pairs not yet connected."""
     n = np.fromiter(map(len, sets), np.int64, len(sets))
-    flat = np.concatenate(sets)
-    row = np.repeat(np.arange(len(sets)), n)
-    values, code, often = np.unique(flat, return_inverse=True, return_counts=True)
+    part = np.cumsum(n) // SET_VALUES  # so that two parts at a time fit
+    forest, out = Forest(len(sets)), []
+    parts = [np.flatnonzero(part == k) for k in np.unique(part)]
+    for i, mine in enumerate(parts):
+        for theirs in parts[i:]:
+            members = mine if theirs is mine else np.concatenate([mine, theirs])
+            for a, b in _pairs_that_link(members, sets, n, forest, len(mine), percent):
+                out.append((int(ids[a]), int(ids[b])))
+    return out
+
+
+def _pairs_that_link(members, sets, n, forest: Forest, first: int, percent: int) -> Iterator[tuple[int, int]]:
+    """Links between the ``first`` members and all members; sets are bit rows over the shingles that two of them hold."""
+    values, code, often = np.unique(np.concatenate([sets[m] for m in members]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(members)), n[members])
     shared = often > 1  # others are in no intersection
-    width = -(-int(shared.sum()) // 8)
     dense = np.cumsum(shared) - 1
     keep = shared[code]
     row, code = row[keep], dense[code[keep]]
-    bits = np.zeros((len(sets), max(width, 1)), np.uint8)
+    bits = np.zeros((len(members), max(-(-int(shared.sum()) // 8), 1)), np.uint8)
     np.bitwise_or.at(bits, (row, code >> 3), np.uint8(1) << (code & 7).astype(np.uint8))
-    forest, out = Forest(len(sets)), []
     chunk = max(1, (4 << 20) // bits.shape[1])
-    for a in range(len(sets) - 1):
-        roots = forest.flatten()
+    for a in range(min(first, len(members) - 1)):
+        roots = forest.flatten()[members]
         b = a + 1 + np.flatnonzero(roots[a + 1 :] != roots[a])
-        low, high = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
-        b = b[100 * low >= percent * high]
+        if first < len(members):
+            b = b[b >= first]  # pairs of the first part met before
+        n_a, n_b = n[members[a]], n[members[b]]
+        b = b[100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)]
         for some in (b[i : i + chunk] for i in range(0, len(b), chunk)):
             common = np.bitwise_count(bits[a] & bits[some]).sum(axis=1, dtype=np.int64)
-            for x in some[100 * common >= percent * (n[a] + n[some] - common)].tolist():
-                if forest.union(a, x):
-                    out.append((int(ids[a]), int(ids[x])))
-    return out
+            good = 100 * common >= percent * (n_a + n[members[some]] - common)
+            for x in some[good].tolist():
+                if forest.union(members[a], members[x]):
+                    yield members[a], members[x]
 
 
 def exact_links(sets: DataFrame, percent: int) -> DataFrame:
@@ -288,17 +324,18 @@ def ngram_components(
         F.first("dp").alias("dp"),
         F.first("prefix").alias("prefix"),
         F.first("marks").alias("marks"),
+        F.first("fine").alias("fine"),
     )
     number = F.xxhash64("n", "d1", "d2").alias("c")
-    classes = stage(classes.select(number, "n", "d1", "d2", "r.*", "dp", "prefix", "marks"), "ngram-classes")
+    classes = stage(classes.select(number, "n", "d1", "d2", "r.*", "dp", "prefix", "marks", "fine"), "ngram-classes")
     # Groups: classes with equal prefix and size, and equal bucket counts, so that one check holds for all members.
-    alike = ["n", "dp", "marks"]
+    alike = ["n", "dp", "marks", "fine"]
     groups = classes.groupBy(*alike).agg(F.min("c").alias("g"), F.first("prefix").alias("prefix"))
     groups = stage(groups, "ngram-groups")
     listed = groups.select("g", "n", F.explode("prefix").alias("token")).withColumn(
         "size", F.count("*").over(W.partitionBy("token"))
     )
-    lists = blocked(listed.where("size > 1"), "size", "g", LIST_BLOCK).join(groups.select("g", "marks"), "g")
+    lists = blocked(listed.where("size > 1"), "size", "g", LIST_BLOCK).join(groups.select("g", "marks", "fine"), "g")
     near = components(stage(candidate_edges(lists, percent), "ngram-candidates"))
     members = (
         classes.select("c", "id", "row_key", *alike)

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from changeflow.llm import graph, ngram_join
@@ -67,6 +68,43 @@ def test_components_equal_brute_force(spark, monkeypatch, block):
     assert sorted(map(tuple, got), key=repr) == brute(rows)
 
 
+def test_links_in_small_parts(monkeypatch):
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(20, 50))) for _ in range(80)]
+    whole = ngram_join.links_of(np.arange(80), sets, 45)
+    monkeypatch.setattr(ngram_join, "SET_VALUES", 200)
+    parts = ngram_join.links_of(np.arange(80), sets, 45)
+
+    def groups(pairs):
+        forest = ngram_join.Forest(80)
+        for a, b in pairs:
+            forest.union(a, b)
+        return forest.flatten().tolist()
+
+    def linked(a, b):
+        return 100 * len(np.intersect1d(a, b)) >= 45 * len(np.union1d(a, b))
+
+    close = [(a, b) for a in range(80) for b in range(a) if linked(sets[a], sets[b])]
+    assert groups(whole) == groups(parts) == groups(close) and len(set(groups(close))) < 80
+
+
+def test_bucket_counts_never_rule_out_a_link():
+    rng = np.random.default_rng(8)
+    for size in (40, 3_000, 60_000):
+        one = rng.integers(0, 1 << 63, size, np.uint64) * np.uint64(2)
+        for share in (0.0, 0.02, 0.05, 0.3):
+            two = one.copy()
+            new = rng.random(size) < share
+            two[new] = rng.integers(0, 1 << 63, int(new.sum()), np.uint64)
+            differ = 2 * int(new.sum())
+            for bits, buckets in ((58, ngram_join.COUNT_BUCKETS), (54, ngram_join.FINE_BUCKETS)):
+                a, b = (np.bincount((x >> np.uint64(bits)).astype(np.int64), minlength=buckets) for x in (one, two))
+                gap = int(ngram_join.least_gap(a.astype(np.uint8)[None], b.astype(np.uint8)[None])[0])
+                assert gap <= differ
+                if size == 60_000 and buckets == ngram_join.FINE_BUCKETS and share == 0.3:
+                    assert gap > (2 * size) // 19  # and the finer counts do rule out what is far
+
+
 def test_keep_one(spark):
     rows = [(1, "a b c d"), (2, "A b c d"), (3, "z"), (4, None), (5, None), (3, "z")]
     docs = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA)
