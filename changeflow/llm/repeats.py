@@ -4,7 +4,7 @@ A repeat is a string of ``LENGTH`` bytes that starts at two places, in one text
 
 1. Anchors: of all ``GRAM``-byte strings in a window of ``LENGTH`` bytes the one with the least hash is an anchor.
    The choice depends on the window's bytes alone, so every repeat holds the same anchor at all its places.
-2. Anchors whose bytes occur at one place only are dropped, by one sort of narrow rows.
+2. Anchors whose bytes occur at one place only are dropped: keys with two places are found by an aggregate and joined back.
 3. The suffixes at the anchors that remain are sorted within their group of equal ``GRAM`` bytes, which gives a suffix
    array restricted to anchors, with the lengths of common prefixes. A scan with a stack lists its common-prefix
    intervals; within each interval the occurrences are sorted by what stands to their left. Occurrences whose left
@@ -118,20 +118,11 @@ def anchors(texts: DataFrame) -> DataFrame:
 
 
 def repeated(found: DataFrame) -> DataFrame:
-    """Anchors whose bytes start at two places or more, once each."""
-
-    def several(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, bounds in whole_runs(batches, ["key"]):
-            columns = [table.column(c).to_numpy() for c in ("r1", "r2", "pos", "key")]
-            new = np.ones(table.num_rows, bool)
-            new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
-            sizes = np.repeat(np.add.reduceat(new.astype(np.int64), bounds[:-1]), np.diff(bounds))
-            keep = new & (sizes > 1)
-            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["r1", "r2", "pos", "key"])
-
-    order = ["key", "r1", "r2", "pos"]
-    dealt = found.repartition("key").sortWithinPartitions(*order)
-    return dealt.mapInArrow(several, "r1 long, r2 long, pos long, key long")
+    """Anchors whose bytes start at two places or more."""
+    place = F.xxhash64("r1", "r2", "pos")
+    # Folded per task before the shuffle, and a join that Spark can split: a key with most of the rows is not one task.
+    several = found.groupBy("key").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high")
+    return found.join(several.select("key"), "key", "left_semi")
 
 
 def surroundings(placed: DataFrame) -> DataFrame:
@@ -322,8 +313,9 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def repeat_stretches(texts: DataFrame) -> DataFrame:
     """Covered stretches of distinct texts; see ``stretches``."""
-    places = stage(repeated(anchors(texts)), "repeat-anchors")
-    lists = places.groupBy("r1", "r2").agg(F.collect_list(F.struct("pos", "key")).alias("own"))
+    places = repeated(stage(anchors(texts), "repeat-anchors"))
+    # A set: equal texts give the same anchors.
+    lists = places.groupBy("r1", "r2").agg(F.collect_set(F.struct("pos", "key")).alias("own"))
     # One row of each text.
     least = W.partitionBy("r1", "r2").orderBy(F.col("_id").asc_nulls_first())
     one = texts.select("r1", "r2", "_id").withColumn("k", F.row_number().over(least)).where("k = 1")
