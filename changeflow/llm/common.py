@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +15,21 @@ from pyspark.sql import functions as F
 
 from changeflow.session import scratch_path, stage
 
-__all__ = ["column", "held_out", "scratch_path", "stage", "sub_batches", "table", "words_of"]
+__all__ = ["column", "held_out", "scratch_path", "ship", "stage", "sub_batches", "table", "words_of"]
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application, so that they need no copy of it."""
+    context = spark.sparkContext
+    if getattr(context, "_changeflow_code_sent", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="changeflow-code-")) / "changeflow_code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as code:
+        for file in sorted(package.rglob("*.py")):
+            code.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._changeflow_code_sent = True
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

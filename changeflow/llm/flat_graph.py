@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import column, stage
+from changeflow.llm.common import column, ship, stage
 from changeflow.llm.graph import components
 from changeflow.llm.runs import Forest, blocked, whole_runs
 
@@ -259,6 +259,7 @@ def search(rows: DataFrame, lists: DataFrame, least: float) -> DataFrame:
 
 
 def found_links(nodes: DataFrame, least: float) -> DataFrame:
+    ship(nodes.sparkSession)
     rows = shard_rows(nodes, centroids(nodes))
     lists = edges_of_shards(rows).groupBy("node").agg(F.collect_set("near").alias("near"))
     return search(rows, stage(lists, "vector-graph"), least)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.llm.common import column, sub_batches
+from changeflow.llm.common import column, ship, sub_batches
 
 DIMENSIONS = 1024
 OTHER = 37
@@ -137,6 +137,7 @@ def identify_batch(texts: list[str | None], names: list[str], units: np.ndarray)
 
 
 def _shared_model(docs: DataFrame, train: DataFrame, text_col: str, label_col: str):
+    ship(docs.sparkSession)
     names, vectors = prototypes(train, train[label_col], text_col)
     norms = np.linalg.norm(vectors, axis=1, keepdims=True) if names else np.ones((0, 1))
     return docs.sparkSession.sparkContext.broadcast((names, vectors / np.where(norms == 0, 1, norms)))

@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from changeflow.llm.columns import same
-from changeflow.llm.common import column, stage, sub_batches, words_of
+from changeflow.llm.common import column, ship, stage, sub_batches, words_of
 from changeflow.llm.graph import components
 from changeflow.llm.runs import Forest, blocked, whole_runs
 
@@ -310,6 +310,7 @@ def ngram_components(
     docs: DataFrame, width: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, row_key, n_shingles, component_id) per document row; ``row_key`` tells rows with one id apart by text."""
+    ship(docs.sparkSession)
     texts = docs.select(
         F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("id"),
         F.xxhash64(docs[text_col]).alias("row_key"),

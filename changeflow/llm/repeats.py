@@ -34,7 +34,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeflow.llm.common import column, stage, sub_batches
+from changeflow.llm.common import column, ship, stage, sub_batches
 from changeflow.llm.runs import blocked, whole_runs
 
 LENGTH = 400
@@ -346,6 +346,7 @@ def cut_out(text: memoryview, spans: list, whole: bool) -> tuple[bytes, int, int
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts_too: bool = False) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256) per row; with ``texts_too`` also the kept bytes as ``kept``."""
+    ship(docs.sparkSession)
     texts = keyed(docs, id_col, text_col)
     spans = repeat_stretches(texts).groupBy("r1", "r2").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     copies = texts.groupBy("r1", "r2").agg(F.count("*").alias("copies"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from changeflow.llm import tokenizing
-from changeflow.llm.common import column, sub_batches
+from changeflow.llm.common import column, ship, sub_batches
 
 # The characters with the Unicode property White_Space.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -78,6 +78,7 @@ def token_counts(
     """Rows of (id, n_bytes, n_tokens, over_limit); ``over_limit`` is ``n_tokens > limit``."""
     json_text = tokenizing.read_text(tokenizer_file)
     check_kind(json.loads(json_text))
+    ship(docs.sparkSession)
     # Bounded by the vocabulary.
     shared = docs.sparkSession.sparkContext.broadcast((json_text, whole_tokens(json_text)))
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.llm import tokenizing
-from changeflow.llm.common import column, sub_batches, words_of
+from changeflow.llm.common import column, ship, sub_batches, words_of
 
 ROW_INDEX_STRIDE = 1_000
 STRIPE_BYTES = 16 << 20
@@ -100,6 +100,7 @@ def write_token_files(
     text_col: str = "text",
 ) -> None:
     """Encode ``docs`` and write (doc_id, segment, offset, n_tokens, ids) in ascending id order."""
+    ship(docs.sparkSession)
     json_text = tokenizing.read_text(tokenizer_file)
     shared = docs.sparkSession.sparkContext.broadcast(json_text)
 
@@ -157,6 +158,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 def digest(rows: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of rows read back; fails when a stored count is wrong."""
+    ship(rows.sparkSession)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches):
