@@ -96,14 +96,16 @@ def build(
         revisions = st.merge_latest(previous.revision_map, current, "change_id", "revision")
     revisions = st.save_table(root, run_id, "revision_map", revisions)
 
-    reject_rows = nodes.rejects(frames.wanted)
+    # Narrow rows, written once: everything below starts from them, and hooks run once.
+    wanted_files = save(frames.wanted, "wanted", frames.wanted.schema)
+    reject_rows = nodes.rejects(wanted_files)
     reject_rows = save(reject_rows, "rejects", reject_rows.schema)
     if options.strict and not reject_rows.isEmpty():
         raise ValueError(f"files with unknown actions, see {folder}/rejects")
 
     # Finished changes leave first: nothing below is done for them.
     fingerprint = options_fingerprint(options)
-    wanted, stored = frames.wanted, []
+    wanted, stored = wanted_files, []
     if options.restore:
         done, stored = _batches(spark, folder, fingerprint)
         wanted = wanted.join(done.select("change_id").distinct(), ["change_id"], "left_anti")
@@ -140,7 +142,7 @@ def build(
         prior = previous.path_status if previous is not None else None
         usage = directories.kept_usage(replay.keep_allowed(records, prior))
     else:
-        usage = directories.dir_usage(frames.wanted)
+        usage = directories.dir_usage(wanted_files)
     if previous is not None:
         usage = directories.merge_usage(previous.dir_usage, usage)
     usage = st.save_table(root, run_id, "dir_usage", usage)

@@ -36,6 +36,10 @@ class SegmentsWritten(WriterCommitMessage):
     entries: list
 
 
+# Spark's names of stores that Arrow calls otherwise.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfs"}
+
+
 class DumpSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -45,12 +49,18 @@ class DumpSource(DataSource):
         return DumpWriter(self.options["path"], self.options.get("name", "dump"), overwrite)
 
 
+def file_store(path: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's file system for a path as Spark spells it."""
+    scheme, found, rest = path.partition("://")
+    return fs.FileSystem.from_uri(ARROW_SCHEMES.get(scheme, scheme) + found + rest if found else path)
+
+
 class DumpWriter(DataSourceArrowWriter):
     def __init__(self, path: str, name: str, overwrite: bool) -> None:
         self.path, self.name, self.overwrite = path, name, overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> SegmentsWritten:
-        store, root = fs.FileSystem.from_uri(self.path)
+        store, root = file_store(self.path)
         store.create_dir(root, recursive=True)
         attempt = uuid.uuid4().hex
         entries, key, out = [], None, None
@@ -77,7 +87,7 @@ class DumpWriter(DataSourceArrowWriter):
         return SegmentsWritten(entries)
 
     def commit(self, messages: list) -> None:
-        store, root = fs.FileSystem.from_uri(self.path)
+        store, root = file_store(self.path)
         store.create_dir(root, recursive=True)
         written = sorted(
             (e for m in messages if m is not None for e in m.entries),
@@ -96,7 +106,7 @@ class DumpWriter(DataSourceArrowWriter):
                 store.delete_file(f"{root}/{entry['file']}")
 
     def abort(self, messages: list) -> None:
-        store, root = fs.FileSystem.from_uri(self.path)
+        store, root = file_store(self.path)
         for message in messages:
             for entry in message.entries if message is not None else ():
                 store.delete_file(f"{root}/{entry['file']}")
