@@ -39,7 +39,7 @@ from changeflow.llm.runs import Forest, blocked, whole_runs
 
 RARITY_BUCKETS = 1 << 16
 COUNT_BUCKETS = 64
-FINE_FROM, FINE_BUCKETS = 4_096, 1_024  # long sets also keep counts of more buckets
+MOST_BUCKETS = 1 << 14
 LIST_BLOCK = 2_048
 SET_BLOCK = 512
 SET_VALUES = 1 << 21  # shingles compared at once
@@ -88,6 +88,19 @@ def shingles(rows: np.ndarray, words: np.ndarray, n_rows: int, width: int, rarit
     return own, value, np.bincount(own, minlength=n_rows)
 
 
+def fine_buckets(n: int, percent: int) -> int:
+    """How many buckets tell unrelated sets of ``n`` shingles apart; 0 when ``COUNT_BUCKETS`` do.
+
+    Counts of unrelated sets differ by about 1.13 * sqrt(n * buckets) in all; that has to be well above the difference
+    that links are allowed. Too few buckets cost comparisons, never links.
+    """
+    allowed = 2 * n * (100 - percent) / (100 + percent)
+    buckets = COUNT_BUCKETS
+    while buckets < MOST_BUCKETS and 1.13 * (n * buckets) ** 0.5 < 1.3 * allowed:
+        buckets *= 4
+    return buckets if buckets > COUNT_BUCKETS else 0
+
+
 def least_overlap(n, percent: int):
     return (percent * n + 99) // 100
 
@@ -139,9 +152,11 @@ def profiles(docs: DataFrame, rarity: np.ndarray, width: int, percent: int) -> D
             # One byte each, modulo 256; ``within_reach`` compares them so.
             marks = counts.astype(np.uint8).reshape(batch.num_rows, COUNT_BUCKETS)
             fine = [b""] * batch.num_rows
-            for i in np.flatnonzero(n >= FINE_FROM).tolist():
-                bucket = (value[first[i] : first[i] + n[i]] >> np.uint64(54)).astype(np.int64)
-                fine[i] = np.bincount(bucket, minlength=FINE_BUCKETS).astype(np.uint8).tobytes()
+            for i in full.tolist():
+                if buckets := fine_buckets(int(n[i]), percent):
+                    shift = np.uint64(64 - (buckets.bit_length() - 1))
+                    bucket = (value[first[i] : first[i] + n[i]] >> shift).astype(np.int64)
+                    fine[i] = np.bincount(bucket, minlength=buckets).astype(np.uint8).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     column(batch, "id"),
@@ -179,15 +194,25 @@ def least_gap(marks_a: np.ndarray, marks_b: np.ndarray) -> np.ndarray:
 
 
 def still_near(n_a, n_b, fine_a: list[bytes], fine_b: list[bytes], percent: int) -> np.ndarray:
-    """The same check with the finer counts, for pairs of which both sets have them."""
+    """The same check with the finer counts, for pairs of which both sets have them; at the coarser one's buckets."""
     near = np.ones(len(n_a), bool)
-    at = np.asarray([i for i, (a, b) in enumerate(zip(fine_a, fine_b, strict=True)) if a and b], np.int64)
-    for some in np.array_split(at, len(at) // 5_000 + 1):
-        a, b = (np.frombuffer(b"".join(f[i] for i in some), np.uint8).reshape(-1, FINE_BUCKETS) for f in (fine_a, fine_b))
-        near[some] = least_gap(a, b) <= (n_a[some] + n_b[some]) * (100 - percent) // (100 + percent)
+    sizes = np.asarray([(len(a), len(b)) for a, b in zip(fine_a, fine_b, strict=True)], np.int64).reshape(-1, 2)
+    for pair in np.unique(sizes, axis=0):
+        buckets = int(pair.min())
+        if not buckets:
+            continue
+        at = np.flatnonzero((sizes == pair).all(axis=1))
+        for some in np.array_split(at, len(at) * int(pair.max()) // (8 << 20) + 1):
+            a, b = (_folded([f[i] for i in some.tolist()], buckets) for f in (fine_a, fine_b))
+            near[some] = least_gap(a, b) <= (n_a[some] + n_b[some]) * (100 - percent) // (100 + percent)
     return near
 
 
+def _folded(counts: list[bytes], buckets: int) -> np.ndarray:
+    rows = np.frombuffer(b"".join(counts), np.uint8).reshape(len(counts), buckets, -1)
+    return rows.sum(axis=2, dtype=np.uint8)
+
+
 def candidate_edges(lists: DataFrame, percent: int) -> DataFrame:
     """Spanning edges (a, b) of groups that share a prefix shingle and are within reach."""
 
@@ -323,17 +348,22 @@ def ngram_components(
     classes = full.groupBy("n", "d1", "d2").agg(
         F.min(F.struct("id", "row_key")).alias("r"),
         F.first("dp").alias("dp"),
-        F.first("prefix").alias("prefix"),
         F.first("marks").alias("marks"),
         F.first("fine").alias("fine"),
     )
     number = F.xxhash64("n", "d1", "d2").alias("c")
-    classes = stage(classes.select(number, "n", "d1", "d2", "r.*", "dp", "prefix", "marks", "fine"), "ngram-classes")
+    classes = stage(classes.select(number, "n", "d1", "d2", "r.*", "dp", "marks", "fine"), "ngram-classes")
     # Groups: classes with equal prefix and size, and equal bucket counts, so that one check holds for all members.
     alike = ["n", "dp", "marks", "fine"]
-    groups = classes.groupBy(*alike).agg(F.min("c").alias("g"), F.first("prefix").alias("prefix"))
-    groups = stage(groups, "ngram-groups")
-    listed = groups.select("g", "n", F.explode("prefix").alias("token")).withColumn(
+    groups = classes.groupBy(*alike).agg(F.min(F.struct("c", "id", "row_key")).alias("r"))
+    groups = stage(groups.select(F.col("r.c").alias("g"), *alike, "r.id", "r.row_key"), "ngram-groups")
+    # Prefixes move once, for one document of each group.
+    named = groups.select("g", "n", F.col("id").alias("_id"), F.col("row_key").alias("_key"))
+    prefixes = full.select("id", "row_key", "prefix").join(
+        named, (F.col("id") == F.col("_id")) & (F.col("row_key") == F.col("_key"))
+    )
+    prefixes = prefixes.groupBy("id", "row_key", "g", "n").agg(F.first("prefix").alias("prefix"))
+    listed = prefixes.select("g", "n", F.explode("prefix").alias("token")).withColumn(
         "size", F.count("*").over(W.partitionBy("token"))
     )
     lists = blocked(listed.where("size > 1"), "size", "g", LIST_BLOCK).join(groups.select("g", "marks", "fine"), "g")

@@ -97,12 +97,21 @@ def test_bucket_counts_never_rule_out_a_link():
             new = rng.random(size) < share
             two[new] = rng.integers(0, 1 << 63, int(new.sum()), np.uint64)
             differ = 2 * int(new.sum())
-            for bits, buckets in ((58, ngram_join.COUNT_BUCKETS), (54, ngram_join.FINE_BUCKETS)):
-                a, b = (np.bincount((x >> np.uint64(bits)).astype(np.int64), minlength=buckets) for x in (one, two))
-                gap = int(ngram_join.least_gap(a.astype(np.uint8)[None], b.astype(np.uint8)[None])[0])
-                assert gap <= differ
-                if size == 60_000 and buckets == ngram_join.FINE_BUCKETS and share == 0.3:
-                    assert gap > (2 * size) // 19  # and the finer counts do rule out what is far
+            counts = {}
+            for buckets in (64, 256, 1024, 4096):
+                shift = np.uint64(64 - (buckets.bit_length() - 1))
+                counts[buckets] = [
+                    np.bincount((x >> shift).astype(np.int64), minlength=buckets).astype(np.uint8) for x in (one, two)
+                ]
+                a, b = counts[buckets]
+                assert int(ngram_join.least_gap(a[None], b[None])[0]) <= differ
+            sizes = np.asarray([size])
+            for left, right in ((256, 256), (1024, 256), (256, 4096), (4096, 4096)):
+                near = ngram_join.still_near(sizes, sizes, [counts[left][0].tobytes()], [counts[right][1].tobytes()], 90)[0]
+                assert near or differ > 2 * size * 10 // 190
+            if size == 60_000 and share == 0.3:
+                assert not near  # and the finer counts do rule out what is far
+    assert ngram_join.fine_buckets(500, 90) == 0 and ngram_join.fine_buckets(20_000, 90) == 1024
 
 
 def test_keep_one(spark):
