@@ -31,6 +31,8 @@ SYMBOLS = 1 + 26 + OTHER  # 64: a boundary, a-z and classes of other letters
 CODES = SYMBOLS**3
 UNIT = 1 << 20
 MAX_LABELS = 4096
+CODES_AT_ONCE = 2048
+TEXTS_AT_ONCE = 500
 UNDEFINED = "und"
 SEED = 20_240_101
 
@@ -93,8 +95,8 @@ def prototypes(docs: DataFrame, label: Column, text_col: str) -> tuple[list[str]
             each = np.bincount(of_row[rows] * len(used) + code, weights=weight[rows], minlength=len(names) * len(used))
             each = each.reshape(len(names), len(used))
             vectors = np.zeros((len(names), DIMENSIONS))
-            for start in range(0, len(used), 8192):
-                part = slice(start, start + 8192)
+            for start in range(0, len(used), CODES_AT_ONCE):
+                part = slice(start, start + CODES_AT_ONCE)
                 vectors += each[:, part] @ trigram_vectors(used[part]).astype(np.float64)
             for name, vector in zip(names.tolist(), np.rint(vectors).astype(np.int64), strict=True):
                 sums[name] = sums.get(name, 0) + vector
@@ -120,11 +122,13 @@ def identify_batch(texts: list[str | None], names: list[str], units: np.ndarray)
     used, code = np.unique(codes, return_inverse=True)
     dots, square = np.zeros((len(texts), len(names))), np.zeros(len(texts))
     if len(used) and names:
-        counts = np.bincount(rows * len(used) + code, minlength=len(texts) * len(used))
-        counts = counts.reshape(len(texts), len(used)).astype(np.float32)
         vectors = np.zeros((len(texts), DIMENSIONS), np.float32)
-        for start in range(0, len(used), 16_384):
-            vectors += counts[:, start : start + 16_384] @ trigram_vectors(used[start : start + 16_384])
+        for start in range(0, len(used), CODES_AT_ONCE):
+            some = used[start : start + CODES_AT_ONCE]
+            own = (code >= start) & (code < start + len(some))
+            place = rows[own] * len(some) + code[own] - start
+            counts = np.bincount(place, minlength=len(texts) * len(some)).reshape(len(texts), len(some))
+            vectors += counts.astype(np.float32) @ trigram_vectors(some)
         vectors = vectors.astype(np.float64)
         dots, square = vectors @ units.T, np.einsum("ij,ij->i", vectors, vectors)
     empty = (np.bincount(rows, minlength=len(texts)) == 0) | (square == 0)
@@ -154,8 +158,8 @@ def keep_identified(
 
     def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, 2 << 20):
-            for start in range(0, batch.num_rows, 1_000):
-                part = batch.slice(start, 1_000)
+            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(start, TEXTS_AT_ONCE)
                 found, score = identify_batch(column(part, text_col).to_pylist(), *shared.value)
                 good = [f != UNDEFINED and s >= least_score for f, s in zip(found, score.tolist(), strict=True)]
                 yield part.filter(pa.array(good, pa.bool_()))
@@ -174,8 +178,8 @@ def identify(
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, 2 << 20):
-            for start in range(0, batch.num_rows, 1_000):
-                part = batch.slice(start, 1_000)
+            for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(start, TEXTS_AT_ONCE)
                 found, score = identify_batch(column(part, "_text").to_pylist(), *shared.value)
                 arrays = [column(part, c) for c in ("_id", "_held", "row_key")]
                 arrays += [pa.array(found, pa.string()), pa.array(score)]

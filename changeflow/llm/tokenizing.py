@@ -12,7 +12,7 @@ from struct import pack
 import numpy as np
 
 # Pieces kept per worker; when full, the store is emptied and fills again (results do not change).
-KEPT_PIECES = 450_000
+KEPT_PIECES = 250_000
 
 _tokenizers: dict[int, object] = {}
 
