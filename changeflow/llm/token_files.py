@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,27 +60,10 @@ def encode_rows(texts: pa.Array, json_text: str, end_id: int) -> tuple[np.ndarra
     return np.insert(ids, np.cumsum(counts), end_id), counts + 1
 
 
-def by_id_ranges(docs: DataFrame, id_col: str, segments: int) -> DataFrame:
-    """Deal rows to ``segments`` by ranges of a numeric id and sort each.
-
-    The cut points come from quantiles of the id column alone; texts are read once, for the shuffle.
-    """
-    shares = [i / segments for i in range(1, segments)]
-    cuts = docs.select(F.percentile_approx(id_col, shares, 100 * segments).alias("c")).first()["c"] if shares else []
-    segment = _bucket(F.col(id_col), sorted(set(cuts or [])))
-    return docs.repartitionById(segments, segment).sortWithinPartitions(F.col(id_col).asc_nulls_first(), "_text")
-
-
-def _bucket(value: Column, cuts: list) -> Column:
-    """How many cuts lie below ``value``, by a balanced tree of comparisons."""
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        mid = (low + high) // 2
-        return F.when(value > F.lit(cuts[mid]), search(mid + 1, high)).otherwise(search(low, mid))
-
-    return search(0, len(cuts)).cast("int")
+def by_id_ranges(docs: DataFrame, segments: int) -> DataFrame:
+    """Deal rows to at most ``segments`` ascending ranges of ids and sort each."""
+    order = [F.col("doc_id").asc_nulls_first(), F.col("_text").asc_nulls_first()]
+    return docs.repartitionByRange(segments, order[0]).sortWithinPartitions(*order)
 
 
 def segment_count(docs: DataFrame, text_col: str) -> int:
@@ -130,7 +113,7 @@ def write_token_files(
         ]
     )
     plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("_text"))
-    dealt = by_id_ranges(plain, "doc_id", segments or segment_count(plain, "_text"))
+    dealt = by_id_ranges(plain, segments or segment_count(plain, "_text"))
     (
         dealt.mapInArrow(encode, schema)
         .write.option("compression", "zstd")
