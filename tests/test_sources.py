@@ -175,6 +175,24 @@ def test_replay_stream_over_many_batches(spark, tmp_path):
     assert spark.read.parquet(f"{root}/state/seen/2").first().late_rows == 1
 
 
+def test_replay_stream_goes_on_after_a_flush(spark, tmp_path):
+    from test_replay import RECORDS, simulate
+
+    root = str(tmp_path)
+    rows = [(1, 1, "a", "Add"), (2, 1, "b", "Add"), (2, 2, "a", "Delete"), (3, 1, "a", "Edit"), (4, 1, "b", "Edit")]
+    schema_ = spark.createDataFrame([], RECORDS).schema
+    for batch, arriving in enumerate((rows[:3], [*rows[3:], (2, 3, "b", "Delete")])):
+        spark.createDataFrame(arriving, RECORDS).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(schema_).parquet(f"{root}/in")
+        replay_stream(stream, f"{root}/state", f"{root}/out", f"{root}/cp", compact_every=1).awaitTermination()
+        flush_replay(spark, schema_, f"{root}/state", f"{root}/out", batch, compact_every=1)
+    allowed, status = simulate(rows)
+    got = _out(spark, root)
+    assert {(r.change_id, r.part): r.allowed for r in got} == allowed and len(got) == len(rows)
+    assert {r.path: r.status for r in ReplayState(spark, f"{root}/state", 1).statuses(2).collect()} == status
+    assert spark.read.parquet(f"{root}/state/seen/1").first().late_rows == 1
+
+
 def test_migrate_stream_runs_increments(spark, tmp_path):
     import test_jobs as jobs
 
