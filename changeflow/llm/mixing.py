@@ -101,11 +101,8 @@ def schedule(
         F.col("source").alias("_source"), "total", "quota"
     )
     epochs = F.ceil(F.col("quota") / F.col("total"))
-    key = F.md5(
-        F.concat_ws(
-            "|", F.lit(str(seed)), F.coalesce("source", F.lit("")), F.col("epoch").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-        ).cast("binary")
-    )
+    parts = [F.coalesce("source", F.lit("")), F.col("epoch"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))]
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), *(p.cast("string") for p in parts)).cast("binary"))
     repeated = (
         rows.join(plan, same(F.col("source"), F.col("_source")))
         .where(F.col("quota") > 0)

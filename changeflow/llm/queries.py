@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import chat, decontaminate, flat_graph, langid, mixing, ngram_join, repeats, sql, suffix_tree, token_counts, token_files
+from changeflow.llm import (
+    chat,
+    decontaminate,
+    flat_graph,
+    langid,
+    mixing,
+    ngram_join,
+    repeats,
+    sql,
+    suffix_tree,
+    token_counts,
+    token_files,
+)
 from changeflow.llm.common import held_out, scratch_path, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
