@@ -378,7 +378,8 @@ def ngram_components(
     )
     members = stage(members, "ngram-members")
     read = (
-        texts.join(members, (F.col("id") == F.col("_id")) & (F.col("row_key") == F.col("_key")))
+        # Both sides grow with the corpus: the same plan at every size.
+        texts.join(members.hint("merge"), (F.col("id") == F.col("_id")) & (F.col("row_key") == F.col("_key")))
         .groupBy("id", "row_key", "c", "cc", "size")
         .agg(F.first("_text").alias("_text"))
     )
