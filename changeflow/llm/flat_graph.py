@@ -5,8 +5,11 @@
    centroids, within its label and length; all nodes are indexed.
 3. In each shard every node's nearest ``CANDIDATES`` are pruned: a candidate goes when one kept before it is closer to
    it than the node is, by the factor ``ALPHA``; at most ``DEGREE`` stay. Lists of a node from all its shards are united.
+   A node whose list had no room for all that lies within the search's reach is crowded, and enters its own list.
 4. Each node searches the united graph within each of its shards: greedily from the shard's medoid to its own
-   neighbourhood, then outward, over all nodes within ``SLACK`` of the wanted cosine.
+   neighbourhood, then outward, over all nodes within ``reach``. Crowded nodes, and nodes whose search meets one, are
+   compared with all members of the task instead. What is left has all its links among its candidates, and each of them
+   was kept or has a kept node closer to it by ``ALPHA`` on the way, so no link within a task is missed.
 5. Pairs found are checked in double precision. A pair that shares several shards counts in the least of them. Tasks
    write sums per node and a spanning forest, never the pairs, so a group of near copies costs no rows beyond its own.
 6. ``audit`` compares a bounded sample of queries per shard with brute force over the shard's members.
@@ -115,9 +118,18 @@ def shard_rows(nodes: DataFrame, found: np.ndarray) -> DataFrame:
     return stage(blocked(placed.drop("near", "label", "id", "size"), "members", "node", BLOCK), "vector-shards")
 
 
-def prune(x: np.ndarray) -> np.ndarray:
-    """Neighbour lists (n, DEGREE) of unit vectors; unused places hold the node itself."""
-    n = len(x)
+def reach(least: float) -> float:
+    """Least cosine of the nodes that a search for ``least`` goes through.
+
+    A pruned link is followed by way of nodes at most ``(1 + ALPHA ** -1)`` times as far off as the link is long.
+    """
+    return min(least - SLACK, 1 - (1 - least) * (1 + 1 / ALPHA) ** 2 - 1e-6)
+
+
+def prune(x: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbour lists (n, DEGREE) of unit vectors, unused places holding the node itself, and which are crowded."""
+    n, within = len(x), 1 - reach(least)
+    crowded = np.zeros(n, bool)
     keep = np.repeat(np.arange(n)[:, None], DEGREE, axis=1)
     width = min(CANDIDATES, n - 1)
     for start in range(0, n, 128):
@@ -136,21 +148,25 @@ def prune(x: np.ndarray) -> np.ndarray:
             keep[rows[take], filled[take]] = best[take, j]
             filled[take] += 1
             alive[take] &= ALPHA * between[take, j] > own[take]
-    return keep
+        # What is still alive found no place; behind a full row of candidates there may be more.
+        crowded[rows] = (alive & (own <= within)).any(axis=1) | ((width < n - 1) & (own[:, -1] <= within))
+    return keep, crowded
 
 
-def edges_of_shards(rows: DataFrame) -> DataFrame:
-    """(node, near): pruned lists of every shard."""
+def edges_of_shards(rows: DataFrame, least: float) -> DataFrame:
+    """(node, near): pruned lists of every shard; crowded nodes are near themselves."""
 
     def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_runs(batches, ["shard", "_i", "_j"]):
             ids, vectors, out_a, out_b = table.column("node").to_numpy(), table.column("vec").to_pylist(), [], []
             for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                lists = prune(unit(np.asarray(vectors[low:high])))
+                lists, crowded = prune(unit(np.asarray(vectors[low:high])), least)
                 own = np.repeat(np.arange(high - low), DEGREE)
                 real = lists.ravel() != own
                 out_a.append(ids[low + own[real]])
                 out_b.append(ids[low + lists.ravel()[real]])
+                out_a.append(ids[low:high][crowded])
+                out_b.append(ids[low:high][crowded])
             arrays = [pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))]
             yield pa.RecordBatch.from_arrays(arrays, ["node", "near"])
 
@@ -158,12 +174,14 @@ def edges_of_shards(rows: DataFrame) -> DataFrame:
     return dealt.sortWithinPartitions("shard", "_i", "_j").mapInArrow(build, "node long, near long")
 
 
-def range_search(x: np.ndarray, lists: np.ndarray, least: float) -> np.ndarray:
+def range_search(x: np.ndarray, lists: np.ndarray, least: float, crowded: np.ndarray) -> np.ndarray:
     """Boolean (n, n): pairs within ``least`` cosine that the graph search reaches, for every node as a query.
 
-    ``lists``: neighbours of each node, padded with the node itself.
+    ``lists``: neighbours of each node, padded with the node itself. ``crowded`` nodes are compared with all.
     """
     n = len(x)
+    through = reach(least)
+    whole = crowded.copy()  # queries that a comparison with all members answers
     centre = unit(x.mean(axis=0, keepdims=True) + 1e-300)[0] if n else None
     here = np.full(n, int(np.argmax(x @ centre)))  # the medoid
     cosine = x @ x[here[0]]
@@ -176,9 +194,13 @@ def range_search(x: np.ndarray, lists: np.ndarray, least: float) -> np.ndarray:
             break
         here[better], cosine[better] = near[better, best[better]], value[better, best[better]]
     seen, found = np.zeros((n, n), bool), np.zeros((n, n), bool)
-    q = np.concatenate([np.arange(n), np.arange(n)])
-    at = np.concatenate([here, np.arange(n)])  # where the search ended, and the query's own place
+    own = np.flatnonzero(~whole)
+    q = np.concatenate([own, own])
+    at = np.concatenate([here[own], own])  # where the search ended, and the query's own place
     seen[q, at] = True
+    met = crowded[at] & (np.einsum("kd,kd->k", x[q], x[at]) >= through)
+    whole[q[met]] = True
+    q, at = q[~whole[q]], at[~whole[q]]
     while len(q):
         next_q, next_at = [], []
         for part in np.array_split(np.arange(len(q)), len(q) // 50_000 + 1):
@@ -189,11 +211,16 @@ def range_search(x: np.ndarray, lists: np.ndarray, least: float) -> np.ndarray:
             a, b = code // n, code % n
             seen[a, b] = True
             value = np.einsum("kd,kd->k", x[a], x[b])
-            near = value >= least - SLACK
+            near = value >= through
+            whole[a[near & crowded[b]]] = True
             found[a, b] |= value >= least - 1e-9
             next_q.append(a[near])
             next_at.append(b[near])
         q, at = np.concatenate(next_q), np.concatenate(next_at)
+        q, at = q[~whole[q]], at[~whole[q]]
+    for some in np.array_split(np.flatnonzero(whole), int(whole.sum()) // 512 + 1):
+        found[some] = x[some] @ x.T >= least - 1e-9
+    np.fill_diagonal(found, False)
     return found | found.T
 
 
@@ -223,7 +250,8 @@ def search(rows: DataFrame, lists: DataFrame, least: float) -> DataFrame:
                 shard, i, j, own, ids, weight = (c[low:high] for c in columns)
                 x = np.asarray(vectors[low:high])
                 norm = np.linalg.norm(x, axis=1)
-                found = range_search(x / norm[:, None], _padded(ids, near[low:high]), least)
+                crowded = np.asarray([k in (own or []) for k, own in zip(ids.tolist(), near[low:high], strict=True)])
+                found = range_search(x / norm[:, None], _padded(ids, near[low:high]), least, crowded)
                 a, b = np.nonzero(np.triu(found, 1))
                 exact = np.einsum("kd,kd->k", x[a], x[b]) / (norm[a] * norm[b]) >= least
                 a, b = a[exact], b[exact]
@@ -261,7 +289,7 @@ def search(rows: DataFrame, lists: DataFrame, least: float) -> DataFrame:
 def found_links(nodes: DataFrame, least: float) -> DataFrame:
     ship(nodes.sparkSession)
     rows = shard_rows(nodes, centroids(nodes))
-    lists = edges_of_shards(rows).groupBy("node").agg(F.collect_set("near").alias("near"))
+    lists = edges_of_shards(rows, least).groupBy("node").agg(F.collect_set("near").alias("near"))
     return search(rows, stage(lists, "vector-graph"), least)
 
 

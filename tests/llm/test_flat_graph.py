@@ -93,5 +93,37 @@ def test_recall_on_given_vectors_with_near_copies(spark, monkeypatch):
     assert flat_graph.audit(nodes) >= 0.9
 
 
+def two_groups(size=60, dims=64):
+    rng = np.random.default_rng(1)
+    centre, apart = np.linalg.qr(rng.normal(size=(dims, 2)))[0].T
+    rows = []
+    for k, sign in enumerate((-1, 1)):
+        core = centre + sign * 0.06 * apart
+        rows += [(1000 * k + i, (core + rng.normal(size=dims) * 0.003).tolist(), 1) for i in range(size)]
+    return rows
+
+
+def test_links_between_tight_groups_larger_than_the_candidate_lists(spark):
+    rows = two_groups()
+    want = brute(rows)
+    assert {r[1] for r in want} == {119} and {r[2] for r in want} == {0}  # every pair links
+    frame = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)
+    assert sorted(map(tuple, flat_graph.near_duplicates(frame).collect()), key=repr) == want
+
+
+@pytest.mark.parametrize("least", [0.9, 0.98])
+def test_search_finds_every_link_of_a_task(least):
+    rng = np.random.default_rng(7)
+    rows = [v for _, v, _ in two_groups(70, 16)] + rng.normal(size=(150, 16)).tolist()
+    for spread in (0.02, 0.05, 0.1):
+        rows += (np.asarray(rng.normal(size=16)) + rng.normal(size=(90, 16)) * spread).tolist()
+    x = flat_graph.unit(np.asarray(rows))
+    lists, crowded = flat_graph.prune(x, least)
+    exact = x @ x.T >= least
+    np.fill_diagonal(exact, False)
+    assert 0 < crowded.sum() < len(x)
+    assert not (exact & ~flat_graph.range_search(x, lists, least, crowded)).any()
+
+
 def test_no_rows(spark):
     assert flat_graph.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
