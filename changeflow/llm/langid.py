@@ -5,8 +5,8 @@ vectors, the first shifted by two places and the second by one. A text's vector
 language's prototype is the sum over its training texts, each weighted by the inverse of its number of trigrams. A text
 gets the language whose prototype has the largest cosine with it; the cosine, at least 0, is its score.
 
-Symbols are a-z, a word boundary, and ``OTHER`` hash classes for all further letters, so any script works with a
-fixed table. Sums are taken over whole numbers, so results do not depend on the order of rows or partitions.
+Symbols are a word boundary and every letter by itself, of any script. A letter's vector is generated from a hash of the
+letter where it is needed, so there is no table of them. Sums are taken over whole numbers, so results do not depend on the order of rows or partitions.
 
 A text that is null or has no letter is ``und`` with score 0, and so is every text when there is nothing to learn from.
 Rows with a null label or text do not train. Ties go to the label that sorts first. Repeated rows count each. Extra columns
@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.llm.common import column, ship, sub_batches
+from changeflow.llm.ngram_join import MIX, mixed
 
 DIMENSIONS = 1024
-OTHER = 37
-SYMBOLS = 1 + 26 + OTHER  # 64: a boundary, a-z and classes of other letters
-CODES = SYMBOLS**3
+PLAIN = 1 + 26  # symbols of a boundary and a-z; other letters are their code points, which are larger
+GROUPS = (0, 6, 12)  # 6-bit groups of a symbol, enough for code points of letters (below 1 << 18)
 UNIT = 1 << 20
 MAX_LABELS = 4096
 CODES_AT_ONCE = 2048
@@ -40,26 +40,33 @@ _tables: dict[str, np.ndarray] = {}
 
 
 def _symbols() -> np.ndarray:
-    """Symbol of every code point."""
+    """Symbol of every code point, its groups of 6 bits 18 bits apart: three symbols fit in one code, 6 bits shifted."""
     if "symbols" not in _tables:
-        table = np.zeros(0x110000, np.uint8)
-        points = np.fromiter((p for p in range(0x110000) if chr(p).isalpha()), np.int64)
-        table[points] = 27 + (points * 2654435761 % 4294967296 >> 7) % OTHER
-        table[ord("a") : ord("z") + 1] = np.arange(1, 27)
-        _tables["symbols"] = table
+        symbols = np.zeros(0x110000, np.int64)
+        points = np.fromiter((p for p in range(1 << 18) if chr(p).isalpha()), np.int64)  # no letters lie above
+        symbols[points] = points
+        symbols[ord("a") : ord("z") + 1] = np.arange(1, PLAIN)
+        _tables["symbols"] = sum(((symbols >> g) & 63) << 3 * g for g in GROUPS)
     return _tables["symbols"]
 
 
+def letter_vectors(symbols: np.ndarray) -> np.ndarray:
+    """The vector of +1 and -1 of each symbol."""
+    words = symbols.astype(np.uint64)[:, None] * np.uint64(DIMENSIONS // 64) + np.arange(DIMENSIONS // 64, dtype=np.uint64)
+    bits = mixed((words + np.uint64(SEED)) * MIX[0]).astype("<u8").view(np.uint8)
+    return np.unpackbits(bits, axis=1).astype(np.float32) * 2 - 1
+
+
 def _letters() -> np.ndarray:
-    if "letters" not in _tables:
-        signs = np.random.default_rng(SEED).integers(0, 2, (SYMBOLS, DIMENSIONS), dtype=np.int8)
-        _tables["letters"] = (2 * signs - 1).astype(np.float32)
-    return _tables["letters"]
+    """Vectors of the boundary and of a-z."""
+    return letter_vectors(np.arange(PLAIN))
 
 
 def trigram_vectors(codes: np.ndarray) -> np.ndarray:
-    letters = _letters()
-    first, second, third = codes >> 12, (codes >> 6) & 63, codes & 63
+    parts = [sum(((codes >> (place + 3 * g)) & 63) << g for g in GROUPS) for place in (12, 6, 0)]
+    symbols, at = np.unique(np.concatenate(parts), return_inverse=True)
+    first, second, third = at.reshape(3, -1)
+    letters = letter_vectors(symbols)
     return np.roll(letters, 2, axis=1)[first] * np.roll(letters, 1, axis=1)[second] * letters[third]
 
 
@@ -70,7 +77,7 @@ def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     joined = np.frombuffer(("\n" + "\n\n".join(lowered) + "\n").encode("utf-32-le", "surrogatepass"), "<u4")
     sizes = np.fromiter(map(len, lowered), np.int64, len(lowered)) + 2
     rows = np.repeat(np.arange(len(texts)), sizes)
-    symbols = _symbols()[joined].astype(np.int64)
+    symbols = _symbols()[joined]
     # Runs of boundaries within a text count once.
     keep = np.ones(len(symbols), bool)
     keep[1:] = (symbols[1:] > 0) | (symbols[:-1] > 0) | (rows[1:] != rows[:-1])

@@ -35,6 +35,36 @@ def test_trigram_sums_equal_brute_force():
     assert (vector == np.roll(one, 2) * np.roll(two, 1) * three).all()
 
 
+def test_every_letter_has_its_own_vector():
+    letters = [chr(p) for p in (*range(0xC0, 0x250), *range(0x370, 0x530), *range(0x4E00, 0x5200), 0x20000) if chr(p).isalpha()]
+    letters = sorted({c.lower() for c in letters if len(c.lower()) == 1} | set("abcdefghijklmnopqrstuvwxyz"))
+    rows, codes = langid.trigrams(letters)
+    assert rows.tolist() == list(range(len(letters))) and len(set(codes.tolist())) == len(letters) > 1_000
+    vectors = langid.trigram_vectors(codes)
+    assert set(np.unique(vectors)) == {-1, 1}
+    near = vectors @ vectors.T / langid.DIMENSIONS
+    np.fill_diagonal(near, 0)
+    assert np.abs(near).max() < 0.25
+    three = langid.trigrams(["\u00e9\u4e00\u0434", "\u00e9\u0434\u4e00"])[1]
+    assert len(set(three.tolist())) == 6
+
+
+def test_languages_that_differ_only_in_letters_beyond_ascii(spark):
+    rng = np.random.default_rng(3)
+    # Pairs of letters that shared a class when other letters had few symbols.
+    own = {"one": "\u00fc\u00e2\u00e4", "two": "\u00e9\u00e7\u00df", "three": "\u00e0\u00f1\u00e4", "four": "\u00ef\u00f5\u00e3"}
+
+    def text(name, n):
+        letters = list("aeinrst" + own[name])
+        return " ".join("".join(rng.choice(letters, rng.integers(2, 8))) for _ in range(n))
+
+    rows = [(100 * k + i, text(name, 60), name) for k, name in enumerate(own) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = F.col("doc_id") % 3 == 0
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, held).where("held_out").collect()}
+    assert len(got) == 40 and all(got[i] == name for i, _, name in rows if i in got)
+
+
 def test_defined_cases(spark):
     rows = [(1, "the cat and the dog", "en", 0.0), (2, "der hund und die katze", "de", 0.0), (3, None, "en", 0.0)]
     rows += [(4, "", None, 0.0), (5, "123 !?", "de", 0.0), (None, "the cat", None, None), (6, "die katze " * 50_000, None, 0.0)]
