@@ -34,6 +34,8 @@ MAX_LABELS = 4096
 CODES_AT_ONCE = 2048
 TEXTS_AT_ONCE = 500
 UNDEFINED = "und"
+CLEAR = 0.5
+NOISE = 4.5
 SEED = 20_240_101
 
 _tables: dict[str, np.ndarray] = {}
@@ -87,8 +89,8 @@ def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return rows[:-2][inside], codes[inside]
 
 
-def prototypes(docs: DataFrame, label: Column, text_col: str) -> tuple[list[str], np.ndarray]:
-    """Labels in order and their summed vectors, learned from all rows with a label and a text."""
+def prototypes(docs: DataFrame, label: Column, text_col: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Labels in order, their summed vectors and weights of trigrams, learned from all rows with a label and a text."""
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -105,11 +107,13 @@ def prototypes(docs: DataFrame, label: Column, text_col: str) -> tuple[list[str]
             for start in range(0, len(used), CODES_AT_ONCE):
                 part = slice(start, start + CODES_AT_ONCE)
                 vectors += each[:, part] @ trigram_vectors(used[part]).astype(np.float64)
+            # The weight stands behind the vector, as one more place.
+            vectors = np.column_stack([vectors, each.sum(axis=1)])
             for name, vector in zip(names.tolist(), np.rint(vectors).astype(np.int64), strict=True):
                 sums[name] = sums.get(name, 0) + vector
         for name, vector in sums.items():
-            place = pa.array(np.arange(DIMENSIONS, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array([name] * DIMENSIONS), place, pa.array(vector)], ["label", "k", "v"])
+            place = pa.array(np.arange(DIMENSIONS + 1, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(place)), place, pa.array(vector)], ["label", "k", "v"])
 
     learned = docs.select(label.cast("string").alias("_label"), docs[text_col].alias("_text")).where(
         F.col("_label").isNotNull() & F.col("_text").isNotNull()
@@ -120,11 +124,19 @@ def prototypes(docs: DataFrame, label: Column, text_col: str) -> tuple[list[str]
     found = per_label.select("label", F.col("vs.v").alias("vector")).orderBy("label").limit(MAX_LABELS + 1).collect()
     if len(found) > MAX_LABELS:
         raise ValueError(f"more than {MAX_LABELS} labels")
-    vectors = np.asarray([r.vector for r in found], np.float64).reshape(-1, DIMENSIONS)
-    return [r.label for r in found], vectors
+    vectors = np.asarray([r.vector for r in found], np.float64).reshape(-1, DIMENSIONS + 1)
+    return [r.label for r in found], vectors[:, :-1], vectors[:, -1]
 
 
 def identify_batch(texts: list[str | None], names: list[str], units: np.ndarray) -> tuple[list[str], np.ndarray]:
+    found, score, _ = compare_batch(texts, names, units)
+    return found, score
+
+
+def compare_batch(
+    texts: list[str | None], names: list[str], units: np.ndarray
+) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language and score of each text, and how many trigrams it is worth: n, less when the same ones repeat."""
     rows, codes = trigrams(texts)
     used, code = np.unique(codes, return_inverse=True)
     dots, square = np.zeros((len(texts), len(names))), np.zeros(len(texts))
@@ -138,37 +150,57 @@ def identify_batch(texts: list[str | None], names: list[str], units: np.ndarray)
             vectors += counts.astype(np.float32) @ trigram_vectors(some)
         vectors = vectors.astype(np.float64)
         dots, square = vectors @ units.T, np.einsum("ij,ij->i", vectors, vectors)
-    empty = (np.bincount(rows, minlength=len(texts)) == 0) | (square == 0)
+    total = np.bincount(rows, minlength=len(texts))
+    empty = (total == 0) | (square == 0)
+    # The square of a text's vector is about DIMENSIONS times the sum of squared counts of its trigrams.
+    worth = np.where(empty, 0.0, total.astype(float) ** 2 * DIMENSIONS / np.where(empty, 1, square))
     if not names:
-        return [UNDEFINED] * len(texts), np.zeros(len(texts))
+        return [UNDEFINED] * len(texts), np.zeros(len(texts)), worth
     best = np.argmax(np.round(dots, 6), axis=1)
     cosine = dots[np.arange(len(texts)), best] / np.sqrt(np.where(empty, 1, square))
     score = np.where(empty, 0.0, np.clip(cosine, 0.0, 1.0))
-    return [UNDEFINED if e else names[b] for e, b in zip(empty.tolist(), best.tolist(), strict=True)], score
+    return [UNDEFINED if e else names[b] for e, b in zip(empty.tolist(), best.tolist(), strict=True)], score, worth
+
+
+def unlike_all(score: np.ndarray, worth: np.ndarray, spread: float) -> np.ndarray:
+    """Whether texts are clearly in none of the languages.
+
+    A text of a language has a cosine of about sqrt(worth * share) with its profile, ``share`` being the chance that two
+    trigrams of the language are equal; ``spread`` is the least share of all profiles. Where that is ``CLEAR`` or more,
+    a cosine within ``NOISE`` standard deviations of that of unrelated vectors tells that the text is of another kind.
+    Shorter texts may lack the common trigrams by chance, and are not judged.
+    """
+    return (worth * spread >= CLEAR**2) & (score < NOISE / DIMENSIONS**0.5)
 
 
 def _shared_model(docs: DataFrame, train: DataFrame, text_col: str, label_col: str):
     ship(docs.sparkSession)
-    names, vectors = prototypes(train, train[label_col], text_col)
+    names, vectors, _ = prototypes(train, train[label_col], text_col)
     norms = np.linalg.norm(vectors, axis=1, keepdims=True) if names else np.ones((0, 1))
     return docs.sparkSession.sparkContext.broadcast((names, vectors / np.where(norms == 0, 1, norms)))
 
 
-def keep_identified(
-    docs: DataFrame, least_score: float = 0.0, text_col: str = "text", label_col: str = "lang"
-) -> DataFrame:
-    """The rows of ``docs`` whose language can be told: not ``und``, and with ``least_score`` or more.
+def keep_identified(docs: DataFrame, text_col: str = "text", label_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that may be of a known language: not ``und`` and not ``unlike_all`` profiles.
 
     All labelled rows train. Rows keep all their columns and do not move between partitions.
     """
-    shared = _shared_model(docs, docs, text_col, label_col)
+    ship(docs.sparkSession)
+    names, vectors, weights = prototypes(docs, docs[label_col], text_col)
+    squares = np.einsum("ij,ij->i", vectors, vectors)
+    units = vectors / np.sqrt(np.where(squares == 0, 1, squares))[:, None]
+    # The square of a prototype is about DIMENSIONS times the sum of its trigrams' squared weights.
+    shares = squares[weights > 0] / DIMENSIONS / weights[weights > 0] ** 2
+    shared = docs.sparkSession.sparkContext.broadcast((names, units, float(shares.min()) if len(shares) else 0.0))
 
     def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, 2 << 20):
             for start in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(start, TEXTS_AT_ONCE)
-                found, score = identify_batch(column(part, text_col).to_pylist(), *shared.value)
-                good = [f != UNDEFINED and s >= least_score for f, s in zip(found, score.tolist(), strict=True)]
+                names, units, spread = shared.value
+                found, score, worth = compare_batch(column(part, text_col).to_pylist(), names, units)
+                unlike = unlike_all(score, worth, spread).tolist()
+                good = [f != UNDEFINED and not u for f, u in zip(found, unlike, strict=True)]
                 yield part.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(accept, docs.schema)

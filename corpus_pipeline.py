@@ -14,8 +14,8 @@ from changeflow.llm.common import scratch_path, stage, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without letters, or with none of the known profiles, go."""
-    return langid.keep_identified(docs, least_score=0.05)
+    """Documents that may be of a known language; those without letters, or clearly unlike every profile, go."""
+    return langid.keep_identified(docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -79,6 +79,21 @@ def test_stages_equal_brute_force(spark, tmp_path):
     assert sorted(five, key=lambda r: r[1]) == want
 
 
+def test_language_stage_keeps_short_clean_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = sorted({w for (t,) in docs.select("text").collect() for w in re.findall(r"[^\W\d_]+", t or "")})[:3_000]
+    short = ["OK", "Hello world", "a", "xyzzy " * 400, *words]
+    rng = np.random.default_rng(6)
+    strange = ["".join(chr(c) for c in rng.integers(0x10A0, 0x10FB, 4_000) if chr(c).isalpha()) for _ in range(20)]
+    rows = [(10_000_000 + i, t, None, "x", len(t)) for i, t in enumerate([*short, *strange])]
+    known = [tuple(r) for r in docs.collect()]
+    kept = corpus_pipeline.language_id(spark, spark.createDataFrame(known + rows, docs.schema), DATA)
+    kept = collections.Counter(map(tuple, kept.collect()))
+    assert all(kept[r] == 1 for r in rows[: len(short)])
+    assert not any(kept[r] for r in rows[len(short) : len(short) + 20])  # a script that no profile has
+    assert all(kept[r] for r in known if re.search(r"[^\W\d_]", r[1] or ""))
+
+
 def test_run(spark):
     got = corpus_pipeline.run(spark, DATA)
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
