@@ -19,6 +19,7 @@ from changeflow.llm import (
     suffix_tree,
     token_counts,
     token_files,
+    whitening,
 )
 from changeflow.llm.common import held_out, scratch_path, stage, table
 
@@ -112,3 +113,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return suffix_tree.scores(docs, held_out(docs["doc_id"], parts=7))
+
+
+@query("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), most=16)
