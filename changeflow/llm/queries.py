@@ -14,6 +14,7 @@ from changeflow.llm import (
     langid,
     mixing,
     ngram_join,
+    packing,
     repeats,
     sql,
     suffix_tree,
@@ -115,6 +116,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.scores(docs, held_out(docs["doc_id"], parts=7))
 
 
+@query("op12_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.piece_table(table(spark, sf_dir, "documents"), _path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+    packed = packing.pack(stage(pieces, "token-pieces").drop("ids"), capacity=2048)
+    return packed.drop("key")
+
+
 @query("op13_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), most=16)
