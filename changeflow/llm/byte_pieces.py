@@ -104,36 +104,46 @@ def sums_between(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate(([0], np.cumsum(values, dtype=np.int64)))[bounds])
 
 
-class Coder:
-    """Ids of texts by distinct pieces.
+class Store:
+    """Values of keys by ``make``, which a worker asks once per key as long as the key stays in the store.
 
-    ``cuts`` finds the pieces; ``encode`` gives the ids of new pieces, each as little-endian 32-bit bytes. A piece whose
-    ids do not spell its bytes may be given as None: texts that hold it are ``broken`` and have no ids.
+    Two generations: a full store becomes the older one, and what is used again moves to the new one.
     """
 
-    def __init__(self, cuts: Callable, encode: Callable[[list[bytes]], list[bytes | None]]):
-        self.cuts, self.encode = cuts, encode
-        # Two generations: a full store becomes the older one, and what is used again moves to the new one.
-        self.known: dict[bytes, bytes | None] = {}
-        self.older: dict[bytes, bytes | None] = {}
+    def __init__(self, make: Callable[[list[bytes]], list], size_of: Callable, longest: int = LONGEST_KEPT):
+        self.make, self.size_of, self.longest = make, size_of, longest
+        self.known: dict[bytes, object] = {}
+        self.older: dict[bytes, object] = {}
         self.size = 0
 
-    def _values(self, pieces: list[bytes]) -> list[bytes | None]:
+    def __call__(self, keys: list[bytes]) -> list:
         known, older = self.known, self.older
-        missing = [p for p in pieces if p not in known]
-        fresh = {p: older[p] for p in missing if p in older}
-        new = [p for p in missing if p not in fresh]
+        missing = [k for k in keys if k not in known]
+        fresh = {k: older[k] for k in missing if k in older}
+        new = [k for k in missing if k not in fresh]
         if new:
-            fresh.update(zip(new, self.encode(new), strict=True))
-        values = [known[p] if p in known else fresh[p] for p in pieces]
+            fresh.update(zip(new, self.make(new), strict=True))
+        values = [known[k] if k in known else fresh[k] for k in keys]
         if self.size > STORE_BYTES / 2:
             self.older, self.known, self.size = known, {}, 0
-        for piece, ids in fresh.items():
-            if len(piece) <= LONGEST_KEPT:
-                self.known[piece] = ids
-                self.size += len(piece) + len(ids or b"") + ENTRY_BYTES
+        for key, value in fresh.items():
+            if len(key) <= self.longest:
+                self.known[key] = value
+                self.size += len(key) + self.size_of(value) + ENTRY_BYTES
         return values
 
+
+class Coder:
+    """Ids of texts by distinct pieces.
+
+    ``cuts`` finds the pieces; ``encode`` gives the ids of new pieces, each as little-endian 32-bit bytes. A piece whose
+    ids do not spell its bytes may be given as None: texts that hold it are ``broken`` and have no ids.
+    """
+
+    def __init__(self, cuts: Callable, encode: Callable[[list[bytes]], list[bytes | None]]):
+        self.cuts = cuts
+        self.values = Store(encode, lambda ids: len(ids or b""))
+
     def __call__(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in order, the number of ids of each text, and which texts are broken."""
         n = len(bounds) - 1
@@ -145,7 +155,7 @@ class Coder:
             pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
         )
         coded = pieces.dictionary_encode()
-        values = self._values(coded.dictionary.to_pylist())
+        values = self.values(coded.dictionary.to_pylist())
         codes = coded.indices.to_numpy(zero_copy_only=False)
         owned = np.searchsorted(starts, bounds)
         broken = np.zeros(n, bool)
