@@ -227,7 +227,7 @@ class ByteLevel:
         if not odd.any():
             ids, counts, _ = self.coder(*text_bytes(texts))
             return ids, counts
-        ids, counts, _ = self.coder(*text_bytes(pc.if_else(pa.array(odd), "", texts)))
+        ids, counts, _ = self.coder(*text_bytes(pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts)))
         rows = np.flatnonzero(odd)
         found = [
             np.asarray(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.llm import (
+    alignment,
     chat,
     decontaminate,
     flat_graph,
@@ -116,6 +117,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.scores(docs, held_out(docs["doc_id"], parts=7))
 
 
+@query("op11_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, _path("byte_bpe_50k.json"), _path("piece_bpe_32k.model"))
+
+
 @query("op12_packing")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.piece_table(table(spark, sf_dir, "documents"), _path("byte_bpe_50k.json"), capacity=2048, end_id=0)
