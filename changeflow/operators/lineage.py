@@ -109,13 +109,33 @@ def with_revision(files: DataFrame, revisions: DataFrame) -> DataFrame:
     return out.withColumn("revision", F.coalesce("revision", F.lit(0)))
 
 
-def resolve_copies(
-    wanted: DataFrame,
-    all_files: DataFrame,
-    integrations: DataFrame,
-    prints: DataFrame,
-    revisions: DataFrame,
-    options: MigrationOptions,
+def ask_sources(wanted: DataFrame, integrations: DataFrame, options: MigrationOptions) -> DataFrame:
+    """Branched and integrated files with the source revision each names: columns of ``schema.ASKED``."""
+    candidates = wanted.where(F.col("action").isin("BRANCH", "INTEGRATE")).select(
+        "change_id", "file_ord", F.col("depot_path").alias("to_path"), F.col("rev").alias("to_rev")
+    )
+    target = ["to_path", "to_rev"]
+    # Only what this run's candidates name is looked up in the history.
+    named = integrations.join(candidates.select(target), target, "left_semi")
+    return candidates.join(pick_sources(named, options.semantics), target).select(
+        "change_id", "file_ord", "to_path", "to_rev", "from_path", "from_rev"
+    )
+
+
+def source_changes(asked: DataFrame, all_files: DataFrame, options: MigrationOptions) -> DataFrame:
+    """The change that made each source revision asked for: columns of ``schema.SOURCES``."""
+    keys = asked.select("from_path", "from_rev").distinct()
+    return find_source_changes(keys, all_files.where(is_wanted(F.col("depot_path"), options.branches)))
+
+
+def named_revisions(asked: DataFrame) -> DataFrame:
+    """(depot_path, rev) of all targets and sources, whose content is compared."""
+    targets = asked.select(F.col("to_path").alias("depot_path"), F.col("to_rev").alias("rev"))
+    return targets.union(asked.select("from_path", "from_rev")).distinct()
+
+
+def compare_copies(
+    asked: DataFrame, sources: DataFrame, prints: DataFrame, revisions: DataFrame, options: MigrationOptions
 ) -> DataFrame:
     """(change_id, file_ord, copy_from_path, copy_from_rev) of the files that are plain copies.
 
@@ -123,25 +143,15 @@ def resolve_copies(
     step is an inner join that only narrows the candidates, so rows without a source never travel
     along as NULL keys.
     """
-    candidates = wanted.where(F.col("action").isin("BRANCH", "INTEGRATE")).select(
-        "change_id", "file_ord", F.col("depot_path").alias("to_path"), F.col("rev").alias("to_rev")
-    )
-    target = ["to_path", "to_rev"]
-    # Only what this run's candidates name is looked up in the history.
-    named = integrations.join(candidates.select(target), target, "left_semi")
-    picks = pick_sources(named, options.semantics)
     targets = prints.toDF("to_path", "to_rev", "to_bytes", "to_digest")
-    asked = candidates.join(picks, target).join(targets, target)
-    keys = picks.select(F.col("from_path").alias("depot_path"), F.col("from_rev").alias("rev")).distinct()
-
+    asked = asked.join(targets, ["to_path", "to_rev"])
     # Everything known about a source revision is gathered once per revision, before it meets the
     # (possibly very many) targets that name it.
-    sources = all_files.where(is_wanted(F.col("depot_path"), options.branches)).select(
-        "depot_path", "rev", "change_id"
+    made = sources.select(
+        F.col("from_path").alias("depot_path"), F.col("from_rev").alias("rev"), F.col("from_change_id").alias("change_id")
     )
-    sources = sources.join(keys, ["depot_path", "rev"], "left_semi")
-    sources = (
-        with_revision(sources, revisions)
+    known = (
+        with_revision(made, revisions)
         .where("revision <> 0")
         .join(prints, ["depot_path", "rev"])
         .select(
@@ -155,7 +165,20 @@ def resolve_copies(
         )
     )
     same = same_content(F.col("to_bytes"), F.col("to_digest"), F.col("from_bytes"), F.col("from_digest"))
-    copies = asked.join(sources, ["from_path", "from_rev"]).where(same)
+    copies = asked.join(known, ["from_path", "from_rev"]).where(same)
     if options.corrected:
         copies = copies.where(F.col("from_change_id") < F.col("change_id"))
     return copies.select("change_id", "file_ord", "copy_from_path", "copy_from_rev")
+
+
+def resolve_copies(
+    wanted: DataFrame,
+    all_files: DataFrame,
+    integrations: DataFrame,
+    prints: DataFrame,
+    revisions: DataFrame,
+    options: MigrationOptions,
+) -> DataFrame:
+    """All of the above in one lazy frame, for inputs that are stored tables."""
+    asked = ask_sources(wanted, integrations, options)
+    return compare_copies(asked, source_changes(asked, all_files, options), prints, revisions, options)

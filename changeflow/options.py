@@ -83,9 +83,11 @@ class MigrationOptions:
     cleanup_time: str | None = None
     restore: bool = False
     strict: bool = False
+    # A segment of the dump holds at most this many bytes, unless one record alone is longer, and so many records.
+    bytes_per_segment: int = 128 << 20
     records_per_segment: int = 100_000
     # Changes per step of a build; each step is marked as finished when it is written. 0: one step.
-    changes_per_step: int = 0
+    changes_per_step: int = 65_536
     hooks: Hooks = field(default_factory=Hooks)
 
     def __post_init__(self) -> None:
@@ -93,8 +95,10 @@ class MigrationOptions:
             raise ValueError(f"semantics must be one of {SEMANTICS}")
         if not callable(self.numbering) and self.numbering not in ("serial", "identity"):
             raise ValueError("numbering must be 'serial', 'identity' or a callable")
-        if self.split_by < 0 or self.records_per_segment < 1 or self.changes_per_step < 0:
-            raise ValueError("split_by and changes_per_step must be >= 0 and records_per_segment >= 1")
+        if self.split_by < 0 or self.changes_per_step < 0:
+            raise ValueError("split_by and changes_per_step must be >= 0")
+        if self.records_per_segment < 1 or self.bytes_per_segment < 2:
+            raise ValueError("a segment must have room for a record")
 
     @property
     def corrected(self) -> bool:

@@ -16,6 +16,7 @@ from changeflow.sources.event_log import table
 from changeflow.sources.state import load_state, merge_latest
 
 SPLIT_BY = 100
+SEGMENT_BYTES = 256 << 10
 PLAIN = replace(OPTIONS, cleanup=False)
 
 
@@ -37,11 +38,11 @@ def split_assignment(spark, sf_dir):
     GROUP BY split_id
 """)
 def dump_write_roundtrip(spark, sf_dir):
-    options = replace(PLAIN, split_by=SPLIT_BY, records_per_segment=500)
+    options = replace(PLAIN, split_by=SPLIT_BY, bytes_per_segment=SEGMENT_BYTES)
     log = Log(spark, sf_dir, options)
     kept = stage(replay.keep_allowed(log.records.unionByName(log.headers)), "kept")
     out = scratch_path(spark, "dump")
-    write_dump(publish.lay_out(kept, log.contents, options), out)
+    write_dump(publish.lay_out(kept, log.contents, options, log.prints), out)
     # The files themselves, their bytes in manifest order; a split of 100 changes fits a row.
     parts = F.sort_array(F.collect_list(F.struct("segment", "content")))
     joined = F.aggregate(parts, F.lit("").cast("binary"), lambda whole, part: F.concat(whole, part["content"]))

@@ -1,7 +1,7 @@
 """Canonical table schemas."""
 
 from pyspark.sql.types import (
-    BinaryType, BooleanType, IntegerType, LongType, MapType, StringType, StructField, StructType,
+    ArrayType, BinaryType, BooleanType, IntegerType, LongType, MapType, StringType, StructField, StructType,
     TimestampNTZType,
 )
 
@@ -33,8 +33,12 @@ DIR_USAGE = _table(path=_str, usage=_long)
 PATH_STATUS = _table(path=_str, status=_int)
 FINGERPRINTS = _table(depot_path=_str, rev=_int, n_bytes=_int, digest=_str)
 COPIES = _table(change_id=_int, file_ord=_int, copy_from_path=_str, copy_from_rev=_int)
-RUN_META = _table(run_id=_str, last_change_id=_int, last_revision=_int)
+LAYER = _table(folder=_str, rows=_long, buckets=_int)
+RUN_META = _table(run_id=_str, last_change_id=_int, last_revision=_int, layers=MapType(_str, ArrayType(LAYER)))
 COMPLETED = _table(change_id=_int, fingerprint=_str, batch=_str)
+HASHED = _table(low=_int, high=_int, fingerprint=_str, batch=_str)
+SOURCES = _table(from_path=_str, from_rev=_int, from_change_id=_int)
+ASKED = _table(change_id=_int, file_ord=_int, to_path=_str, to_rev=_int, from_path=_str, from_rev=_int)
 DUMP_RECORDS = _table(
     split_id=_int, segment=_long, change_id=_int, part=_int, record=_bin
 )

@@ -3,12 +3,14 @@
 Spark's text sink cannot write records without separators, so the bytes go out through the Python
 data source API. Records arrive sorted; each (split, segment) becomes one file. File names are unique
 per task attempt and only files a finished attempt reports enter the manifest, so a lost executor or
-a task that runs twice leaves no trace in the result, and nothing has to be renamed.
+a task that runs twice leaves no trace in the result, and nothing has to be renamed. The end of a job, good or bad,
+deletes the files of its other attempts; replacing a dump also deletes what earlier jobs left in the folder.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import sys
 import uuid
 from collections.abc import Iterator
@@ -56,34 +58,42 @@ def file_store(path: str) -> tuple[fs.FileSystem, str]:
 
 
 class DumpWriter(DataSourceArrowWriter):
+    """Writes segments; every file carries the job's mark, so the end of a job can tell its own from others'."""
+
     def __init__(self, path: str, name: str, overwrite: bool) -> None:
         self.path, self.name, self.overwrite = path, name, overwrite
+        self.job = uuid.uuid4().hex[:12]
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> SegmentsWritten:
         store, root = file_store(self.path)
         store.create_dir(root, recursive=True)
-        attempt = uuid.uuid4().hex
+        attempt = uuid.uuid4().hex[:12]
         entries, key, out = [], None, None
-        for batch in iterator:
-            if not batch.num_rows:
-                continue
-            records = batch.column("record").cast(pa.large_binary())
-            for begin, end, split, segment in _runs(batch):
-                if (split, segment) != key:
-                    if out is not None:
-                        out.close()
-                    key = (split, segment)
-                    file = f"{self.name}{split or ''}-{segment:09d}-{attempt}"
-                    out = store.open_output_stream(f"{root}/{file}")
-                    entries.append(
-                        {"split_id": split, "segment": segment, "file": file, "bytes": 0, "records": 0}
-                    )
-                chunk = _joined(records.slice(begin, end - begin))
-                out.write(chunk)
-                entries[-1]["bytes"] += chunk.size
-                entries[-1]["records"] += end - begin
-        if out is not None:
-            out.close()
+        try:
+            for batch in iterator:
+                if not batch.num_rows:
+                    continue
+                records = batch.column("record").cast(pa.large_binary())
+                for begin, end, split, segment in _runs(batch):
+                    if (split, segment) != key:
+                        if out is not None:
+                            out.close()
+                        key = (split, segment)
+                        file = f"{self.name}{split or ''}-{segment:09d}-{self.job}-{attempt}"
+                        out = store.open_output_stream(f"{root}/{file}")
+                        entries.append(
+                            {"split_id": split, "segment": segment, "file": file, "bytes": 0, "records": 0}
+                        )
+                    chunk = _joined(records.slice(begin, end - begin))
+                    out.write(chunk)
+                    entries[-1]["bytes"] += chunk.size
+                    entries[-1]["records"] += end - begin
+            if out is not None:
+                out.close()
+        except BaseException:
+            # An attempt that fails takes its files along; one that is killed leaves them to the end of the job.
+            _delete(store, root, [e["file"] for e in entries])
+            raise
         return SegmentsWritten(entries)
 
     def commit(self, messages: list) -> None:
@@ -101,15 +111,26 @@ class DumpWriter(DataSourceArrowWriter):
         lines = written if self.overwrite else earlier + written
         with store.open_output_stream(target) as stream:
             stream.write("".join(json.dumps(e) + "\n" for e in lines).encode())
-        if self.overwrite:
-            for entry in earlier:
-                store.delete_file(f"{root}/{entry['file']}")
+        # Files of attempts that were killed, and, when a dump is replaced, all that earlier jobs left.
+        named = {e["file"] for e in lines}
+        _delete(store, root, [f for f in self._files(store, root, own=not self.overwrite) if f not in named])
 
     def abort(self, messages: list) -> None:
         store, root = file_store(self.path)
-        for message in messages:
-            for entry in message.entries if message is not None else ():
-                store.delete_file(f"{root}/{entry['file']}")
+        _delete(store, root, self._files(store, root, own=True))
+
+    def _files(self, store: fs.FileSystem, root: str, own: bool) -> list[str]:
+        """Segment files in the folder: this job's, or those of all jobs that wrote under the same name."""
+        mark = self.job if own else "[0-9a-f]{12}"
+        pattern = re.compile(rf"{re.escape(self.name)}\d*-\d{{9,}}-{mark}-[0-9a-f]{{12}}")
+        found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+        return [i.base_name for i in found if i.type == fs.FileType.File and pattern.fullmatch(i.base_name)]
+
+
+def _delete(store: fs.FileSystem, root: str, files: list[str]) -> None:
+    for file in files:
+        if store.get_file_info(f"{root}/{file}").type != fs.FileType.NotFound:
+            store.delete_file(f"{root}/{file}")
 
 
 def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, int]]:

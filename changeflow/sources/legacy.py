@@ -88,7 +88,7 @@ def import_legacy_state(spark: SparkSession, root: str, semantics: str = "faithf
 
 def recorded_parts(spark: SparkSession, root: str, semantics: str = "faithful") -> DataFrame:
     """Part files of an old dump directory with the path and action recorded for them, if any."""
-    parts = discover_parts(spark, root).select("change_id", "part", F.col("path").alias("file"))
+    parts = discover_parts(spark, root).select("change_id", "part", F.col("path").alias("file"), F.col("length").alias("weight"))
     records = import_legacy_state(spark, root, semantics)["node_records"]
     return parts.join(records, ["change_id", "part"], "left")
 
@@ -103,7 +103,7 @@ def assemble_parts(
     parts = recorded_parts(spark, root, options.semantics)
     known = F.col("path").isNotNull()
     kept = replay(parts.where(known), previous).where("allowed").drop("allowed")
-    kept = kept.unionByName(parts.where(~known)).select("change_id", "part", "file")
+    kept = kept.unionByName(parts.where(~known)).select("change_id", "part", "file", "weight")
     placed, headers = place(kept, options)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     files = files.select(F.col("path").alias("file"), F.col("content").alias("record"))

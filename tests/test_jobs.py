@@ -3,6 +3,7 @@ import os
 from dataclasses import replace
 from datetime import datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,8 +11,9 @@ from changeflow import schema
 from changeflow.operators.publish import assign_splits
 from changeflow.options import Branch, Hooks, MigrationOptions
 from changeflow.plans import pipeline
-from changeflow.sinks.dump import read_manifest, read_segments
-from changeflow.sources.state import load_state
+from changeflow.sinks.dump import DumpWriter, read_manifest, read_segments, write_dump
+from changeflow.sources import state as state_tables
+from changeflow.sources.state import TABLES, load_state
 from changeflow.sources.tables import ChangeLog, discover_parts, read_change_log
 
 OPTIONS = MigrationOptions(
@@ -372,3 +374,118 @@ def test_part_files_with_number_names_only(spark, tmp_path):
         path.write_text("data")
     got = discover_parts(spark, str(tmp_path)).orderBy("change_id", "part").collect()
     assert [(r.change_id, r.part, r.length) for r in got] == [(9, 1, 4), (10, 0, 4), (10, 2, 4)]
+
+
+def test_segments_are_bounded_in_bytes(spark, tmp_path, tiny_segments):
+    files = [(1 + i % 3, 1 + i // 3, f"//d/main/f{i:03d}", 1, "ADD", "binary") for i in range(90)]
+    content = [(p, 1, b"x" * (40_000 if i in (10, 50) else 100 + 7 * i)) for i, (_, _, p, *_) in enumerate(files)]
+    log = _log(spark, files=files, content=content, links=[])
+    out, whole = str(tmp_path / "out"), str(tmp_path / "whole")
+    options = replace(OPTIONS, cleanup=False)
+    pipeline.run(log, replace(options, bytes_per_segment=8_000), str(tmp_path / "s"), "r1", out)
+    pipeline.run(log, options, str(tmp_path / "t"), "r1", whole)
+    rows = read_manifest(spark, out).collect()
+    long = [r for r in rows if r.bytes > 8_000]
+    assert len(rows) > 8 and len(long) == 2 and all(r.records == 1 for r in long)
+    assert _dumps(spark, out) == _dumps(spark, whole) and len(read_manifest(spark, whole).collect()) == 1
+
+
+def _batch(rows):
+    names = ["split_id", "segment", "change_id", "part", "record"]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
+
+
+def test_files_of_lost_attempts_are_swept(tmp_path):
+    out = str(tmp_path / "out")
+    rows = [(0, 0, 1, 0, b"a"), (0, 1, 1, 1, b"b"), (0, 2, 1, 2, b"c")]
+
+    def fails():
+        yield _batch(rows[:2])
+        raise RuntimeError("lost")
+
+    first = DumpWriter(out, "dump", True)
+    with pytest.raises(RuntimeError):
+        first.write(fails())
+    assert os.listdir(out) == []
+    first.write(iter([_batch(rows)]))  # an executor that dies after writing never reports
+    message = first.write(iter([_batch(rows)]))
+    first.commit([message, None])
+    assert len(os.listdir(out)) == 4 and {e["file"] for e in message.entries} < set(os.listdir(out))
+    # A second job under the same name that is stopped leaves the first one whole.
+    second = DumpWriter(out, "dump", True)
+    second.write(iter([_batch(rows)]))
+    second.abort([None])
+    assert len(os.listdir(out)) == 4
+    # Appending keeps earlier files, replacing does not, and other names stay in any case.
+    more = DumpWriter(out, "dump", False)
+    more.commit([more.write(iter([_batch([(1, 7, 9, 0, b"z")])]))])
+    other = DumpWriter(out, "dump-b", True)
+    other.write(iter([_batch(rows[:1])]))
+    assert len(os.listdir(out)) == 6
+    last = DumpWriter(out, "dump", True)
+    last.commit([last.write(iter([_batch(rows[:1])]))])
+    assert len(os.listdir(out)) == 3
+
+
+def test_a_failed_dump_leaves_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = spark.range(2_000).select(
+        F.lit(0).alias("split_id"), (F.col("id") / 10).cast("long").alias("segment"), F.lit(1).alias("change_id"),
+        F.col("id").cast("int").alias("part"), F.col("id").cast("string").cast("binary").alias("record"),
+    )
+    write_dump(rows.where("part < 100"), out)
+    before = sorted(os.listdir(out))
+    stopped = F.when(F.col("part") < 1_990, F.col("record")).otherwise(F.raise_error(F.lit("stopped")).cast("binary"))
+    with pytest.raises(Exception, match="stopped"):
+        write_dump(rows.withColumn("record", stopped), out)
+    assert sorted(os.listdir(out)) == before
+
+
+def test_runs_write_only_what_they_touch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state_tables, "FOLD", 0)
+    root = str(tmp_path / "s")
+    log = _log(spark, files=[*FILES, *((1, 10 + i, f"//d/main/deep/f{i}", 1, "ADD", "text") for i in range(20))])
+    options = replace(OPTIONS, cleanup=False)
+    pipeline.run_incremental(log, replace(options, to_change=2), root, "r1")
+    second = pipeline.run_incremental(log, options, root, "r2")
+    state = load_state(spark, root)
+    own = {n: spark.read.schema(TABLES[n]).parquet(f"{root}/{x[-1].folder}") for n, x in state.layers.items()}
+    assert [tuple(r) for r in own["revision_map"].collect()] == [(3, 3)]
+    assert [tuple(r) for r in own["path_status"].collect()] == [("trunk/a.txt", 0)]
+    assert {tuple(r) for r in own["dir_usage"].collect()} == {("trunk/", 20)}
+    assert {n: len(x) for n, x in state.layers.items()} == {n: 1 if n == "fingerprints" else 2 for n in TABLES}
+    assert {r.path: r.usage for r in second.usage.collect()} == {"trunk/": 20, "rel/": 1, "trunk/deep/": 20}
+
+
+def test_restore_reads_no_finished_content(spark, tmp_path):
+    root = str(tmp_path / "s")
+    log = _log(spark)
+    change = F.when(F.col("depot_path").contains("rel") | (F.col("rev") == 2), 2).otherwise(1)
+    contents = log.contents.withColumn("change_id", change)
+    contents.write.parquet(str(tmp_path / "contents"))
+    contents = spark.read.parquet(str(tmp_path / "contents"))
+    stops = replace(OPTIONS, cleanup=False, changes_per_step=1)
+
+    def fail(records):
+        seen.append(1)
+        return records.where(F.raise_error(F.lit("stopped")).isNull()) if len(seen) == 2 else records
+
+    seen = []
+    with pytest.raises(Exception, match="stopped"):
+        hooks = Hooks(after_build=(fail,))
+        pipeline.build(replace(log, contents=contents), replace(stops, hooks=hooks), root, "r1")
+    # All contents were hashed before the build stopped, so none is read again; nor are finished records made again.
+    closed = contents.withColumn("content", F.raise_error(F.lit("content was read")).cast("binary"))
+    restored = replace(stops, restore=True)
+    built = pipeline.build(replace(log, contents=closed), restored, root, "r1")
+    pipeline.publish(built, replace(log, contents=contents), restored, root, str(tmp_path / "out"))
+    assert _dumps(spark, str(tmp_path / "out"))[0] == HEADER + R1 + R2 + R3
+    # A step whose contents were not hashed is: here the third change, which has none, and a new range after it.
+    assert len(spark.read.parquet(f"{root}/r1/hashed").collect()) == 3
+
+
+def test_ranges_left_to_do():
+    assert pipeline.without([(0, 10)], []) == [(0, 10)]
+    assert pipeline.without([(0, 10)], [(2, 4), (6, 12)]) == [(0, 2), (4, 6)]
+    assert pipeline.without([(0, 5), (5, 9)], [(0, 9)]) == []
+    assert pipeline.without([(0, 5), (5, 9)], [(4, 6)]) == [(0, 4), (6, 9)]

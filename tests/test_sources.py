@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -7,6 +8,7 @@ from changeflow import schema
 from changeflow.operators.changes import in_range, last_per_key, late_changes
 from changeflow.options import Branch, MigrationOptions
 from changeflow.sources import legacy
+from changeflow.sources import state as tables
 from changeflow.sources.state import load_state, merge_latest, save_run_meta, save_table
 from changeflow.sources.tables import changes_touching, read_changelists, read_table
 from changeflow.streaming.replay_stream import ReplayState, flush_replay, migrate_stream, replay_stream
@@ -207,3 +209,26 @@ def test_migrate_stream_runs_increments(spark, tmp_path):
     assert jobs._dumps(spark, f"{root}/out/000000000")[0] == jobs.HEADER + jobs.R1 + jobs.R2
     assert jobs._dumps(spark, f"{root}/out/000000001")[0] == jobs.HEADER + jobs.R3
     assert load_state(spark, f"{root}/s").last_revision == 3
+
+
+def test_layers_fold_by_size_and_the_newest_row_counts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_BUCKET", 40)
+    now, want, written = tables.empty_state(spark, str(tmp_path)), {}, []
+    sizes = [100, 3, 3, 10, 1, 0, 2, 60, 1]
+    for step, size in enumerate(sizes):
+        rows = [(f"p{(7 * step + k) % 120}", step) for k in range(size)]
+        want.update(rows)
+        layers = tables.add_layer(now, f"r{step}", "path_status", spark.createDataFrame(rows, schema.PATH_STATUS))
+        written.append(layers[-1].rows)
+        now = replace(now, layers={"path_status": layers})
+        assert all(a.rows > tables.FOLD * b.rows for a, b in zip(layers, layers[1:]))
+    assert {r.path: r.status for r in now.path_status.collect()} == want
+    assert written[:6] == [100, 3, 6, 16, 1, 1] and now.layers["path_status"][0].buckets > 1
+    asked = spark.createDataFrame([("p3",), ("p7",), ("none",)], "path string")
+    found = now.lookup("path_status", asked)
+    assert {r.path: r.status for r in found.collect()} == {p: want[p] for p in ("p3", "p7")}
+    # A look-up names the folders it needs.
+    plan = found._jdf.queryExecution().toString()
+    assert "_bucket IN" in plan or "_bucket#" in plan
+    newer = spark.createDataFrame([("p3", 77), ("p9", 78)], schema.PATH_STATUS)
+    assert {r.path: r.status for r in now.lookup("path_status", asked, newer).collect()} == {"p3": 77, "p7": want["p7"]}
