@@ -92,6 +92,15 @@ def space_cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut[:-1])
 
 
+def word_cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Starts of pieces: a run of other bytes with the ASCII white space behind it; white space before a text's first word."""
+    cut = np.zeros(len(data) + 1, bool)
+    cut[bounds] = True
+    space = IS_SPACE[data]
+    cut[1:-1] |= space[:-1] & ~space[1:]
+    return np.flatnonzero(cut[:-1])
+
+
 def spread(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The stretches flat[start : start + length] one after another."""
     total = int(lengths.sum())

@@ -26,3 +26,8 @@ def word_list(text: Column, pattern: str) -> Column:
 
 def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
+
+
+def nulls_and_all(*values: Column) -> list[Column]:
+    """Values to hash, each behind its null flag: a hash skips nulls, so without flags a value could slip to its neighbour."""
+    return [c for v in values for c in (v.isNull(), v)]

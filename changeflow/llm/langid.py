@@ -9,7 +9,8 @@ Symbols are a word boundary and every letter by itself, of any script. A letter'
 letter where it is needed, so there is no table of them. Sums are taken over whole numbers, so results do not depend on the order of rows or partitions.
 
 A text that is null or has no letter is ``und`` with score 0, and so is every text when there is nothing to learn from.
-Rows with a null label or text do not train. Ties go to the label that sorts first. Repeated rows count each. Extra columns
+Rows with a null label or text do not train. More than ``MAX_LABELS`` labels are refused: the column is not a language
+then, and one prototype per label would not be bounded. Ties go to the label that sorts first. Repeated rows count each. Extra columns
 do not matter.
 """
 
@@ -32,7 +33,10 @@ GROUPS = (0, 6, 12)  # 6-bit groups of a symbol, enough for code points of lette
 UNIT = 1 << 20
 MAX_LABELS = 4096
 CODES_AT_ONCE = 2048
-TEXTS_AT_ONCE = 500
+TEXTS_AT_ONCE = 100
+# Trigrams whose weights a task holds before it bundles them, and trigram vectors a worker keeps (4 kB each).
+HELD_CODES = 400_000
+KEPT_VECTORS = 12_288
 UNDEFINED = "und"
 CLEAR = 0.5
 NOISE = 4.5
@@ -89,28 +93,79 @@ def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return rows[:-2][inside], codes[inside]
 
 
+def _merge(held: dict[str, list]) -> int:
+    """Add up what is held per label; the number of trigrams left."""
+    for name, parts in held.items():
+        codes, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+        held[name] = [(codes, np.bincount(at, weights=np.concatenate([w for _, w in parts]), minlength=len(codes)))]
+    return sum(len(c) for parts in held.values() for c, _ in parts)
+
+
+def _bundle(held: dict[str, list], sums: dict[str, np.ndarray]) -> None:
+    """Add the vectors of all held trigrams, times their weights, to the labels' sums, and let go of them.
+
+    Weights and sums are whole numbers below 2^53, so the order of additions does not matter. The weight stands behind
+    the vector, as one more place.
+    """
+    for name, ((codes, weights),) in held.items():
+        vector = np.zeros(DIMENSIONS)
+        for start in range(0, len(codes), CODES_AT_ONCE):
+            some = slice(start, start + CODES_AT_ONCE)
+            vector += weights[some] @ trigram_vectors(codes[some]).astype(np.float64)
+        whole = np.rint(np.append(vector, weights.sum())).astype(np.int64)
+        sums[name] = sums.get(name, 0) + whole
+    held.clear()
+
+
+class Vectors:
+    """Trigram vectors that a worker has built, one row each; a full store is emptied."""
+
+    def __init__(self) -> None:
+        self.rows, self.place, self.used = np.zeros((KEPT_VECTORS, DIMENSIONS), np.float32), {}, 0
+
+    def __call__(self, codes: np.ndarray) -> np.ndarray:
+        if len(codes) > KEPT_VECTORS:
+            return trigram_vectors(codes)
+        listed = codes.tolist()
+        new = [c for c in listed if c not in self.place]
+        if self.used + len(new) > KEPT_VECTORS:
+            self.place, self.used, new = {}, 0, listed
+        for start in range(0, len(new), CODES_AT_ONCE):
+            some = new[start : start + CODES_AT_ONCE]
+            self.rows[self.used : self.used + len(some)] = trigram_vectors(np.asarray(some, np.int64))
+            self.place.update(zip(some, range(self.used, self.used + len(some)), strict=True))
+            self.used += len(some)
+        return self.rows[np.fromiter(map(self.place.__getitem__, listed), np.int64, len(listed))]
+
+
+def kept_vectors(codes: np.ndarray) -> np.ndarray:
+    if "kept" not in _tables:
+        _tables["kept"] = Vectors()
+    return _tables["kept"](codes)
+
+
 def prototypes(docs: DataFrame, label: Column, text_col: str) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Labels in order, their summed vectors and weights of trigrams, learned from all rows with a label and a text."""
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
+        sums, held, size = {}, {}, 0
         for batch in sub_batches(batches, 2 << 20):
             labels = column(batch, "_label").to_pylist()
             rows, codes = trigrams(column(batch, "_text").to_pylist())
-            total = np.bincount(rows, minlength=len(labels))
-            weight = UNIT // np.maximum(total, 1)
-            names, of_row = np.unique(labels, return_inverse=True)
-            used, code = np.unique(codes, return_inverse=True)
-            each = np.bincount(of_row[rows] * len(used) + code, weights=weight[rows], minlength=len(names) * len(used))
-            each = each.reshape(len(names), len(used))
-            vectors = np.zeros((len(names), DIMENSIONS))
-            for start in range(0, len(used), CODES_AT_ONCE):
-                part = slice(start, start + CODES_AT_ONCE)
-                vectors += each[:, part] @ trigram_vectors(used[part]).astype(np.float64)
-            # The weight stands behind the vector, as one more place.
-            vectors = np.column_stack([vectors, each.sum(axis=1)])
-            for name, vector in zip(names.tolist(), np.rint(vectors).astype(np.int64), strict=True):
-                sums[name] = sums.get(name, 0) + vector
+            weight = UNIT // np.maximum(np.bincount(rows, minlength=len(labels)), 1)
+            names, of_row = np.unique(np.asarray(labels, object), return_inverse=True)
+            for k, name in enumerate(names.tolist()):
+                own = of_row[rows] == k
+                used, code = np.unique(codes[own], return_inverse=True)
+                held.setdefault(name, []).append((used, np.bincount(code, weights=weight[rows[own]], minlength=len(used))))
+                size += len(used)
+            if size > HELD_CODES:
+                size = _merge(held)
+                if size > HELD_CODES // 2:
+                    _bundle(held, sums)
+                    size = 0
+        _merge(held)
+        _bundle(held, sums)
         for name, vector in sums.items():
             place = pa.array(np.arange(DIMENSIONS + 1, dtype=np.int32))
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(place)), place, pa.array(vector)], ["label", "k", "v"])
@@ -142,12 +197,17 @@ def compare_batch(
     dots, square = np.zeros((len(texts), len(names))), np.zeros(len(texts))
     if len(used) and names:
         vectors = np.zeros((len(texts), DIMENSIONS), np.float32)
-        for start in range(0, len(used), CODES_AT_ONCE):
-            some = used[start : start + CODES_AT_ONCE]
-            own = (code >= start) & (code < start + len(some))
-            place = rows[own] * len(some) + code[own] - start
-            counts = np.bincount(place, minlength=len(texts) * len(some)).reshape(len(texts), len(some))
-            vectors += counts.astype(np.float32) @ trigram_vectors(some)
+        # Texts of very many different trigrams are taken in parts; the counts of a part are one matrix.
+        order = np.argsort(code, kind="stable") if len(used) > KEPT_VECTORS else None
+        for start in range(0, len(used), KEPT_VECTORS):
+            some = used[start : start + KEPT_VECTORS]
+            if order is None:
+                row, place = rows, code
+            else:
+                low, high = np.searchsorted(code, [start, start + len(some)], sorter=order)
+                row, place = rows[order[low:high]], code[order[low:high]] - start
+            counts = np.bincount(row * len(some) + place, minlength=len(texts) * len(some))
+            vectors += counts.reshape(len(texts), len(some)).astype(np.float32) @ kept_vectors(some)
         vectors = vectors.astype(np.float64)
         dots, square = vectors @ units.T, np.einsum("ij,ij->i", vectors, vectors)
     total = np.bincount(rows, minlength=len(texts))

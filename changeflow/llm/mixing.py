@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeflow.llm.columns import SPACED_WORDS, same, word_list
+from changeflow.llm.columns import SPACED_WORDS, nulls_and_all, same, word_list
 from changeflow.llm.common import stage
 
 STEPS = 4096  # a power of two
@@ -33,7 +33,7 @@ def sized(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     return docs.select(
         docs[id_col].alias("doc_id"),
         docs[source_col].alias("source"),
-        F.xxhash64(docs[id_col], docs[source_col], docs[text_col]).alias("row_key"),
+        F.xxhash64(*nulls_and_all(docs[id_col], docs[source_col], docs[text_col])).alias("row_key"),
         (F.size(word_list(docs[text_col], SPACED_WORDS)) + 1).cast("long").alias("n_tokens"),
     )
 
@@ -138,14 +138,26 @@ def schedule(
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, each as often as the schedule reads it, with the columns of ``docs``."""
+    """The rows of ``docs``, each as often as the schedule reads it, with the columns of ``docs``.
+
+    Rows with one id, source and text share their reads evenly, whatever their other columns hold.
+    """
     planned = schedule(docs, id_col=id_col, source_col=source_col, text_col=text_col, **options)
-    times = planned.groupBy(F.col("row_key").alias("_mix_key")).agg(F.count("*").alias("_mix_reads"))
-    keyed = docs.select("*", F.xxhash64(docs[id_col], docs[source_col], docs[text_col]).alias("_mix_key"))
-    # The join's partitioning also serves to take each distinct row once: texts move once.
-    return (
-        keyed.join(times, "_mix_key")
-        .dropDuplicates(["_mix_key"])
-        .withColumn("_mix_read", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_reads"))))
-        .drop("_mix_key", "_mix_reads", "_mix_read")
+    times = planned.groupBy(
+        F.col("row_key").alias("time_key"), F.col("doc_id").alias("time_id"), F.col("source").alias("time_source")
+    ).agg(F.count("*").alias("reads"))
+    # The row is one column from here on, so its names meet none of these. Equal rows fold before texts move, once.
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    key = F.xxhash64(*nulls_and_all(docs[id_col], docs[source_col], docs[text_col])).alias("key")
+    distinct = docs.select(row, key, docs[id_col].alias("id"), docs[source_col].alias("source"))
+    distinct = distinct.repartition("key").groupBy("row", "key", "id", "source").agg(F.count("*").alias("copies"))
+    met = distinct.join(
+        times, (F.col("key") == F.col("time_key")) & same(F.col("id"), F.col("time_id")) & same(F.col("source"), F.col("time_source"))
     )
+    # Rows that differ elsewhere, or whose hashes collide: each gets its share of the reads of all.
+    alike = W.partitionBy("key", "id", "source")
+    upto = F.sum("copies").over(alike.orderBy(F.xxhash64("row"), "copies").rowsBetween(W.unboundedPreceding, 0))
+    shared = met.withColumns({"upto": upto, "all": F.sum("copies").over(alike)})
+    share = F.expr("upto * reads div all - (upto - copies) * reads div all").alias("share")
+    counted = shared.select("row", share).where("share > 0")
+    return counted.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "share"))).select("row.*")

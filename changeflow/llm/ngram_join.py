@@ -406,10 +406,9 @@ def keep_one(docs: DataFrame, width: int = 3, percent: int = 90, id_col: str = "
     found = ngram_components(docs, width, percent, id_col, text_col)
     kept = found.where(same(F.col(id_col), F.col("component_id")))
     # Rows that share an id but are not one component each keep their row; equal rows are one component.
-    kept = kept.select(F.coalesce(id_col, F.lit(NO_ID)).alias("_kept_id"), F.col("row_key").alias("_kept_key")).distinct()
-    keyed = docs.select(
-        "*", F.coalesce(docs[id_col], F.lit(NO_ID)).alias("_kept_id"), F.xxhash64(docs[text_col]).alias("_kept_key")
-    )
-    keys = ["_kept_id", "_kept_key"]
+    kept = kept.select(F.coalesce(id_col, F.lit(NO_ID)).alias("id"), F.col("row_key").alias("key")).distinct()
+    # The row is one column from here on, so its names meet none of these.
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    keyed = docs.select(row, F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(docs[text_col]).alias("key"))
     # The join's partitioning also serves the removal of repeated rows: texts move once.
-    return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).drop(*keys)
+    return keyed.join(kept, ["id", "key"], "left_semi").dropDuplicates(["id", "key"]).select("row.*")

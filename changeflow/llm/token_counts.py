@@ -69,7 +69,9 @@ def count_batch(texts: list[str], json_text: str, whole: list[str]) -> list[int]
     pieces = [[p for part in own for p in PIECES.findall(part)] for own in parts]
     known.learn([p for own in pieces for p in own])
     count = known.__getitem__
-    return [len(own) - 1 + sum(map(count, found)) for own, found in zip(parts, pieces, strict=True)]
+    counts = [len(own) - 1 + sum(map(count, found)) for own, found in zip(parts, pieces, strict=True)]
+    known.forget([p for own in pieces for p in own if len(p) > tokenizing.LONGEST_KEPT])
+    return counts
 
 
 def token_counts(

@@ -12,6 +12,7 @@ own, ordered by text. Columns other than id and text are not read.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -25,38 +26,47 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.llm import tokenizing
-from changeflow.llm.common import column, ship, sub_batches, words_of
+from changeflow.llm.byte_pieces import ASCII_SPACES, Coder, text_bytes, word_cuts
+from changeflow.llm.common import column, ship, sub_batches
 
 ROW_INDEX_STRIDE = 1_000
 STRIPE_BYTES = 16 << 20
 BLOOM_FPP = 0.01
 SEGMENT_BYTES = 64 << 20
 
-_encoders: dict[int, tokenizing.Words] = {}
+BATCH_BYTES = 3 << 20
+
+_encoders: dict[int, Coder] = {}
+
+
+def check_kind(config: dict) -> None:
+    """Refuse tokenizer files that do not treat words apart: they have to lower-case, drop white space and mark word ends."""
+    normal = [n.get("type") for n in (config.get("normalizer") or {}).get("normalizers", [])]
+    split = (config.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+    model = config.get("model", {})
+    plain = (
+        normal == ["NFC", "Replace", "Lowercase"]
+        and split.get("type") == "Split"
+        and split.get("invert")
+        and model.get("end_of_word_suffix")
+        and not model.get("continuing_subword_prefix")
+    )
+    if not plain or config.get("truncation") or config.get("padding"):
+        raise ValueError("token files need a tokenizer that encodes words apart from each other")
 
 
 def encode_rows(texts: pa.Array, json_text: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, each closed by ``end_id``, and the number of ids of each.
 
     The tokenizer drops white space between pre-tokens and normalises characters one by one, so words are
-    encoded apart: each distinct word of a batch once.
+    encoded apart: a worker asks for each distinct word about once.
     """
     key = hash(json_text)
     if key not in _encoders:
-        _encoders[key] = tokenizing.Words(tokenizing.load(json_text))
-    rows, words = words_of(texts, lower=False)
-    coded = pc.dictionary_encode(words)
-    if isinstance(coded, pa.ChunkedArray):
-        coded = coded.combine_chunks()
-    values = _encoders[key].encode(coded.dictionary.to_pylist())
-    lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
-    starts = np.cumsum(lengths) - lengths
-    codes = coded.indices.to_numpy(zero_copy_only=False)
-    each = lengths[codes]
-    # Position in ``flat`` of every id: its word's start plus how far it lies into the word.
-    place = np.arange(each.sum()) + np.repeat(starts[codes] - (np.cumsum(each) - each), each)
-    ids = np.frombuffer(b"".join(values), "<u4")[place]
-    counts = np.bincount(rows.to_numpy(zero_copy_only=False), weights=each, minlength=len(texts)).astype(np.int64)
+        words = tokenizing.Words(tokenizing.load(json_text))
+        strip = ASCII_SPACES
+        _encoders[key] = Coder(word_cuts, lambda pieces: words.encode([p.strip(strip).decode() for p in pieces]))
+    ids, counts, _ = _encoders[key](*text_bytes(texts))
     return np.insert(ids, np.cumsum(counts), end_id), counts + 1
 
 
@@ -85,11 +95,12 @@ def write_token_files(
     """Encode ``docs`` and write (doc_id, segment, offset, n_tokens, ids) in ascending id order."""
     ship(docs.sparkSession)
     json_text = tokenizing.read_text(tokenizer_file)
+    check_kind(json.loads(json_text))
     shared = docs.sparkSession.sparkContext.broadcast(json_text)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segment, offset = TaskContext.get().partitionId(), 0
-        for batch in sub_batches(batches):
+        for batch in sub_batches(batches, BATCH_BYTES):
             ids, counts = encode_rows(column(batch, "_text"), shared.value, end_id)
             ends = np.concatenate(([0], np.cumsum(counts)))
             arrays = [

@@ -11,8 +11,11 @@ from struct import pack
 
 import numpy as np
 
-# Pieces kept per worker; when full, the store is emptied and fills again (results do not change).
+# Pieces kept per worker, and the longest one worth keeping; when full, the store is emptied and fills again (results do
+# not change).
 KEPT_PIECES = 250_000
+KEPT_WORDS = 60_000
+LONGEST_KEPT = 64
 
 _tokenizers: dict[int, object] = {}
 
@@ -51,6 +54,12 @@ class Pieces(dict):
             make = self.make
             self.update((piece, make(one.ids)) for piece, one in zip(missing, found, strict=True))
 
+    def forget(self, pieces: list[str]) -> None:
+        """Let go of long pieces after their batch, so that texts without spaces do not fill the store."""
+        for piece in pieces:
+            if len(piece) > LONGEST_KEPT:
+                self.pop(piece, None)
+
 
 class Words:
     """Ids of single words for a tokenizer that lower-cases, drops white space and splits off punctuation.
@@ -103,7 +112,7 @@ class Words:
             self.known.update((w, whole[a:b]) for w, a, b in zip(some, begins, ends, strict=True))
 
     def encode(self, words: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each word."""
+        """Little-endian 32-bit ids of each word; an empty one has none."""
         cut = []
         for word in words:
             tail = ""
@@ -114,9 +123,14 @@ class Words:
             cut.append((word, tail))
         known = self.known
         missing = {w for w, _ in cut if w not in known}
-        if len(known) + len(missing) > KEPT_PIECES:
+        if len(known) + len(missing) > KEPT_WORDS:
             known.clear()
             missing = {w for w, _ in cut}
-        self._learn(list(missing))
+        known[""] = b""
+        self._learn([w for w in missing if w])
         marks = self.marks
-        return [known[w] + marks[tail] if tail else known[w] for w, tail in cut]
+        out = [known[w] + marks[tail] if tail else known[w] for w, tail in cut]
+        for word in missing:
+            if len(word) > LONGEST_KEPT:
+                known.pop(word, None)
+        return out

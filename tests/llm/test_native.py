@@ -156,3 +156,26 @@ def test_mix_entropy_and_budget(spark):
     some = mixing.schedule(docs, max_repetition=2.0, budget=500).collect()
     assert sum(r.n_tokens for r in some) == 500
     assert mixing.schedule(frame(spark, [])).count() == 0
+
+
+def test_mix_keeps_rows_that_differ_by_nulls_or_elsewhere(spark):
+    rows = [(1, None, "x", 1), (1, "x", None, 1), (2, "x", "y z", 1), (3, "x", "a", 1), (3, "x", "a", 2), (3, "x", "a", 2)]
+    rows += [(None, None, None, 1), (4, "", "", 1), (4, None, "", 1), (4, "", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, lang int")
+    mixed = collections.Counter(map(tuple, mixing.mix(docs, max_repetition=1.0).collect()))
+    assert mixed == collections.Counter(rows)
+    more = collections.Counter(map(tuple, mixing.mix(docs, max_repetition=3.0).collect()))
+    planned = mixing.schedule(docs, max_repetition=3.0).count()
+    assert sum(more.values()) == planned and all(more[r] >= n for r, n in collections.Counter(rows).items())
+
+
+def test_mix_with_any_names_of_columns(spark):
+    names = ["row", "key", "id", "copies", "reads", "time_key", "time_id", "time_source", "upto", "all", "share", "col"]
+    names += ["_mix_key", "_mix_reads", "_mix_read", "row_key", "n_tokens", "epoch", "block", "_key", "_bucket", "_source"]
+    docs = spark.createDataFrame(
+        [(i, "s", f"text {i}", *[i] * len(names)) for i in range(5)],
+        "doc_id long, source string, text string, " + ", ".join(f"`{n}` int" for n in names),
+    )
+    mixed = mixing.mix(docs, max_repetition=2.0)
+    assert mixed.columns == docs.columns
+    assert sorted(map(tuple, mixed.collect())) == sorted(map(tuple, docs.collect()))

@@ -140,3 +140,17 @@ def test_graph_components(spark):
         x, y = sorted((root(a), root(b)))
         up[y] = x
     assert got == {x: root(x) for p in pairs if p[0] != p[1] for x in p}
+
+
+def test_keep_one_with_any_names_of_columns(spark):
+    names = ["row", "id", "key", "_kept_id", "_kept_key", "row_key", "component_id", "n", "c"]
+    texts = {None: "one two three four", 1: "one two three four", 3: "other words are here", 2: None, 4: ""}
+    docs = spark.createDataFrame(
+        [(i, t, *[7] * len(names)) for i, t in texts.items()],
+        "doc_id long, text string, " + ", ".join(f"`{n}` int" for n in names),
+    )
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r.text, r["_kept_id"]) for r in kept.collect()} == {
+        (None, "one two three four", 7), (3, "other words are here", 7), (2, None, 7), (4, "", 7)
+    }

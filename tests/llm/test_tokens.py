@@ -65,6 +65,11 @@ def test_counts_refuse_other_kinds():
         token_counts.token_counts(None, WORDS)
 
 
+def test_files_refuse_other_kinds(docs, tmp_path):
+    with pytest.raises(ValueError):
+        token_files.write_token_files(docs, str(tmp_path / "x"), BYTES)
+
+
 def test_counts_of_no_rows(spark):
     assert token_counts.token_counts(spark.createDataFrame([], SCHEMA), BYTES).count() == 0
 
