@@ -6,30 +6,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from changeflow.operators.skew import segment_of
+from changeflow.operators.skew import SEGMENT_BITS, segment_of
 from changeflow.options import MigrationOptions
 from changeflow.session import pin
 
 
 def prefix_sum(df: DataFrame, id_col: str, value: Column, out: str) -> DataFrame:
-    """Sum of ``value`` over all rows up to and including this one, by a unique 32-bit id.
+    """Sum of ``value`` over all rows up to and including this one, by a unique whole-number id of any width.
 
-    Ids fall into blocks of 65,536: a block holds at most that many rows, and 32-bit ids make at
-    most 65,536 blocks, so the block totals are small enough for one window and for a broadcast.
+    Ids fall into blocks of 65,536, so no window holds more rows than that. 32-bit ids make at most 65,536 blocks, whose
+    totals are few enough for one window and a broadcast. Wider ids may make a block each: the totals of their blocks are
+    summed up in the same way by block number, which has 16 bits less, and joined.
     """
-    blocks = df.withColumn("_value", value.cast("long")).withColumn(
-        "_block", segment_of(F.col(id_col))
-    )
-    earlier = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        blocks.groupBy("_block")
-        .agg(F.sum("_value").alias("_total"))
-        .select("_block", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    within = W.partitionBy("_block").orderBy(id_col).rowsBetween(W.unboundedPreceding, 0)
+    bits = {"tinyint": 8, "smallint": 16, "int": 32}.get(df.schema[id_col].dataType.simpleString(), 64)
+    return _prefix_sum(df, id_col, value, out, bits)
+
+
+def _prefix_sum(df: DataFrame, id_col: str, value: Column, out: str, bits: int) -> DataFrame:
+    value_col, block = f"_value{bits}", f"_block{bits}"
+    blocks = df.withColumn(value_col, value.cast("long")).withColumn(block, segment_of(F.col(id_col)))
+    totals = blocks.groupBy(block).agg(F.sum(value_col).alias("_total"))
+    if bits <= 32:
+        earlier = W.orderBy(block).rowsBetween(W.unboundedPreceding, -1)
+        offsets = totals.select(block, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_offset"))
+        offsets = F.broadcast(offsets)
+    else:
+        summed = _prefix_sum(totals, block, F.col("_total"), "_upto", bits - SEGMENT_BITS)
+        offsets = summed.select(block, (F.col("_upto") - F.col("_total")).alias("_offset"))
+    within = W.partitionBy(block).orderBy(id_col).rowsBetween(W.unboundedPreceding, 0)
     return (
-        blocks.join(F.broadcast(offsets), "_block")
-        .withColumn(out, F.col("_offset") + F.sum("_value").over(within))
+        blocks.join(offsets, block)
+        .withColumn(out, F.col("_offset") + F.sum(value_col).over(within))
         .select(*df.columns, out)
     )
 

@@ -14,6 +14,8 @@ from changeflow.options import Branch, Hooks
 from changeflow.queries.common import OPTIONS, Log
 from changeflow.queries.registry import query
 from changeflow.sources.event_log import table
+from changeflow.session import scratch_path
+from changeflow.sources import nested
 from changeflow.sources.tables import change_details, changes_touching
 
 
@@ -295,3 +297,19 @@ def run_summary(spark, sf_dir):
 @query("SELECT count(*) AS late_rows FROM t_changes WHERE change_id <= 50")
 def late_changelists(spark, sf_dir):
     return changes.late_changes(Log(spark, sf_dir).changelists, 50)
+
+
+@query("""
+    SELECT change_id, file_ord, depot_path, rev, action, file_type, 'change ' || change_id AS description
+    FROM t_files WHERE change_id > 40 AND change_id <= (SELECT max(change_id) // 2 FROM t_files)
+""")
+def nested_changes_in_range(spark, sf_dir):
+    """Changes exported in nested form and read back by id range through the change source."""
+    log = Log(spark, sf_dir)
+    path = scratch_path(spark, "nested-changes")
+    nested.export_changes(log.changelists, log.files, path, ids_per_file=200).agg(F.sum("changes")).collect()
+    last = log.changelists.agg(F.max("change_id").alias("last")).first().last
+    found = nested.read_changes(spark, path).where((F.col("change_id") > 40) & (F.col("change_id") <= last // 2))
+    return nested.files_of(found).join(found.select("change_id", "description"), "change_id").select(
+        "change_id", *nested.FILE_COLUMNS, "description"
+    )

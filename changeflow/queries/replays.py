@@ -6,6 +6,7 @@ from changeflow.operators import replay
 from changeflow.queries.common import Log
 from changeflow.queries.registry import query
 from changeflow.session import scratch_path
+from changeflow.streaming.keyed_replay import ROWS, closing_row, keyed_replay
 from changeflow.streaming.replay_stream import flush_replay, replay_stream
 
 
@@ -93,3 +94,18 @@ def streaming_replay(spark, sf_dir):
         replay_stream(source, f"{root}/state", f"{root}/out", f"{root}/checkpoint").awaitTermination()
     flush_replay(spark, records.schema, f"{root}/state", f"{root}/out", 2)
     return spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/out")
+
+
+@query("SELECT change_id, part, path, change_action, allowed FROM t_replayed WHERE node_kind = 'file'")
+def keyed_streaming_replay(spark, sf_dir):
+    """The same in keyed state with timers, stopped and started again between arrivals."""
+    records = _records(spark, sf_dir).where(F.col("node_kind") == "file").drop("node_kind")
+    last = records.agg(F.max("change_id").alias("last")).first().last
+    root = scratch_path(spark, "keyed-replay")
+    edge = last // 2
+    place = F.col("change_id") + F.when((F.col("change_id") == edge) & (F.col("part") % 2 == 0), 1).otherwise(0)
+    for arriving in (records.where(place <= edge), records.where(place > edge).unionByName(closing_row(spark, last + 1))):
+        arriving.write.mode("append").parquet(f"{root}/in")
+        source = spark.readStream.schema(records.schema).parquet(f"{root}/in")
+        keyed_replay(source, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.schema(f"{ROWS}, allowed boolean").parquet(f"{root}/out")

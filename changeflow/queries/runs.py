@@ -10,8 +10,8 @@ from changeflow.plans import pipeline
 from changeflow.queries.common import OPTIONS, Log
 from changeflow.queries.registry import query
 from changeflow.session import scratch_path, stage
-from changeflow.sinks.dump import read_segments, write_dump
-from changeflow.sources import legacy
+from changeflow.sinks.dump import read_segments, split_files, write_dump
+from changeflow.sources import legacy, parts
 from changeflow.sources.event_log import table
 from changeflow.sources.state import load_state, merge_latest
 
@@ -222,3 +222,103 @@ def legacy_revision_map_casts(spark, sf_dir):
         legacy.export_pairs(rows.limit(0), "key", "revision", f"{root}/{name}")
     legacy.export_list(numbered, "change_id", f"{root}/changeLists")
     return legacy.import_legacy_state(spark, root)["revision_map"]
+
+
+@query("""
+    SELECT change_id, part, md5(html) AS digest, octet_length(encode(html)) AS bytes FROM (
+      SELECT page_id // 5 + 1 AS change_id, page_id % 5 AS part, html, page_id % 7 = 0 AS unrecorded,
+             row_number() OVER (PARTITION BY page_id % 50, page_id % 7 = 0 ORDER BY page_id) AS n FROM pages)
+    WHERE unrecorded OR n = 1
+    UNION ALL SELECT -1, -1, md5('SVN-fs-dump-format-version: 1' || chr(10) || chr(10)), 31
+""")
+def legacy_parts_assembled(spark, sf_dir):
+    """An old dump tree written by tasks, discovered, joined with its recorded paths and actions, and replayed."""
+    root = scratch_path(spark, "old-dump")
+    pages = table(spark, sf_dir, "pages").select(
+        (F.expr("page_id div 5") + 1).cast("int").alias("change_id"), (F.col("page_id") % 5).cast("int").alias("part"),
+        F.encode("html", "UTF-8").alias("record"), "page_id",
+    )
+    parts.export_parts(pages, root).agg(F.sum("length")).collect()
+    recorded = pages.where("page_id % 7 <> 0").select(
+        F.concat(F.lit(f"{root}/"), F.col("change_id").cast("string"), F.lit("/"), F.col("part").cast("string")).alias("key"),
+        F.concat(F.lit("p"), (F.col("page_id") % 50).cast("string"), F.lit(":Add")).alias("value"),
+    )
+    legacy.write_map(recorded, f"{root}/files")
+    for name in ("dirsUsage", "fileStatuses", "revisionByChangeListId"):
+        legacy.write_map(recorded.limit(0), f"{root}/{name}")
+    legacy.export_list(pages.limit(0), "change_id", f"{root}/changeLists")
+    rows = legacy.assemble_parts(spark, root, PLAIN)
+    return rows.select(
+        F.col("change_id").cast("long").alias("change_id"), F.col("part").cast("long").alias("part"),
+        F.md5("record").alias("digest"), F.octet_length("record").cast("long").alias("bytes"),
+    )
+
+
+@query("""
+    SELECT CAST(c_custkey // 100 AS BIGINT) AS segment, sum(octet_length(encode(c_name))) AS bytes,
+           md5(string_agg(c_name, '' ORDER BY c_custkey)) AS digest
+    FROM customer WHERE c_custkey % 2 = 0 GROUP BY 1
+""")
+def dump_replaces_target(spark, sf_dir):
+    """A dump written over an earlier, larger one: every file found in the folder belongs to the new one."""
+    out = scratch_path(spark, "dump")
+    rows = table(spark, sf_dir, "customer").select(
+        F.lit(0).alias("split_id"), F.expr("c_custkey div 100").alias("segment"),
+        F.col("c_custkey").cast("int").alias("change_id"), F.lit(0).alias("part"), F.encode("c_name", "UTF-8").alias("record"),
+    )
+    write_dump(rows, out)
+    write_dump(rows.where("change_id % 2 = 0"), out)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "dump-*").load(out)
+    segment = F.regexp_extract("path", r"dump-(\d+)-", 1).cast("long").alias("segment")
+    return files.select(segment, F.col("length").alias("bytes"), F.md5("content").alias("digest"))
+
+
+@query(f"""
+    SELECT 'dump' || split_id AS file, CAST(sum(octet_length(record)) + 31 AS BIGINT) AS bytes,
+      md5(unhex(hex(encode('SVN-fs-dump-format-version: 1' || chr(10) || chr(10)))
+                || string_agg(hex(record), '' ORDER BY change_id))) AS digest
+    FROM (SELECT h.change_id, h.record, CAST((n.revision - 1) // {SPLIT_BY} + 1 AS INTEGER) AS split_id
+          FROM t_records h JOIN t_numbered n ON n.change_id = h.change_id WHERE h.part = 0)
+    GROUP BY split_id
+""")
+def dump_split_files(spark, sf_dir):
+    """Headers alone, many segments per split, composed into one file per split."""
+    options = replace(PLAIN, split_by=SPLIT_BY, bytes_per_segment=2_048)
+    log = Log(spark, sf_dir, options)
+    out = scratch_path(spark, "dump")
+    write_dump(publish.lay_out(log.headers, log.contents, options, log.prints), out)
+    split_files(spark, out)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "dump[0-9]*").load(out)
+    named = files.withColumn("file", F.element_at(F.split("path", "/"), -1)).where(~F.col("file").contains("-"))
+    return named.select("file", F.col("length").alias("bytes"), F.md5("content").alias("digest"))
+
+
+@query("""
+    SELECT c_custkey AS key, CASE WHEN c_custkey % 3 = 0 THEN CAST(round(c_acctbal * 100) AS BIGINT)
+                                  WHEN c_custkey % 3 = 1 THEN NULL ELSE -c_custkey END AS value FROM customer
+""")
+def map_codec_and_defaults(spark, sf_dir):
+    """A map file of whole numbers; values that are none read as NULL, absent keys get a default made of the key."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("key"), "c_acctbal")
+    stored = customers.where("key % 3 <> 2").select(
+        "key", F.when(F.col("key") % 3 == 0, F.round(F.col("c_acctbal") * 100).cast("long").cast("string")).otherwise("none").alias("value")
+    )
+    path = scratch_path(spark, "map")
+    legacy.write_map(stored, path, legacy.LONG, legacy.TEXT)
+    return legacy.with_default(customers, legacy.read_map(spark, path, legacy.LONG, legacy.LONG), lambda key: -key)
+
+
+@query("""
+    SELECT o_orderkey * 1000003 * 1000003 - 4000000000000000000 AS id,
+           CAST(sum(o_custkey + o_orderkey % 7) OVER (ORDER BY o_orderkey) AS BIGINT) AS upto FROM orders
+""")
+def wide_prefix_sum(spark, sf_dir):
+    """Running sums over sparse 64-bit ids, negative ones included."""
+    from changeflow.operators.numbering import prefix_sum
+
+    key = F.col("o_orderkey").cast("long")
+    rows = table(spark, sf_dir, "orders").select(
+        (key * F.lit(1000003).cast("long") * F.lit(1000003).cast("long") - F.lit(4000000000000000000).cast("long")).alias("id"),
+        (F.col("o_custkey") + key % 7).alias("n"),
+    )
+    return prefix_sum(rows, "id", F.col("n"), "upto").select("id", "upto")

@@ -10,6 +10,7 @@ deletes the files of its other attempts; replacing a dump also deletes what earl
 from __future__ import annotations
 
 import json
+import os
 import re
 import sys
 import uuid
@@ -21,10 +22,12 @@ import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 MANIFEST = "manifest.jsonl"
+COPY_BYTES = 8 << 20
 MANIFEST_SCHEMA = "split_id int, segment long, file string, bytes long, records long"
 ORDER = ["split_id", "segment", "change_id", "part"]
 
@@ -179,3 +182,65 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path)
     named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content")
     return read_manifest(spark, path).join(named, "file")
+
+
+def split_files(spark: SparkSession, path: str, name: str = "dump") -> DataFrame:
+    """Compose the segments of each split into one file, ``dump`` or ``dump1``, ``dump2``, ...; (split_id, file, bytes).
+
+    On a file system with positions every segment is written to its own range of the file by a task of its own; on other
+    stores one task per split streams its segments. Files get their names when all bytes are in place.
+    """
+    segments = read_manifest(spark, path)
+    earlier = W.partitionBy("split_id").orderBy("segment").rowsBetween(W.unboundedPreceding, -1)
+    ranged = segments.select(
+        "split_id", "segment", "file", "bytes", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("offset")
+    )
+    store, root = file_store(path)
+    local = isinstance(store, fs.LocalFileSystem)
+    attempt = uuid.uuid4().hex[:12]
+
+    def part_of(split: int) -> str:
+        return f"_{name}{split or ''}-{attempt}"
+
+    def at_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                out = os.open(f"{root}/{part_of(row['split_id'])}", os.O_WRONLY | os.O_CREAT, 0o644)
+                try:
+                    with open(f"{root}/{row['file']}", "rb") as segment:
+                        at = row["offset"]
+                        while chunk := segment.read(COPY_BYTES):
+                            os.pwrite(out, chunk, at)
+                            at += len(chunk)
+                finally:
+                    os.close(out)
+            yield batch.select(["split_id", "bytes"])
+
+    def in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = file_store(path)
+        split, out = None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["split_id"] != split:
+                    if out is not None:
+                        out.close()
+                    split = row["split_id"]
+                    out = store.open_output_stream(f"{root}/{part_of(split)}")
+                with store.open_input_stream(f"{root}/{row['file']}") as segment:
+                    while chunk := segment.read(COPY_BYTES):
+                        out.write(chunk)
+            yield batch.select(["split_id", "bytes"])
+        if out is not None:
+            out.close()
+
+    if local:
+        written = ranged.repartition("split_id", "segment").mapInArrow(at_ranges, "split_id int, bytes long")
+    else:
+        dealt = ranged.repartition("split_id").sortWithinPartitions("split_id", "segment")
+        written = dealt.mapInArrow(in_order, "split_id int, bytes long")
+    # One row per split.
+    splits = written.groupBy("split_id").agg(F.sum("bytes").alias("bytes")).collect()
+    for row in splits:
+        store.move(f"{root}/{part_of(row.split_id)}", f"{root}/{name}{row.split_id or ''}")
+    rows = [(r.split_id, f"{name}{r.split_id or ''}", r.bytes) for r in splits]
+    return spark.createDataFrame(rows, "split_id int, file string, bytes long")

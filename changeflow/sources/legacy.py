@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from changeflow.operators.publish import LAYOUT, place
 from changeflow.operators.replay import replay
 from changeflow.options import MigrationOptions
-from changeflow.sources.tables import discover_parts
+from changeflow.sources.parts import discover_parts, read_parts
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -105,9 +108,38 @@ def assemble_parts(
     kept = replay(parts.where(known), previous).where("allowed").drop("allowed")
     kept = kept.unionByName(parts.where(~known)).select("change_id", "part", "file", "weight")
     placed, headers = place(kept, options)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    files = files.select(F.col("path").alias("file"), F.col("content").alias("record"))
-    return placed.join(files, "file").select(LAYOUT).unionByName(headers)
+    return read_parts(placed).select(LAYOUT).unionByName(headers)
+
+
+@dataclass(frozen=True)
+class Codec:
+    """How a value is written to a line and read from one; what cannot be read is null."""
+
+    encode: Callable[[Column], Column]
+    decode: Callable[[Column], Column]
+
+
+TEXT = Codec(lambda c: c.cast("string"), lambda c: c)
+INT = Codec(lambda c: c.cast("string"), lambda c: c.try_cast("int"))
+LONG = Codec(lambda c: c.cast("string"), lambda c: c.try_cast("long"))
+
+
+def write_map(df: DataFrame, path: str, key: Codec = TEXT, value: Codec = TEXT) -> None:
+    """Write (key, value) rows as a map file."""
+    export_pairs(df.select(key.encode(F.col("key")).alias("key"), value.encode(F.col("value")).alias("value")), "key", "value", path)
+
+
+def read_map(spark: SparkSession, path: str, key: Codec = TEXT, value: Codec = TEXT) -> DataFrame:
+    """(key, value) of a map file, decoded."""
+    pairs = read_pairs(spark, path)
+    return pairs.select(key.decode(F.col("key")).alias("key"), value.decode(F.col("value")).alias("value"))
+
+
+def with_default(keys: DataFrame, stored: DataFrame, default: Callable[[Column], Column]) -> DataFrame:
+    """(key, value) of all keys asked for: the stored value, or what ``default`` makes of the key."""
+    known = stored.select("key", F.col("value"), F.lit(True).alias("_known"))
+    met = keys.select("key").join(known, "key", "left")
+    return met.select("key", F.when(F.col("_known"), F.col("value")).otherwise(default(F.col("key"))).alias("value"))
 
 
 def export_pairs(df: DataFrame, key: str, value: str, path: str) -> None:

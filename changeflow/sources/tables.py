@@ -83,13 +83,3 @@ def explode_integrations(revisions: DataFrame) -> DataFrame:
 def change_details(changelists: DataFrame, files: DataFrame) -> DataFrame:
     """Changes with their files; Spark splits the join's partition that holds a giant change."""
     return files.join(changelists, ["change_id"])
-
-
-def discover_parts(spark: SparkSession, root: str) -> DataFrame:
-    """Part files of a dump directory tree: those whose folder and own name are whole numbers."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    names = F.split("path", "/")
-    number = lambda i: F.element_at(names, i).try_cast("int")
-    return files.select(
-        number(-2).alias("change_id"), number(-1).alias("part"), "path", "length"
-    ).where("change_id is not null and part is not null")

@@ -14,7 +14,8 @@ from changeflow.plans import pipeline
 from changeflow.sinks.dump import DumpWriter, read_manifest, read_segments, write_dump
 from changeflow.sources import state as state_tables
 from changeflow.sources.state import TABLES, load_state
-from changeflow.sources.tables import ChangeLog, discover_parts, read_change_log
+from changeflow.sources.parts import discover_parts
+from changeflow.sources.tables import ChangeLog, read_change_log
 
 OPTIONS = MigrationOptions(
     branches=(Branch("//d/main/", "trunk/"), Branch("//d/rel/", "rel/")),

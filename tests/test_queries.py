@@ -31,6 +31,15 @@ def test_entry_without_the_training_data_operators(monkeypatch):
     assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(ORACLE)
 
 
+def test_entry_without_a_library_of_the_training_data_operators(monkeypatch):
+    import sys
+
+    for name in [m for m in sys.modules if m == "corpus_pipeline" or m.startswith("changeflow.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(ORACLE)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SMALL)

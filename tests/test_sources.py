@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from changeflow import schema
 from changeflow.operators.changes import in_range, last_per_key, late_changes
 from changeflow.options import Branch, MigrationOptions
-from changeflow.sources import legacy
+from changeflow.sources import legacy, nested
 from changeflow.sources import state as tables
 from changeflow.sources.state import load_state, merge_latest, save_run_meta, save_table
+from changeflow.operators.numbering import prefix_sum
 from changeflow.sources.tables import changes_touching, read_changelists, read_table
+from changeflow.streaming import keyed_replay as keyed
 from changeflow.streaming.replay_stream import ReplayState, flush_replay, migrate_stream, replay_stream
 
 OPTIONS = MigrationOptions(branches=(Branch("//d/main/", "trunk/"), Branch("//d/rel/", "rel/")), from_change=1)
@@ -232,3 +234,69 @@ def test_layers_fold_by_size_and_the_newest_row_counts(spark, tmp_path, monkeypa
     assert "_bucket IN" in plan or "_bucket#" in plan
     newer = spark.createDataFrame([("p3", 77), ("p9", 78)], schema.PATH_STATUS)
     assert {r.path: r.status for r in now.lookup("path_status", asked, newer).collect()} == {"p3": 77, "p7": want["p7"]}
+
+
+def test_keyed_state_replays_closed_changes_in_order(spark, tmp_path):
+    root = str(tmp_path)
+    steps = [
+        [(1, 2, "a", "Delete"), (1, 1, "a", "Add"), (2, 1, "b", "Edit"), (3, 1, "a", "Edit")],
+        [(3, 2, "a", "Add"), (4, 1, "b", "Add"), (2, 5, "b", "Add")],  # the last one is too late
+        [(5, 1, "b", "Replace Copy"), (5, 2, "c", "Add Copy"), (6, 1, "b", "Delete")],
+    ]
+    seen = []
+    for rows in steps:
+        spark.createDataFrame(rows, keyed.ROWS).write.mode("append").parquet(f"{root}/in")
+        source = spark.readStream.schema(spark.read.parquet(f"{root}/in").schema).parquet(f"{root}/in")
+        keyed.keyed_replay(source, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        seen.append({tuple(r) for r in spark.read.parquet(f"{root}/out").collect()})
+    first = {(1, 1, "a", "Add", True), (1, 2, "a", "Delete", True), (2, 1, "b", "Edit", False)}
+    second = {(3, 1, "a", "Edit", False), (3, 2, "a", "Add", True)}
+    third = {(4, 1, "b", "Add", True), (5, 1, "b", "Replace Copy", True), (5, 2, "c", "Add Copy", True)}
+    assert seen == [first, first | second, first | second | third]
+
+
+def test_nested_changes_by_partition_filter_and_stream(spark, tmp_path):
+    path = str(tmp_path / "nested")
+    when = datetime(2024, 1, 2, 3, 4, 5, 678900)
+    changes = [(i, f"u{i}" if i % 3 else None, when, f"text {i}\n\"é\"") for i in range(1, 31)]
+    files = [(i, k, f"//d/main/f{k}", i, "EDIT", "text") for i in range(1, 31) if i % 4 for k in (1, 2)]
+    changes_df = spark.createDataFrame(changes, schema.CHANGELISTS)
+    files_df = spark.createDataFrame(files, schema.FILE_REVISIONS)
+    first = (changes_df.where("change_id <= 20"), files_df.where("change_id <= 20"))
+    assert nested.export_changes(*first, path, ids_per_file=10).agg(F.sum("changes")).first()[0] == 20
+
+    def stream():
+        query = (
+            nested.stream_changes(spark, path).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return sorted(r.change_id for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert stream() == list(range(1, 21))
+    nested.export_changes(changes_df.where("change_id > 20"), files_df, path, ids_per_file=10).collect()
+    assert stream() == list(range(1, 31))
+    whole = nested.read_changes(spark, path)
+    assert sorted(tuple(r)[:4] for r in whole.collect()) == changes
+    got = nested.files_of(whole).select(*schema.FILE_REVISIONS.names)
+    assert sorted(map(tuple, got.collect())) == files
+    some = whole.where("change_id > 9 and change_id <= 12 and username is not null and change_id <> 11")
+    assert {r.change_id for r in some.collect()} == {10}
+    reader = nested.ChangeReader(path)
+    kept = list(reader.pushFilters([nested.GreaterThan(("change_id",), 9), nested.LessThanOrEqual(("change_id",), 12), nested.EqualTo(("username",), "u1")]))
+    assert len(kept) == 1 and [(p.low, p.high) for p in reader.partitions()] == [(10, 12)] * 2
+    assert whole.where("change_id > 100").count() == 0
+
+
+def test_wide_ids_sum_up_in_order(spark):
+    import random
+
+    rng = random.Random(3)
+    ids = sorted({rng.randint(-(1 << 62), 1 << 62) for _ in range(200)} | set(range(-40, 40)) | {(1 << 63) - 1, -(1 << 63)})
+    rows = [(i, rng.randint(-5, 9)) for i in ids]
+    got = prefix_sum(spark.createDataFrame(rows, "id long, n long").repartition(3), "id", F.col("n"), "upto").collect()
+    total, want = 0, []
+    for i, n in rows:
+        total += n
+        want.append((i, n, total))
+    assert sorted(map(tuple, got)) == want
