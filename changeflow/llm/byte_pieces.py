@@ -93,11 +93,11 @@ def space_cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def word_cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Starts of pieces: a run of other bytes with the ASCII white space behind it; white space before a text's first word."""
+    """Starts of pieces: a run of ASCII white space or of other bytes; marks behind a letter start a piece too."""
     cut = np.zeros(len(data) + 1, bool)
     cut[bounds] = True
     space = IS_SPACE[data]
-    cut[1:-1] |= space[:-1] & ~space[1:]
+    cut[1:-1] |= (space[:-1] != space[1:]) | (IS_MARK[data[1:]] & IS_LETTER[data[:-1]])
     return np.flatnonzero(cut[:-1])
 
 
@@ -119,8 +119,10 @@ class Store:
     Two generations: a full store becomes the older one, and what is used again moves to the new one.
     """
 
-    def __init__(self, make: Callable[[list[bytes]], list], size_of: Callable, longest: int = LONGEST_KEPT):
-        self.make, self.size_of, self.longest = make, size_of, longest
+    def __init__(
+        self, make: Callable[[list[bytes]], list], size_of: Callable, longest: int = LONGEST_KEPT, limit: int = STORE_BYTES
+    ):
+        self.make, self.size_of, self.longest, self.limit = make, size_of, longest, limit
         self.known: dict[bytes, object] = {}
         self.older: dict[bytes, object] = {}
         self.size = 0
@@ -133,7 +135,7 @@ class Store:
         if new:
             fresh.update(zip(new, self.make(new), strict=True))
         values = [known[k] if k in known else fresh[k] for k in keys]
-        if self.size > STORE_BYTES / 2:
+        if self.size > self.limit / 2:
             self.older, self.known, self.size = known, {}, 0
         for key, value in fresh.items():
             if len(key) <= self.longest:
@@ -149,9 +151,9 @@ class Coder:
     ids do not spell its bytes may be given as None: texts that hold it are ``broken`` and have no ids.
     """
 
-    def __init__(self, cuts: Callable, encode: Callable[[list[bytes]], list[bytes | None]]):
+    def __init__(self, cuts: Callable, encode: Callable[[list[bytes]], list[bytes | None]], limit: int = STORE_BYTES):
         self.cuts = cuts
-        self.values = Store(encode, lambda ids: len(ids or b""))
+        self.values = Store(encode, lambda ids: len(ids or b""), limit=limit)
 
     def __call__(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in order, the number of ids of each text, and which texts are broken."""
@@ -229,20 +231,20 @@ class ByteLevel:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order and the number of ids of each."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        odd = np.zeros(len(texts), bool)
-        for string in self.special:
-            odd |= pc.match_substring(texts, string).to_numpy(zero_copy_only=False)
-        if not odd.any():
-            ids, counts, _ = self.coder(*text_bytes(texts))
-            return ids, counts
-        ids, counts, _ = self.coder(*text_bytes(pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts)))
-        rows = np.flatnonzero(odd)
-        found = [
-            np.asarray(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, np.uint32)
-            for i in rows.tolist()
-        ]
-        parts = np.split(ids, np.cumsum(counts)[:-1])
-        for row, own in zip(rows.tolist(), found, strict=True):
-            parts[row], counts[row] = own, len(own)
-        return np.concatenate(parts), counts
+        return encode_apart(texts, self.special, self.tokenizer, lambda data, bounds: self.coder(data, bounds)[:2])
+
+
+def encode_apart(texts: pa.Array, strings: list[str], tokenizer, fast: Callable) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and number of ids of each text: by ``fast``, but by the library as a whole for texts that hold one of ``strings``."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    odd = np.zeros(len(texts), bool)
+    for string in strings:
+        odd |= pc.match_substring(texts, string).to_numpy(zero_copy_only=False)
+    if not odd.any():
+        return fast(*text_bytes(texts))
+    ids, counts = fast(*text_bytes(pc.if_else(pa.array(odd), pa.scalar("", pa.large_string()), texts)))
+    parts = np.split(ids, np.cumsum(counts)[:-1])
+    for row in np.flatnonzero(odd).tolist():
+        own = tokenizer.encode(texts[row].as_py(), add_special_tokens=False).ids
+        parts[row], counts[row] = np.asarray(own, np.uint32), len(own)
+    return np.concatenate(parts), counts

@@ -12,7 +12,8 @@
    was kept or has a kept node closer to it by ``ALPHA`` on the way, so no link within a task is missed.
 5. Pairs found are checked in double precision. A pair that shares several shards counts in the least of them. Tasks
    write sums per node and a spanning forest, never the pairs, so a group of near copies costs no rows beyond its own.
-6. ``audit`` compares a bounded sample of queries per shard with brute force over the shard's members.
+6. ``audit`` compares a bounded number of nodes with all nodes of their label, over all shards; where the search found too
+   little, all pairs are compared instead.
 
 A shard of more than ``BLOCK`` nodes is cut into blocks that meet pairwise. Vectors that are null, zero, or hold null or
 non-finite components, and rows with a null label, link with nothing; so do vectors of different lengths. Repeated rows
@@ -26,7 +27,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from changeflow.llm.common import column, ship, stage
@@ -42,7 +42,9 @@ DEGREE = 24
 ALPHA = 1.2
 SLACK = 0.06
 BLOCK = 1_024
-AUDITED = 32
+EVERY = 100
+AUDITED_NODES = 2_048
+LEAST_RECALL = 0.9
 NO_ID = -(1 << 63)
 
 
@@ -114,8 +116,20 @@ def shard_rows(nodes: DataFrame, found: np.ndarray) -> DataFrame:
     placed = nodes.mapInArrow(assign, schema)
     shards = F.transform("near", lambda k: F.xxhash64("label", "size", k))
     placed = placed.withColumn("shards", shards).withColumn("shard", F.explode("shards"))
-    placed = placed.withColumn("members", F.count("*").over(W.partitionBy("shard")))
-    return stage(blocked(placed.drop("near", "label", "id", "size"), "members", "node", BLOCK), "vector-shards")
+    return in_blocks(placed)
+
+
+def in_blocks(placed: DataFrame) -> DataFrame:
+    """Nodes of each shard in block pairs. Members are counted on ids alone, so a crowded shard's vectors meet no task."""
+    placed = placed.select("shard", "shards", "node", "weight", "vec")
+    members = placed.groupBy("shard").agg(F.count("*").alias("members"))
+    return stage(blocked(placed.join(members, "shard"), "members", "node", BLOCK), "vector-shards")
+
+
+def label_rows(nodes: DataFrame) -> DataFrame:
+    """All nodes of a label and length as one shard, for comparison of all pairs in blocks."""
+    shard = F.xxhash64("label", "size")
+    return in_blocks(nodes.withColumn("shard", shard).withColumn("shards", F.array(shard)))
 
 
 def reach(least: float) -> float:
@@ -233,13 +247,10 @@ def _padded(ids: np.ndarray, near: list[list[int]]) -> np.ndarray:
 
 
 def search(rows: DataFrame, lists: DataFrame, least: float) -> DataFrame:
-    """Rows (a, b, links, truth, hit): with b null the links of node a; with b a spanning link.
-
-    ``truth`` and ``hit`` are the audited links of a: all within the task's members, and those found.
-    """
+    """Rows (a, b, links): with b null the links of node a; with b a spanning link."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "links", "truth", "hit"]
+        names = ["a", "b", "links"]
         for table, bounds in whole_runs(batches, ["shard", "_i", "_j"]):
             columns = [table.column(c).to_numpy() for c in ("shard", "_i", "_j", "_own", "node", "weight")]
             vectors, near, shards = (table.column(c).to_pylist() for c in ("vec", "near", "shards"))
@@ -268,20 +279,16 @@ def search(rows: DataFrame, lists: DataFrame, least: float) -> DataFrame:
                 here &= common == shard[0]
                 links = np.bincount(a[here], weights=weight[b[here]], minlength=len(ids))
                 links += np.bincount(b[here], weights=weight[a[here]], minlength=len(ids))
-                out += [(int(ids[k]), None, int(links[k]), 0, 0) for k in np.flatnonzero(links).tolist()]
+                out += [(int(ids[k]), None, int(links[k])) for k in np.flatnonzero(links).tolist()]
                 forest = Forest(len(ids))
                 for s, t in zip(a.tolist(), b.tolist(), strict=True):
                     if forest.union(s, t):
-                        out.append((int(ids[s]), int(ids[t]), 0, 0, 0))
-                for k in range(min(AUDITED, len(ids))):
-                    true = (x @ x[k]) / (norm * norm[k]) >= least
-                    true[k] = False
-                    out.append((int(ids[k]), None, 0, int(true.sum()), int((true & found[k]).sum())))
-            values = list(zip(*out, strict=True)) or [[]] * 5
+                        out.append((int(ids[s]), int(ids[t]), 0))
+            values = list(zip(*out, strict=True)) or [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in values], names)
 
     met = rows.join(lists, "node", "left").repartition("shard", "_i", "_j").sortWithinPartitions("shard", "_i", "_j")
-    schema = "a long, b long, links long, truth long, hit long"
+    schema = "a long, b long, links long"
     wanted = ["shard", "_i", "_j", "_own", "node", "weight", "vec", "near", "shards"]
     return stage(met.select(*wanted).mapInArrow(run, schema), "vector-links")
 
@@ -293,20 +300,74 @@ def found_links(nodes: DataFrame, least: float) -> DataFrame:
     return search(rows, stage(lists, "vector-graph"), least)
 
 
-def audit(nodes: DataFrame, least: float = 0.98) -> float:
-    """Share of the audited queries' true links that the search finds."""
-    sums = found_links(nodes, least).agg(F.sum("truth"), F.sum("hit")).first()
+def all_links(nodes: DataFrame, least: float) -> DataFrame:
+    """The same rows by comparison of all pairs: every node is crowded, and a label is one shard."""
+    lists = nodes.select("node", F.array("node").alias("near"))
+    return search(label_rows(nodes), lists, least)
+
+
+def link_sums(found: DataFrame) -> DataFrame:
+    return found.where(F.col("b").isNull()).groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+
+
+def audit(nodes: DataFrame, found: DataFrame, least: float = 0.98) -> float:
+    """Share of the true links of audited nodes that were found, over all shards.
+
+    Audited are nodes whose least id is divisible by ``EVERY``, at most ``AUDITED_NODES`` of them, least by hash, so their
+    vectors may be sent to all tasks. Each is compared with every node of its label.
+    """
+    asked = nodes.where(F.pmod("id", F.lit(EVERY)) == 0).orderBy(F.xxhash64("node"), "node").limit(AUDITED_NODES)
+    queries = asked.select("node", "label", "vec").toArrow()
+    if not queries.num_rows:
+        return 1.0
+    ids = queries.column("node").to_numpy()
+    by_kind: dict[tuple[str, int], list[int]] = {}
+    vectors = queries.column("vec").to_pylist()
+    for k, (label, v) in enumerate(zip(queries.column("label").to_pylist(), vectors, strict=True)):
+        by_kind.setdefault((label, len(v)), []).append(k)
+    kinds = {kind: (np.asarray(own), unit(np.asarray([vectors[k] for k in own]))) for kind, own in by_kind.items()}
+    shared = nodes.sparkSession.sparkContext.broadcast((ids, kinds))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, kinds = shared.value
+        true = np.zeros(len(ids), np.int64)
+        for batch in batches:
+            node, weight = column(batch, "node").to_numpy(), column(batch, "weight").to_numpy()
+            labels, vecs = column(batch, "label").to_pylist(), column(batch, "vec").to_pylist()
+            rows: dict[tuple[str, int], list[int]] = {}
+            for k, (label, v) in enumerate(zip(labels, vecs, strict=True)):
+                rows.setdefault((label, len(v)), []).append(k)
+            for kind, own in rows.items():
+                if kind in kinds:
+                    at, x = kinds[kind]
+                    hit = x @ unit(np.asarray([vecs[k] for k in own])).T >= least
+                    hit &= ids[at][:, None] != node[own][None, :]
+                    true[at] += hit @ weight[own]
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(true)], ["node", "links"])
+
+    rows = nodes.select("node", "label", "vec", "weight")
+    true = rows.mapInArrow(compare, "node long, links long").groupBy("node").agg(F.sum("links").alias("wanted")).where("wanted > 0")
+    met = true.join(link_sums(found), "node", "left").withColumn("got", F.least(F.coalesce("links", F.lit(0)), "wanted"))
+    sums = met.agg(F.sum("wanted"), F.sum("got")).first()
     return sums[1] / sums[0] if sums[0] else 1.0
 
 
 def near_duplicates(
     vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label"
 ) -> DataFrame:
-    """(id, n_links, component_id, kept) per row."""
+    """(id, n_links, component_id, kept, recall) per row.
+
+    ``recall`` is one value, what ``audit`` measured of the graph search. Below ``LEAST_RECALL`` all pairs of a label are
+    compared in blocks instead, and measured again.
+    """
     rows, nodes = nodes_of(vectors, id_col, vector_col, label_col)
     found = found_links(nodes, least)
+    recall = audit(nodes, found, least)
+    if recall < LEAST_RECALL:
+        found = all_links(nodes, least)
+        recall = audit(nodes, found, least)
     linked = components(found.where(F.col("b").isNotNull()).select("a", "b"))
-    sums = found.where(F.col("b").isNull()).groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    sums = link_sums(found)
     placed = nodes.select("node", "weight", "id").join(linked, "node", "left")
     placed = placed.withColumn("root", F.coalesce("component", "node")).join(sums, "node", "left")
     smallest = placed.groupBy("root").agg(F.min("id").alias("smallest"))
@@ -319,4 +380,5 @@ def near_duplicates(
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.when(component != NO_ID, component).alias("component_id"),
         (F.col("id") == component).alias("kept"),
+        F.lit(float(recall)).alias("recall"),
     )

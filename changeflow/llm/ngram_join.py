@@ -5,11 +5,12 @@
 2. Each document becomes a sorted set of 64-bit shingle hashes, of which its size, a digest, the prefix that any
    partner must share a shingle with, and counts by hash bucket are kept.
 3. Documents with equal sets are one class. Classes with equal prefix and size are one group.
-4. Groups that share a prefix shingle meet. Pairs whose sizes or bucket counts rule the threshold out are dropped;
-   bucket counts differ by no more than the sets do, so no link is lost. Of the rest each task passes on a spanning
-   forest, which gives candidate components without writing pairs down.
-5. Groups are expanded to classes, whose sets are built again from text and compared exactly within each candidate
-   component. Pairs that earlier links connect already need no comparison.
+4. Groups that share a prefix shingle meet, and are expanded to their classes. Pairs of groups whose sizes rule the
+   threshold out are dropped, then pairs of classes whose bucket counts do; these differ by no more than the sets, so no
+   link is lost. Of the rest each task passes on a spanning forest, which gives candidate components without writing
+   pairs down.
+5. The classes' sets are built again from text, and all pairs within a candidate component are compared exactly. Tasks
+   write links per class and a spanning forest, never the pairs, so a group of near copies costs no rows beyond its own.
 
 Lists and candidate components larger than a block are cut into blocks that meet pairwise in tasks of their own, so
 no task holds more than two blocks.
@@ -29,7 +30,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from changeflow.llm.columns import same
@@ -214,14 +214,14 @@ def _folded(counts: list[bytes], buckets: int) -> np.ndarray:
 
 
 def candidate_edges(lists: DataFrame, percent: int) -> DataFrame:
-    """Spanning edges (a, b) of groups that share a prefix shingle and are within reach."""
+    """Spanning edges (a, b) of classes that share a prefix shingle and are within reach."""
 
     def span(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Edges already implied by earlier ones of this task are not written again.
         place: dict[int, int] = {}
         written = Forest(0)
         for table, bounds in whole_runs(batches, ["token", "_i", "_j"]):
-            ids, n = table.column("g").to_numpy(), table.column("n").to_numpy()
+            ids, n = table.column("c").to_numpy(), table.column("n").to_numpy()
             marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(-1, COUNT_BUCKETS)
             fine = table.column("fine").to_pylist()
             known, node = np.unique(ids, return_inverse=True)
@@ -253,22 +253,31 @@ def candidate_edges(lists: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(span, "a long, b long")
 
 
-def links_of(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Spanning links among the sets of one block pair, by exact comparison of all pairs not yet connected."""
+def links_of(
+    ids: np.ndarray, sets: list[np.ndarray], weight: np.ndarray, own: np.ndarray, block: tuple[int, int], percent: int
+) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Links of each set of one block pair, weighted by the other's documents, and a spanning forest of them.
+
+    Two sets of one block meet in all of its block pairs; they count in the pair of the block with itself.
+    """
     n = np.fromiter(map(len, sets), np.int64, len(sets))
     part = np.cumsum(n) // SET_VALUES  # so that two parts at a time fit
-    forest, out = Forest(len(sets)), []
+    forest, out, links = Forest(len(sets)), [], np.zeros(len(sets), np.int64)
     parts = [np.flatnonzero(part == k) for k in np.unique(part)]
     for i, mine in enumerate(parts):
         for theirs in parts[i:]:
             members = mine if theirs is mine else np.concatenate([mine, theirs])
-            for a, b in _pairs_that_link(members, sets, n, forest, len(mine), percent):
-                out.append((int(ids[a]), int(ids[b])))
-    return out
+            for a, b in _pairs_that_link(members, sets, n, own, block, len(mine), percent):
+                links[a] += weight[b].sum()
+                links[b] += weight[a]
+                for x in b[forest.flatten()[b] != forest.root(a)].tolist():
+                    if forest.union(a, x):
+                        out.append((int(ids[a]), int(ids[x])))
+    return links, out
 
 
-def _pairs_that_link(members, sets, n, forest: Forest, first: int, percent: int) -> Iterator[tuple[int, int]]:
-    """Links between the ``first`` members and all members; sets are bit rows over the shingles that two of them hold."""
+def _pairs_that_link(members, sets, n, own, block, first: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each of the ``first`` members with all later members it links to; sets are bit rows over shingles that two hold."""
     values, code, often = np.unique(np.concatenate([sets[m] for m in members]), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(len(members)), n[members])
     shared = often > 1  # others are in no intersection
@@ -278,42 +287,45 @@ def _pairs_that_link(members, sets, n, forest: Forest, first: int, percent: int)
     bits = np.zeros((len(members), max(-(-int(shared.sum()) // 8), 1)), np.uint8)
     np.bitwise_or.at(bits, (row, code >> 3), np.uint8(1) << (code & 7).astype(np.uint8))
     chunk = max(1, (4 << 20) // bits.shape[1])
+    size, side = n[members], own[members]
     for a in range(min(first, len(members) - 1)):
-        roots = forest.flatten()[members]
-        b = a + 1 + np.flatnonzero(roots[a + 1 :] != roots[a])
-        if first < len(members):
-            b = b[b >= first]  # pairs of the first part met before
-        n_a, n_b = n[members[a]], n[members[b]]
-        b = b[100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)]
+        # Pairs of the first part met before.
+        b = np.arange(max(a + 1, first if first < len(members) else 0), len(members))
+        here = (np.minimum(side[a], side[b]) == block[0]) & (np.maximum(side[a], side[b]) == block[1])
+        b = b[here & (100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b]))]
         for some in (b[i : i + chunk] for i in range(0, len(b), chunk)):
             common = np.bitwise_count(bits[a] & bits[some]).sum(axis=1, dtype=np.int64)
-            good = 100 * common >= percent * (n_a + n[members[some]] - common)
-            for x in some[good].tolist():
-                if forest.union(members[a], members[x]):
-                    yield members[a], members[x]
+            good = some[100 * common >= percent * (size[a] + size[some] - common)]
+            if len(good):
+                yield members[a], members[good]
 
 
 def exact_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Spanning links of classes, compared within candidate components.
+    """Rows (a, b, links): with b null the links of class a in one block pair; with b a spanning link.
 
-    ``sets``: class id ``c``, component ``cc``, block pair ``_i``, ``_j``, and ``set``.
+    ``sets``: class id ``c``, its documents ``w``, component ``cc``, block ``_own``, block pair ``_i``, ``_j``, and ``set``.
     """
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_runs(sub_batches(batches), ["cc", "_i", "_j"]):
-            ids, lists = table.column("c").to_numpy(), table.column("set").combine_chunks()
+            ids, weight, own, low_block, high_block = (table.column(c).to_numpy() for c in ("c", "w", "_own", "_i", "_j"))
+            lists = table.column("set").combine_chunks()
             flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            out = []
+            counted, spanning = [], []
             for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
                 if high - low > 1:
-                    out += links_of(ids[low:high], [flat[ends[k] : ends[k + 1]] for k in range(low, high)], percent)
-            pairs = np.asarray(out, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                    some = [flat[ends[k] : ends[k + 1]] for k in range(low, high)]
+                    block = (int(low_block[low]), int(high_block[low]))
+                    links, pairs = links_of(ids[low:high], some, weight[low:high], own[low:high], block, percent)
+                    counted += [(int(ids[low + k]), None, int(links[k])) for k in np.flatnonzero(links).tolist()]
+                    spanning += [(a, b, 0) for a, b in pairs]
+            values = list(zip(*(counted + spanning), strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in values], ["a", "b", "links"])
 
     # Sets are long rows: more and smaller partitions than the default keep a task's batches small.
     parts = 4 * int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = sets.repartition(parts, "cc", "_i", "_j").sortWithinPartitions("cc", "_i", "_j")
-    return dealt.mapInArrow(compare, "a long, b long")
+    return dealt.select("c", "w", "cc", "_own", "_i", "_j", "set").mapInArrow(compare, "a long, b long, links long")
 
 
 def with_sets(texts: DataFrame, rarity: np.ndarray, width: int) -> DataFrame:
@@ -325,16 +337,20 @@ def with_sets(texts: DataFrame, rarity: np.ndarray, width: int) -> DataFrame:
             rows, words = word_hashes(column(batch, "_text"))
             _, value, n = shingles(rows, words, batch.num_rows, width, shared.value)
             sets = _lists(value.view(np.int64), n)
-            kept = [column(batch, name) for name in ("c", "cc", "size")]
-            yield pa.RecordBatch.from_arrays([*kept, sets], ["c", "cc", "size", "set"])
+            kept = [column(batch, name) for name in ("c", "w", "cc", "size")]
+            yield pa.RecordBatch.from_arrays([*kept, sets], ["c", "w", "cc", "size", "set"])
 
-    return texts.select("c", "cc", "size", "_text").mapInArrow(build, "c long, cc long, size long, set array<long>")
+    narrow = texts.select("c", "w", "cc", "size", "_text")
+    return narrow.mapInArrow(build, "c long, w long, cc long, size long, set array<long>")
 
 
 def ngram_components(
     docs: DataFrame, width: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, row_key, n_shingles, component_id) per document row; ``row_key`` tells rows with one id apart by text."""
+    """(id, row_key, n_shingles, component_id, n_links) per document row; ``row_key`` tells rows with one id apart by text.
+
+    ``n_links`` counts the other documents that a document links to.
+    """
     ship(docs.sparkSession)
     texts = docs.select(
         F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("id"),
@@ -347,49 +363,51 @@ def ngram_components(
     # A class stands for all documents with one set; its row is read again for the comparison.
     classes = full.groupBy("n", "d1", "d2").agg(
         F.min(F.struct("id", "row_key")).alias("r"),
+        F.count("*").alias("w"),
         F.first("dp").alias("dp"),
         F.first("marks").alias("marks"),
         F.first("fine").alias("fine"),
     )
     number = F.xxhash64("n", "d1", "d2").alias("c")
-    classes = stage(classes.select(number, "n", "d1", "d2", "r.*", "dp", "marks", "fine"), "ngram-classes")
-    # Groups: classes with equal prefix and size, and equal bucket counts, so that one check holds for all members.
-    alike = ["n", "dp", "marks", "fine"]
-    groups = classes.groupBy(*alike).agg(F.min(F.struct("c", "id", "row_key")).alias("r"))
-    groups = stage(groups.select(F.col("r.c").alias("g"), *alike, "r.id", "r.row_key"), "ngram-groups")
+    classes = stage(classes.select(number, "n", "d1", "d2", "w", "r.*", "dp", "marks", "fine"), "ngram-classes")
+    groups = classes.groupBy("n", "dp").agg(F.min(F.struct("c", "id", "row_key")).alias("r"))
+    groups = stage(groups.select(F.col("r.c").alias("g"), "n", "dp", "r.id", "r.row_key"), "ngram-groups")
     # Prefixes move once, for one document of each group.
-    named = groups.select("g", "n", F.col("id").alias("_id"), F.col("row_key").alias("_key"))
+    named = groups.select("g", F.col("id").alias("_id"), F.col("row_key").alias("_key"))
     prefixes = full.select("id", "row_key", "prefix").join(
         named, (F.col("id") == F.col("_id")) & (F.col("row_key") == F.col("_key"))
     )
-    prefixes = prefixes.groupBy("id", "row_key", "g", "n").agg(F.first("prefix").alias("prefix"))
-    listed = prefixes.select("g", "n", F.explode("prefix").alias("token")).withColumn(
-        "size", F.count("*").over(W.partitionBy("token"))
-    )
-    lists = blocked(listed.where("size > 1"), "size", "g", LIST_BLOCK).join(groups.select("g", "marks", "fine"), "g")
+    prefixes = prefixes.groupBy("id", "row_key", "g").agg(F.first("prefix").alias("prefix"))
+    grouped = stage(classes.select("c", "n", "dp").join(groups.select("g", "n", "dp"), ["n", "dp"]).select("g", "c", "n"), "ngram-expanded")
+    # A group counts as many members as it has classes; a prefix shingle of one class meets nothing.
+    often = grouped.groupBy("g").agg(F.count("*").alias("often"))
+    listed = prefixes.select("g", F.explode("prefix").alias("token")).join(often, "g")
+    sizes = listed.groupBy("token").agg(F.sum("often").alias("size")).where("size > 1")
+    met = listed.drop("often").join(sizes, "token").join(grouped, "g")
+    lists = blocked(met, "size", "c", LIST_BLOCK).join(classes.select("c", "marks", "fine"), "c")
     near = components(stage(candidate_edges(lists, percent), "ngram-candidates"))
-    members = (
-        classes.select("c", "id", "row_key", *alike)
-        .join(groups.select("g", *alike), alike)
-        .join(near, F.col("g") == F.col("node"), "left")
-        .select("c", F.col("id").alias("_id"), F.col("row_key").alias("_key"), F.coalesce("component", "g").alias("cc"))
-        .withColumn("size", F.count("*").over(W.partitionBy("cc")))
-        .where("size > 1")
-    )
+    placed = classes.select("c", "w", F.col("id").alias("_id"), F.col("row_key").alias("_key")).join(near, F.col("c") == F.col("node"))
+    placed = placed.select("c", "w", "_id", "_key", F.col("component").alias("cc"))
+    # Only classes with a candidate are in a component, so each has two members or more.
+    members = placed.join(near.groupBy(F.col("component").alias("cc")).agg(F.count("*").alias("size")), "cc")
     members = stage(members, "ngram-members")
     read = (
         # Both sides grow with the corpus: the same plan at every size.
         texts.join(members.hint("merge"), (F.col("id") == F.col("_id")) & (F.col("row_key") == F.col("_key")))
-        .groupBy("id", "row_key", "c", "cc", "size")
+        .groupBy("id", "row_key", "c", "w", "cc", "size")
         .agg(F.first("_text").alias("_text"))
     )
     sets = blocked(with_sets(read, rarity, width), "size", "c", SET_BLOCK)
-    linked = components(stage(exact_links(sets, percent), "ngram-links"))
-    placed = classes.select("c", "n", "d1", "d2", "id").join(linked, F.col("c") == F.col("node"), "left")
+    found = stage(exact_links(sets, percent), "ngram-links")
+    linked = components(found.where("b is not null").select("a", "b"))
+    sums = found.where("b is null").groupBy(F.col("a").alias("_a")).agg(F.sum("links").alias("links"))
+    placed = classes.select("c", "n", "d1", "d2", "w", "id").join(linked, F.col("c") == F.col("node"), "left")
+    placed = placed.join(sums, F.col("c") == F.col("_a"), "left").drop("_a")
     placed = placed.withColumn("root", F.coalesce("component", "c")).drop("node", "component")
     least = placed.groupBy("root").agg(F.min("id").alias("least"))
     of_set = placed.join(least, "root").select(
-        F.col("n").alias("_n"), F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "least"
+        F.col("n").alias("_n"), F.col("d1").alias("_d1"), F.col("d2").alias("_d2"), "least",
+        (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("links"),
     )
     on = (F.col("n") == F.col("_n")) & (F.col("d1") == F.col("_d1")) & (F.col("d2") == F.col("_d2"))
     least_id = F.coalesce("least", "id")
@@ -398,6 +416,7 @@ def ngram_components(
         "row_key",
         F.col("n").alias("n_shingles"),
         F.when(least_id != NO_ID, least_id).alias("component_id"),
+        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
     )
 
 

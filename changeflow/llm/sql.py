@@ -98,8 +98,8 @@ links AS (
     SELECT doc_id AS a, doc_id AS b FROM docs
     UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
 )
-SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.least AS component_id
-FROM docs d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) c ON c.a = d.doc_id
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.least AS component_id, coalesce(k.links, 0)::BIGINT AS n_links
+FROM docs d LEFT JOIN sizes USING (doc_id) LEFT JOIN (SELECT a, count(*) AS links FROM links GROUP BY a) k ON k.a = d.doc_id JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) c ON c.a = d.doc_id
 """
 
 COSINE = """
@@ -117,7 +117,7 @@ reach AS (
     SELECT vec_id AS a, vec_id AS b FROM embeddings
     UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
 )
-SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, least AS component_id, e.vec_id = least AS kept
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, least AS component_id, e.vec_id = least AS kept, 1.0::DOUBLE AS recall
 FROM embeddings e LEFT JOIN counts ON counts.a = e.vec_id
 JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) c ON c.a = e.vec_id
 """

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.llm import tokenizing
-from changeflow.llm.byte_pieces import ASCII_SPACES, Coder, text_bytes, word_cuts
+from changeflow.llm.byte_pieces import Coder, encode_apart, word_cuts
 from changeflow.llm.common import column, ship, sub_batches
 
 ROW_INDEX_STRIDE = 1_000
@@ -35,8 +35,11 @@ BLOOM_FPP = 0.01
 SEGMENT_BYTES = 64 << 20
 
 BATCH_BYTES = 3 << 20
+STORE_BYTES = 112 << 20  # of words and ids kept per worker
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[ord("A") : ord("Z") + 1] += 32
 
-_encoders: dict[int, Coder] = {}
+_encoders: dict[int, tuple[tokenizing.Words, Coder]] = {}
 
 
 def check_kind(config: dict) -> None:
@@ -50,6 +53,7 @@ def check_kind(config: dict) -> None:
         and split.get("invert")
         and model.get("end_of_word_suffix")
         and not model.get("continuing_subword_prefix")
+        and all("<|" in token["content"] for token in config.get("added_tokens", []))
     )
     if not plain or config.get("truncation") or config.get("padding"):
         raise ValueError("token files need a tokenizer that encodes words apart from each other")
@@ -58,15 +62,16 @@ def check_kind(config: dict) -> None:
 def encode_rows(texts: pa.Array, json_text: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, each closed by ``end_id``, and the number of ids of each.
 
-    The tokenizer drops white space between pre-tokens and normalises characters one by one, so words are
-    encoded apart: a worker asks for each distinct word about once.
+    The tokenizer drops white space between pre-tokens and normalises characters one by one, so words, and marks behind
+    ASCII letters, are encoded apart: a worker asks for each distinct one about once. Capitals A-Z are lowered first.
+    Texts that may hold special strings are encoded whole.
     """
     key = hash(json_text)
     if key not in _encoders:
         words = tokenizing.Words(tokenizing.load(json_text))
-        strip = ASCII_SPACES
-        _encoders[key] = Coder(word_cuts, lambda pieces: words.encode([p.strip(strip).decode() for p in pieces]))
-    ids, counts, _ = _encoders[key](*text_bytes(texts))
+        _encoders[key] = words, Coder(word_cuts, lambda pieces: words.encode([p.decode() for p in pieces]), STORE_BYTES)
+    words, coder = _encoders[key]
+    ids, counts = encode_apart(texts, ["<|"], words.tokenizer, lambda data, bounds: coder(LOWERED[data], bounds)[:2])
     return np.insert(ids, np.cumsum(counts), end_id), counts + 1
 
 

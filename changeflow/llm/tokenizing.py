@@ -14,8 +14,9 @@ import numpy as np
 # Pieces kept per worker, and the longest one worth keeping; when full, the store is emptied and fills again (results do
 # not change).
 KEPT_PIECES = 250_000
-KEPT_WORDS = 60_000
 LONGEST_KEPT = 64
+# ASCII white space.
+SPACES = "\t\n\x0b\x0c\r "
 
 _tokenizers: dict[int, object] = {}
 
@@ -64,19 +65,16 @@ class Pieces(dict):
 class Words:
     """Ids of single words for a tokenizer that lower-cases, drops white space and splits off punctuation.
 
-    Case and one closing mark do not need an encoding of their own: ASCII words are lower-cased, and a mark behind
-    an ASCII letter or digit is a pre-token of its own. New words go to the library many in one call, parted by
-    a sign that is one token and occurs in none of them.
+    New words go to the library many in one call, parted by a sign that is one token and occurs in none of them. Lower-case
+    ASCII letters are one pre-token, which its model takes as it is.
     """
 
-    MARKS = frozenset(".,;:!?")
     SIGN = "|"
     PER_CALL = 1_000
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.known = tokenizer, {}
+        self.tokenizer = tokenizer
         self.sign = self._alone(self.SIGN)
-        self.marks = {m: self._bytes(self._alone(m)) for m in self.MARKS}
         if len(self.sign) != 1:
             raise ValueError("the sign between words must be one token")
 
@@ -87,50 +85,32 @@ class Words:
     def _bytes(ids) -> bytes:
         return np.asarray(ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        # ASCII letters are one pre-token that the model can take as it is.
-        merge, rest = self.tokenizer.model.tokenize, []
-        for w in words:
-            if w.isascii() and w.isalpha():
-                ids = [t.id for t in merge(w)]
-                self.known[w] = pack(f"<{len(ids)}I", *ids)
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each word; white space and an empty one have none."""
+        merge, known, plain = self.tokenizer.model.tokenize, {}, []
+        for word in words:
+            if word.isascii():
+                if word.isalpha() and word.islower():
+                    ids = [t.id for t in merge(word)]
+                    known[word] = pack(f"<{len(ids)}I", *ids)
+                    continue
+                if not word.strip(SPACES):
+                    known[word] = b""
+                    continue
+            if self.SIGN in word:
+                known[word] = self._bytes(self._alone(word))
             else:
-                rest.append(w)
-        plain = [w for w in rest if self.SIGN not in w]
-        self.known.update((w, self._bytes(self._alone(w))) for w in rest if self.SIGN in w)
+                plain.append(word)
         for start in range(0, len(plain), self.PER_CALL):
             some = plain[start : start + self.PER_CALL]
             joined = f" {self.SIGN} ".join(some)
             ids = np.asarray(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(ids == self.sign[0])
             if len(cuts) != len(some) - 1:
-                self.known.update((w, self._bytes(self._alone(w))) for w in some)
+                known.update((w, self._bytes(self._alone(w))) for w in some)
                 continue
             whole = ids.tobytes()
             ends = [*(cuts * 4).tolist(), len(whole)]
             begins = [0, *((cuts + 1) * 4).tolist()]
-            self.known.update((w, whole[a:b]) for w, a, b in zip(some, begins, ends, strict=True))
-
-    def encode(self, words: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each word; an empty one has none."""
-        cut = []
-        for word in words:
-            tail = ""
-            if word.isascii() and "<|" not in word:
-                word = word.lower()
-                if len(word) > 1 and word[-1] in self.MARKS and word[-2].isalnum():
-                    word, tail = word[:-1], word[-1]
-            cut.append((word, tail))
-        known = self.known
-        missing = {w for w, _ in cut if w not in known}
-        if len(known) + len(missing) > KEPT_WORDS:
-            known.clear()
-            missing = {w for w, _ in cut}
-        known[""] = b""
-        self._learn([w for w in missing if w])
-        marks = self.marks
-        out = [known[w] + marks[tail] if tail else known[w] for w, tail in cut]
-        for word in missing:
-            if len(word) > LONGEST_KEPT:
-                known.pop(word, None)
-        return out
+            known.update((w, whole[a:b]) for w, a, b in zip(some, begins, ends, strict=True))
+        return [known[w] for w in words]

@@ -65,7 +65,7 @@ def test_equals_brute_force(spark, monkeypatch, block, per_shard):
     monkeypatch.setattr(flat_graph, "PER_SHARD", per_shard)
     rows = corpus()
     frame = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA).repartition(3)
-    got = sorted(map(tuple, flat_graph.near_duplicates(frame).collect()), key=repr)
+    got = sorted(map(tuple, flat_graph.near_duplicates(frame).drop("recall").collect()), key=repr)
     want = brute(rows)
     if per_shard > 1_000:
         assert got == want
@@ -85,12 +85,27 @@ def test_recall_on_given_vectors_with_near_copies(spark, monkeypatch):
             near = np.asarray(r.embedding) + rng.normal(size=64) * rng.choice([0.01, 0.02, 0.03])
             rows.append((100_000 + 10 * r.vec_id + k, near.tolist(), r.label))
     frame = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)
-    got = {r.vec_id: r for r in flat_graph.near_duplicates(frame).collect()}
+    got = {r.vec_id: r for r in flat_graph.near_duplicates(frame).drop("recall").collect()}
     want = {r[0]: r for r in brute(rows)}
     assert all(got[i].n_links <= want[i][1] for i in want)
     assert sum(r.n_links for r in got.values()) >= 0.97 * sum(r[1] for r in want.values()) > 0
     _, nodes = flat_graph.nodes_of(frame, "vec_id", "embedding", "label")
-    assert flat_graph.audit(nodes) >= 0.9
+    assert flat_graph.audit(nodes, flat_graph.found_links(nodes, 0.98)) >= 0.9
+
+
+def test_too_little_recall_is_repaired(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    core = rng.normal(size=(40, 32))
+    rows = [(100 * k + i, (c + rng.normal(size=32) * 0.02).tolist(), k % 2) for k, c in enumerate(core) for i in range(5)]
+    frame = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)
+    found = flat_graph.found_links
+    # A search that finds nothing, as if all links lay between shards.
+    monkeypatch.setattr(flat_graph, "found_links", lambda nodes, least: found(nodes, least).where("false"))
+    got = flat_graph.near_duplicates(frame)
+    assert {r.recall for r in got.collect()} == {1.0}
+    assert sorted(map(tuple, got.drop("recall").collect()), key=repr) == brute(rows)
+    _, nodes = flat_graph.nodes_of(frame, "vec_id", "embedding", "label")
+    assert flat_graph.audit(nodes, flat_graph.found_links(nodes, 0.98)) == 0.0
 
 
 def two_groups(size=60, dims=64):
@@ -108,7 +123,7 @@ def test_links_between_tight_groups_larger_than_the_candidate_lists(spark):
     want = brute(rows)
     assert {r[1] for r in want} == {119} and {r[2] for r in want} == {0}  # every pair links
     frame = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA)
-    assert sorted(map(tuple, flat_graph.near_duplicates(frame).collect()), key=repr) == want
+    assert sorted(map(tuple, flat_graph.near_duplicates(frame).drop("recall").collect()), key=repr) == want
 
 
 @pytest.mark.parametrize("least", [0.9, 0.98])

@@ -16,7 +16,7 @@ def brute(rows, width=3, percent=90):
     for _, text in rows:
         words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
         sets.append({tuple(words[i : i + width]) for i in range(max(len(words) - width + 1, 1))} if words else set())
-    up = list(range(len(rows)))
+    up, links = list(range(len(rows))), [0] * len(rows)
 
     def root(i):
         while up[i] != i:
@@ -28,11 +28,13 @@ def brute(rows, width=3, percent=90):
             b = sets[j]
             if a and b and 100 * len(a & b) >= percent * len(a | b):
                 up[root(i)] = root(j)
+                links[i] += 1
+                links[j] += 1
     least = {}
     for i, (doc, _) in enumerate(rows):
         key = (doc is not None, doc or 0)
         least[root(i)] = min(least.get(root(i), key), key)
-    out = [(doc, len(sets[i]), least[root(i)][1] if least[root(i)][0] else None) for i, (doc, _) in enumerate(rows)]
+    out = [(doc, len(sets[i]), least[root(i)][1] if least[root(i)][0] else None, links[i]) for i, (doc, _) in enumerate(rows)]
     return sorted(out, key=repr)
 
 
@@ -71,9 +73,19 @@ def test_components_equal_brute_force(spark, monkeypatch, block):
 def test_links_in_small_parts(monkeypatch):
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 60, rng.integers(20, 50))) for _ in range(80)]
-    whole = ngram_join.links_of(np.arange(80), sets, 45)
+    weight, own = rng.integers(1, 4, 80), np.zeros(80, np.int64)
+    whole = ngram_join.links_of(np.arange(80), sets, weight, own, (0, 0), 45)
     monkeypatch.setattr(ngram_join, "SET_VALUES", 200)
-    parts = ngram_join.links_of(np.arange(80), sets, 45)
+    parts = ngram_join.links_of(np.arange(80), sets, weight, own, (0, 0), 45)
+    # Two blocks meet in three pairs; each pair of sets counts in one of them.
+    own[::3] = 1
+    blocks = []
+    for i, j in ((0, 0), (0, 1), (1, 1)):
+        at = np.flatnonzero((own == i) | (own == j))
+        links, pairs = ngram_join.links_of(at, [sets[k] for k in at], weight[at], own[at], (i, j), 45)
+        full = np.zeros(80, np.int64)
+        full[at] = links
+        blocks.append((full, pairs))
 
     def groups(pairs):
         forest = ngram_join.Forest(80)
@@ -85,7 +97,13 @@ def test_links_in_small_parts(monkeypatch):
         return 100 * len(np.intersect1d(a, b)) >= 45 * len(np.union1d(a, b))
 
     close = [(a, b) for a in range(80) for b in range(a) if linked(sets[a], sets[b])]
-    assert groups(whole) == groups(parts) == groups(close) and len(set(groups(close))) < 80
+    assert groups(whole[1]) == groups(parts[1]) == groups(close) and len(set(groups(close))) < 80
+    assert groups([p for _, pairs in blocks for p in pairs]) == groups(close)
+    want = np.zeros(80, np.int64)
+    for a, b in close:
+        want[a] += weight[b]
+        want[b] += weight[a]
+    assert (whole[0] == want).all() and (parts[0] == want).all() and (sum(full for full, _ in blocks) == want).all()
 
 
 def test_bucket_counts_never_rule_out_a_link():
