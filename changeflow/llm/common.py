@@ -7,15 +7,13 @@ import zipfile
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.session import scratch_path, stage
 
-__all__ = ["column", "held_out", "scratch_path", "ship", "stage", "sub_batches", "table", "words_of"]
+__all__ = ["column", "held_out", "scratch_path", "ship", "stage", "sub_batches", "table"]
 
 
 def ship(spark: SparkSession) -> None:
@@ -55,26 +53,3 @@ def sub_batches(batches: Iterable[pa.RecordBatch], max_bytes: int = 8 << 20) ->
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
-
-
-def lowered(texts: pa.Array) -> pa.Array:
-    """Lower-case the bytes of A-Z and no others (Arrow's own ``ascii_lower`` changes bytes of other characters too)."""
-    _, offsets, data = texts.buffers()
-    same = np.arange(256, dtype=np.uint8)
-    same[ord("A") : ord("Z") + 1] += 32
-    low = same[np.frombuffer(data, np.uint8)] if data is not None else b""
-    return pa.LargeStringArray.from_buffers(len(texts), offsets, pa.py_buffer(low), offset=texts.offset)
-
-
-def words_of(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, pa.Array]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a batch: row index of each word, and the words, in order.
-
-    Null texts have no words. Only A-Z are lower-cased.
-    """
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    if lower:
-        texts = lowered(texts)
-    lists = pc.ascii_split_whitespace(texts)
-    rows, words = pc.list_parent_indices(lists), pc.list_flatten(lists)
-    full = pc.not_equal(words, "")
-    return rows.filter(full), words.filter(full)

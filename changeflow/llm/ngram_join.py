@@ -27,13 +27,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changeflow.llm.byte_pieces import IS_SPACE, text_bytes
 from changeflow.llm.columns import same
-from changeflow.llm.common import column, ship, stage, sub_batches, words_of
+from changeflow.llm.common import column, ship, stage, sub_batches
 from changeflow.llm.graph import components
 from changeflow.llm.runs import Forest, blocked, whole_runs
 
@@ -45,8 +45,12 @@ SET_BLOCK = 512
 SET_VALUES = 1 << 21  # shingles compared at once
 TEXT_BYTES = 3 << 20  # of text that a task turns into arrays at once
 NO_ID = -(1 << 63)
+SPAN = 4 << 20  # bytes whose words are hashed at once
+LONG_WORD = 512
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
+_tables: list[np.ndarray] = []
+
 
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(29))) * MIX[1]
@@ -54,14 +58,48 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Powers of an odd base and of its inverse modulo 2^64, and a random number for each byte, equal for A-Z and a-z."""
+    if not _tables:
+        of_byte = np.random.default_rng(17).integers(1, 1 << 63, 256, np.uint64)
+        of_byte[ord("A") : ord("Z") + 1] = of_byte[ord("a") : ord("z") + 1]
+        for base in (int(MIX[0]), pow(int(MIX[0]), -1, 1 << 64)):
+            steps = np.full(SPAN + 1, base, np.uint64)
+            steps[0] = 1
+            _tables.append(np.cumprod(steps))
+        _tables.append(of_byte)
+    return tuple(_tables)
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Row and 64-bit hash of every word of a batch."""
-    rows, words = words_of(texts)
-    coded = pc.dictionary_encode(words)
-    if isinstance(coded, pa.ChunkedArray):
-        coded = coded.combine_chunks()
-    each = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    return rows.to_numpy(zero_copy_only=False).astype(np.int64), each[coded.indices.to_numpy(zero_copy_only=False)]
+    """Row and 64-bit hash of every word ``[^\\x20\\x09-\\x0D]+`` of a batch, A-Z lowered.
+
+    Words are stretches of the batch's bytes; their hashes are differences of running sums of (byte's number * power of
+    its place), shifted to place 0. Very long words are hashed one by one.
+    """
+    data, bounds = text_bytes(texts)
+    space = IS_SPACE[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[bounds] = True
+    before, behind = np.ones(len(data), bool), np.ones(len(data), bool)
+    before[1:], behind[:-1] = space[:-1], space[1:]
+    starts = np.flatnonzero(~space & (before | edge[:-1]))
+    ends = np.flatnonzero(~space & (behind | edge[1:])) + 1
+    out, low = np.empty(len(starts), np.uint64), 0
+    up, down, of_byte = _powers()
+    while low < len(starts):
+        high = max(low + 1, int(np.searchsorted(ends, starts[low] + SPAN, side="right")))
+        first = starts[low]
+        if ends[high - 1] - first <= SPAN:
+            part = data[first : ends[high - 1]]
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(of_byte[part] * up[: len(part)], out=sums[1:])
+            a, b = starts[low:high] - first, ends[low:high] - first
+            out[low:high] = mixed((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+        low = high
+    for k in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]].tobytes().lower())
+    return np.searchsorted(bounds, starts, side="right") - 1, out
 
 
 def shingles(rows: np.ndarray, words: np.ndarray, n_rows: int, width: int, rarity: np.ndarray):

@@ -172,3 +172,23 @@ def test_keep_one_with_any_names_of_columns(spark):
     assert {(r.doc_id, r.text, r["_kept_id"]) for r in kept.collect()} == {
         (None, "one two three four", 7), (3, "other words are here", 7), (2, None, 7), (4, "", 7)
     }
+
+
+def test_word_hashes_depend_on_the_word_alone(monkeypatch):
+    import pyarrow as pa
+
+    long = "y" * 5_000
+    texts = ["One two  three", None, "", " \n", "TWO\tone é É " + long, long.upper() + "x", "three", "\x1cone \x85 a"]
+    def hashed():
+        rows, values = ngram_join.word_hashes(pa.array(texts))
+        return list(zip(rows.tolist(), values.tolist(), strict=True))
+
+    got = hashed()
+    words = [(i, w) for i, t in enumerate(texts) for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))]
+    assert [i for i, _ in got] == [i for i, _ in words]
+    value = {}
+    for (_, h), (_, w) in zip(got, words, strict=True):
+        assert value.setdefault(w, h) == h
+    assert len(set(value.values())) == len(value)
+    monkeypatch.setattr(ngram_join, "SPAN", 40)
+    assert hashed() == got
