@@ -22,7 +22,24 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder's name in the shared folder; ``drop_scratch`` removes what was written there."""
+    path = f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    if not hasattr(context, "_changeflow_scratch"):
+        context._changeflow_scratch = []
+    context._changeflow_scratch.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove all scratch folders this application has named so far; frames that read from them end with it."""
+    context = spark.sparkContext
+    paths, removed = getattr(context, "_changeflow_scratch", []), 0
+    for name in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        removed += path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    paths.clear()
+    return removed
 
 
 def pin(df: DataFrame) -> DataFrame:

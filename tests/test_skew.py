@@ -73,3 +73,19 @@ def test_number_rows_counts_down_the_whole_frame(spark):
     got = number_rows(df, [F.col("path").desc()], "part").collect()
     assert [r.path for r in sorted(got, key=lambda r: r.part)] == sorted(names, reverse=True)
     assert sorted(r.part for r in got) == list(range(1, 501))
+
+
+def test_scratch_folders_can_be_dropped(spark):
+    import os
+
+    from changeflow import session
+
+    held = list(getattr(spark.sparkContext, "_changeflow_scratch", []))
+    spark.sparkContext._changeflow_scratch = []
+    one = session.stage(spark.range(3), "kept")
+    path = one.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    session.scratch_path(spark, "never-written")
+    assert os.path.isdir(path) and one.count() == 3
+    assert session.drop_scratch(spark) == 1 and not os.path.exists(path)
+    assert session.drop_scratch(spark) == 0
+    spark.sparkContext._changeflow_scratch = held
