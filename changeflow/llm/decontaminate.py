@@ -11,7 +11,7 @@ that documents without hits keep their word count without a second scan.
 
 Null and empty texts have no words and are never hit. Rows that repeat (same id and text) each get the same
 result; rows that share an id but not the text are scanned as separate documents. A null id is an id like any
-other. Items without words are ignored. Columns other than id and text are not read, and ``remove`` returns all
+other. Items without words are ignored; an item with a null id counts under the id ``null``. Columns other than id and text are not read, and ``remove`` returns all
 columns as they were.
 """
 
@@ -37,7 +37,7 @@ def _hash(words: str, at: Column, length: int, width: int) -> Column:
 def windows(benchmark: DataFrame, width: int = WIDTH, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Distinct (_key, _length, _window, _item) of all items; ``_window`` is the words joined by a space."""
     items = benchmark.select(
-        benchmark[item_col].cast("string").alias("_item"),
+        F.coalesce(benchmark[item_col].cast("string"), F.lit("null")).alias("_item"),
         word_list(ascii_lower(benchmark[text_col]), PLAIN_WORDS).alias("_words"),
     ).where(F.size("_words") > 0)
     last = F.greatest(F.size("_words") - width, F.lit(0))

@@ -5,7 +5,7 @@
 2. Each document becomes a sorted set of 64-bit shingle hashes, of which its size, a digest, the prefix that any
    partner must share a shingle with, and counts by hash bucket are kept.
 3. Documents with equal sets are one class. Classes with equal prefix and size are one group.
-4. Groups that share a prefix shingle meet, and are expanded to their classes. Pairs of groups whose sizes rule the
+4. Groups that share a prefix shingle and have sizes of one band meet, and are expanded to their classes. Pairs of groups whose sizes rule the
    threshold out are dropped, then pairs of classes whose bucket counts do; these differ by no more than the sets, so no
    link is lost. Of the rest each task passes on a spanning forest, which gives candidate components without writing
    pairs down.
@@ -23,12 +23,13 @@ whose 64-bit hashes are equal would count as one.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.llm.byte_pieces import IS_SPACE, text_bytes
@@ -139,6 +140,16 @@ def fine_buckets(n: int, percent: int) -> int:
     return buckets if buckets > COUNT_BUCKETS else 0
 
 
+def size_bands(n: Column, percent: int) -> Column:
+    """The band of a set's size and the next one: sizes that may link are at most one band apart.
+
+    Bands are a little wider than the ratio of sizes allowed, so that rounding cannot part two that link.
+    """
+    width = 1.001 * math.log(100 / percent) if percent < 100 else 1e-9
+    band = F.floor(F.log(n.cast("double")) / F.lit(width))
+    return F.array(band, band + 1)
+
+
 def least_overlap(n, percent: int):
     return (percent * n + 99) // 100
 
@@ -417,9 +428,13 @@ def ngram_components(
     )
     prefixes = prefixes.groupBy("id", "row_key", "g").agg(F.first("prefix").alias("prefix"))
     grouped = stage(classes.select("c", "n", "dp").join(groups.select("g", "n", "dp"), ["n", "dp"]).select("g", "c", "n"), "ngram-expanded")
-    # A group counts as many members as it has classes; a prefix shingle of one class meets nothing.
-    often = grouped.groupBy("g").agg(F.count("*").alias("often"))
+    # A group counts as many members as it has classes; a prefix shingle of one class meets nothing. Sets that link have
+    # sizes in one band or two neighbouring ones, so a group enters the lists of its band and the next one only.
+    often = grouped.groupBy("g").agg(F.count("*").alias("often"), F.first("n").alias("n"))
+    often = often.withColumn("bands", size_bands(F.col("n"), percent)).drop("n")
     listed = prefixes.select("g", F.explode("prefix").alias("token")).join(often, "g")
+    listed = listed.select("g", "often", "token", F.explode("bands").alias("band"))
+    listed = listed.select("g", "often", F.xxhash64("token", "band").alias("token"))
     sizes = listed.groupBy("token").agg(F.sum("often").alias("size")).where("size > 1")
     met = listed.drop("often").join(sizes, "token").join(grouped, "g")
     lists = blocked(met, "size", "c", LIST_BLOCK).join(classes.select("c", "marks", "fine"), "c")

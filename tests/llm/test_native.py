@@ -179,3 +179,10 @@ def test_mix_with_any_names_of_columns(spark):
     mixed = mixing.mix(docs, max_repetition=2.0)
     assert mixed.columns == docs.columns
     assert sorted(map(tuple, mixed.collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_items_without_an_id_count(spark):
+    docs = frame(spark, [(1, "one two three four"), (2, "five six")])
+    items = spark.createDataFrame([(None, "two three"), ("b", "four")], "item_id string, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in decontaminate.contamination(docs, items, width=2).collect()}
+    assert got == {1: (3, 2, True), 2: (0, 0, False)}

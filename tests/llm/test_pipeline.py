@@ -44,7 +44,7 @@ def test_stages_equal_brute_force(spark, tmp_path):
 
     # 2: the least id of each component
     parts = brute([r[:2] for r in one], width=5, percent=80)
-    assert ids(two) == sorted({c for _, _, c in parts})
+    assert ids(two) == sorted({c for _, _, c, _ in parts})
 
     # 3: no window of a benchmark item
     windows = set()
