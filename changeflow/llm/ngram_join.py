@@ -433,10 +433,12 @@ def ngram_components(
     often = grouped.groupBy("g").agg(F.count("*").alias("often"), F.first("n").alias("n"))
     often = often.withColumn("bands", size_bands(F.col("n"), percent)).drop("n")
     listed = prefixes.select("g", F.explode("prefix").alias("token")).join(often, "g")
-    listed = listed.select("g", "often", "token", F.explode("bands").alias("band"))
-    listed = listed.select("g", "often", F.xxhash64("token", "band").alias("token"))
-    sizes = listed.groupBy("token").agg(F.sum("often").alias("size")).where("size > 1")
-    met = listed.drop("often").join(sizes, "token").join(grouped, "g")
+    listed = listed.select("g", "often", "token", F.posexplode("bands").alias("guest", "band"))
+    listed = listed.select("g", "often", "guest", F.xxhash64("token", "band").alias("token"))
+    # Guests of a band meet each other in their own one: a list needs a member that is at home.
+    at_home = F.sum(F.when(F.col("guest") == 0, F.col("often")))
+    sizes = listed.groupBy("token").agg(F.sum("often").alias("size"), at_home.alias("home")).where("size > 1 and home > 0")
+    met = listed.select("g", "token").join(sizes.drop("home"), "token").join(grouped, "g")
     lists = blocked(met, "size", "c", LIST_BLOCK).join(classes.select("c", "marks", "fine"), "c")
     near = components(stage(candidate_edges(lists, percent), "ngram-candidates"))
     placed = classes.select("c", "w", F.col("id").alias("_id"), F.col("row_key").alias("_key")).join(near, F.col("c") == F.col("node"))
