@@ -138,6 +138,11 @@ class Vectors:
         return self.rows[np.fromiter(map(self.place.__getitem__, listed), np.int64, len(listed))]
 
 
+def forget_vectors() -> None:
+    """Let go of the vectors at the end of a task, as workers live on through later stages."""
+    _tables.pop("kept", None)
+
+
 def kept_vectors(codes: np.ndarray) -> np.ndarray:
     if "kept" not in _tables:
         _tables["kept"] = Vectors()
@@ -262,6 +267,7 @@ def keep_identified(docs: DataFrame, text_col: str = "text", label_col: str = "l
                 unlike = unlike_all(score, worth, spread).tolist()
                 good = [f != UNDEFINED and not u for f, u in zip(found, unlike, strict=True)]
                 yield part.filter(pa.array(good, pa.bool_()))
+        forget_vectors()
 
     return docs.mapInArrow(accept, docs.schema)
 
@@ -283,6 +289,7 @@ def identify(
                 arrays = [column(part, c) for c in ("_id", "_held", "row_key")]
                 arrays += [pa.array(found, pa.string()), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(arrays, [id_col, "held_out", "row_key", "lang_pred", "score"])
+        forget_vectors()
 
     schema = T.StructType(
         [

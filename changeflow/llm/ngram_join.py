@@ -46,7 +46,7 @@ SET_BLOCK = 512
 SET_VALUES = 1 << 21  # shingles compared at once
 TEXT_BYTES = 3 << 20  # of text that a task turns into arrays at once
 NO_ID = -(1 << 63)
-SPAN = 4 << 20  # bytes whose words are hashed at once
+SPAN = 1 << 20  # bytes whose words are hashed at once
 LONG_WORD = 512
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 

@@ -35,7 +35,7 @@ BLOOM_FPP = 0.01
 SEGMENT_BYTES = 64 << 20
 
 BATCH_BYTES = 3 << 20
-STORE_BYTES = 112 << 20  # of words and ids kept per worker
+STORE_BYTES = 64 << 20  # of words and ids kept per worker
 LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[ord("A") : ord("Z") + 1] += 32
 
