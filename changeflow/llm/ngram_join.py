@@ -4,11 +4,10 @@
    shingles, those of rare words first; it steers load only, any order gives the same result.
 2. Each document becomes a sorted set of 64-bit shingle hashes, of which its size, a digest, the prefix that any
    partner must share a shingle with, and counts by hash bucket are kept.
-3. Documents with equal sets are one class. Classes with equal prefix and size are one group.
-4. Groups that share a prefix shingle and have sizes of one band meet, and are expanded to their classes. Pairs of groups whose sizes rule the
-   threshold out are dropped, then pairs of classes whose bucket counts do; these differ by no more than the sets, so no
-   link is lost. Of the rest each task passes on a spanning forest, which gives candidate components without writing
-   pairs down.
+3. Documents with equal sets are one class. Classes with equal prefix and size, and equal counts by hash bucket, are one group.
+4. Groups that share a prefix shingle meet. Pairs whose sizes or bucket counts rule the threshold out are dropped;
+   bucket counts differ by no more than the sets do, so no link is lost. Of the rest each task passes on a spanning
+   forest, which gives candidate components without writing pairs down. Groups are expanded to their classes.
 5. The classes' sets are built again from text, and all pairs within a candidate component are compared exactly. Tasks
    write links per class and a spanning forest, never the pairs, so a group of near copies costs no rows beyond its own.
 
@@ -23,13 +22,13 @@ whose 64-bit hashes are equal would count as one.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from changeflow.llm.byte_pieces import IS_SPACE, text_bytes
@@ -140,16 +139,6 @@ def fine_buckets(n: int, percent: int) -> int:
     return buckets if buckets > COUNT_BUCKETS else 0
 
 
-def size_bands(n: Column, percent: int) -> Column:
-    """The band of a set's size and the next one: sizes that may link are at most one band apart.
-
-    Bands are a little wider than the ratio of sizes allowed, so that rounding cannot part two that link.
-    """
-    width = 1.001 * math.log(100 / percent) if percent < 100 else 1e-9
-    band = F.floor(F.log(n.cast("double")) / F.lit(width))
-    return F.array(band, band + 1)
-
-
 def least_overlap(n, percent: int):
     return (percent * n + 99) // 100
 
@@ -263,14 +252,14 @@ def _folded(counts: list[bytes], buckets: int) -> np.ndarray:
 
 
 def candidate_edges(lists: DataFrame, percent: int) -> DataFrame:
-    """Spanning edges (a, b) of classes that share a prefix shingle and are within reach."""
+    """Spanning edges (a, b) of groups that share a prefix shingle and are within reach."""
 
     def span(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Edges already implied by earlier ones of this task are not written again.
         place: dict[int, int] = {}
         written = Forest(0)
         for table, bounds in whole_runs(batches, ["token", "_i", "_j"]):
-            ids, n = table.column("c").to_numpy(), table.column("n").to_numpy()
+            ids, n = table.column("g").to_numpy(), table.column("n").to_numpy()
             marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(-1, COUNT_BUCKETS)
             fine = table.column("fine").to_pylist()
             known, node = np.unique(ids, return_inverse=True)
@@ -419,32 +408,27 @@ def ngram_components(
     )
     number = F.xxhash64("n", "d1", "d2").alias("c")
     classes = stage(classes.select(number, "n", "d1", "d2", "w", "r.*", "dp", "marks", "fine"), "ngram-classes")
-    groups = classes.groupBy("n", "dp").agg(F.min(F.struct("c", "id", "row_key")).alias("r"))
-    groups = stage(groups.select(F.col("r.c").alias("g"), "n", "dp", "r.id", "r.row_key"), "ngram-groups")
+    # Groups: classes with equal prefix and size, and equal bucket counts, so that one check holds for all members.
+    alike = ["n", "dp", "marks", "fine"]
+    groups = classes.groupBy(*alike).agg(F.min(F.struct("c", "id", "row_key")).alias("r"))
+    groups = stage(groups.select(F.col("r.c").alias("g"), *alike, "r.id", "r.row_key"), "ngram-groups")
     # Prefixes move once, for one document of each group.
-    named = groups.select("g", F.col("id").alias("_id"), F.col("row_key").alias("_key"))
+    named = groups.select("g", "n", F.col("id").alias("_id"), F.col("row_key").alias("_key"))
     prefixes = full.select("id", "row_key", "prefix").join(
         named, (F.col("id") == F.col("_id")) & (F.col("row_key") == F.col("_key"))
     )
-    prefixes = prefixes.groupBy("id", "row_key", "g").agg(F.first("prefix").alias("prefix"))
-    grouped = stage(classes.select("c", "n", "dp").join(groups.select("g", "n", "dp"), ["n", "dp"]).select("g", "c", "n"), "ngram-expanded")
-    # A group counts as many members as it has classes; a prefix shingle of one class meets nothing. Sets that link have
-    # sizes in one band or two neighbouring ones, so a group enters the lists of its band and the next one only.
-    often = grouped.groupBy("g").agg(F.count("*").alias("often"), F.first("n").alias("n"))
-    often = often.withColumn("bands", size_bands(F.col("n"), percent)).drop("n")
-    listed = prefixes.select("g", F.explode("prefix").alias("token")).join(often, "g")
-    listed = listed.select("g", "often", "token", F.posexplode("bands").alias("guest", "band"))
-    listed = listed.select("g", "often", "guest", F.xxhash64("token", "band").alias("token"))
-    # Guests of a band meet each other in their own one: a list needs a member that is at home.
-    at_home = F.sum(F.when(F.col("guest") == 0, F.col("often")))
-    sizes = listed.groupBy("token").agg(F.sum("often").alias("size"), at_home.alias("home")).where("size > 1 and home > 0")
-    met = listed.select("g", "token").join(sizes.drop("home"), "token").join(grouped, "g")
-    lists = blocked(met, "size", "c", LIST_BLOCK).join(classes.select("c", "marks", "fine"), "c")
+    prefixes = prefixes.groupBy("id", "row_key", "g", "n").agg(F.first("prefix").alias("prefix"))
+    # Lists are counted where they meet: rows are narrow, and move once by token.
+    listed = prefixes.select("g", "n", F.explode("prefix").alias("token")).withColumn(
+        "size", F.count("*").over(W.partitionBy("token"))
+    )
+    lists = blocked(listed.where("size > 1"), "size", "g", LIST_BLOCK).join(groups.select("g", "marks", "fine"), "g")
     near = components(stage(candidate_edges(lists, percent), "ngram-candidates"))
-    placed = classes.select("c", "w", F.col("id").alias("_id"), F.col("row_key").alias("_key")).join(near, F.col("c") == F.col("node"))
-    placed = placed.select("c", "w", "_id", "_key", F.col("component").alias("cc"))
-    # Only classes with a candidate are in a component, so each has two members or more.
-    members = placed.join(near.groupBy(F.col("component").alias("cc")).agg(F.count("*").alias("size")), "cc")
+    grouped = classes.join(groups.select("g", *alike), alike).join(near, F.col("g") == F.col("node"), "left")
+    component = F.coalesce("component", "g").alias("cc")
+    placed = grouped.select("c", "w", F.col("id").alias("_id"), F.col("row_key").alias("_key"), component)
+    sizes = placed.groupBy("cc").agg(F.count("*").alias("size")).where("size > 1")
+    members = placed.join(sizes, "cc")
     members = stage(members, "ngram-members")
     read = (
         # Both sides grow with the corpus: the same plan at every size.

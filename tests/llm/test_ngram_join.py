@@ -5,7 +5,6 @@ import re
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from changeflow.llm import graph, ngram_join
 
@@ -193,14 +192,3 @@ def test_word_hashes_depend_on_the_word_alone(monkeypatch):
     assert len(set(value.values())) == len(value)
     monkeypatch.setattr(ngram_join, "SPAN", 40)
     assert hashed() == got
-
-
-@pytest.mark.parametrize("percent", [80, 90, 100])
-def test_sizes_that_may_link_share_a_band(spark, percent):
-    sizes = [n for n in range(1, 400)] + [10**k * d for k in range(3, 9) for d in (9, 10, 8, 72, 81, 90)]
-    bands = {r.n: set(r.b) for r in spark.createDataFrame([(n,) for n in set(sizes)], "n long").select("n", ngram_join.size_bands(F.col("n"), percent).alias("b")).collect()}
-    for a in bands:
-        for b in bands:
-            if a <= b and 100 * a >= percent * b:
-                assert bands[a] & bands[b]
-    assert percent == 100 or not bands[10] & bands[300]
