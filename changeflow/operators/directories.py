@@ -63,6 +63,16 @@ def empty_dirs(usage: DataFrame) -> DataFrame:
     return usage.where(F.col("usage") == 0).select("path")
 
 
+def zero_crossings(usage: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """(path, empty) of the directories among ``usage`` that are empty now and were not, or the other way round."""
+    now = usage.select("path", (F.col("usage") == 0).alias("_now"))
+    if before is None:
+        return now.where("_now").select("path", F.lit(1).alias("empty"))
+    was = before.select("path", (F.col("usage") == 0).alias("_was"))
+    met = now.join(was, "path", "left").where(F.col("_now") != F.coalesce("_was", F.lit(False)))
+    return met.select("path", F.col("_now").cast("int").alias("empty"))
+
+
 def number_empty_dirs(usage: DataFrame) -> DataFrame:
     """Empty directories numbered children first."""
     return number_rows(empty_dirs(usage), [F.col("path").desc()], "part")

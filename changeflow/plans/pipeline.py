@@ -227,15 +227,23 @@ def build(
     else:
         usage = directories.dir_usage(wanted_files)
     if previous.layers:
-        # Only directories that this run touches get a new count.
+        # Only directories that this run touches get a new count, and only those that cross zero change the empty ones.
         usage = save(usage, "usage", schema.DIR_USAGE)
-        usage = directories.merge_usage(previous.lookup("dir_usage", usage), usage)
+        before = save(previous.lookup("dir_usage", usage), "prior_usage", schema.DIR_USAGE)
+        usage = directories.merge_usage(before, usage)
+        crossed = directories.zero_crossings(usage, before)
+    else:
+        crossed = directories.zero_crossings(usage)
     layers["dir_usage"] = st.add_layer(previous, run_id, "dir_usage", usage)
+    if previous.layers and "empty_dirs" not in previous.layers:
+        # State of a version that did not keep them: once from all counts.
+        crossed = directories.zero_crossings(replace(previous, layers=layers).dir_usage)
+    layers["empty_dirs"] = st.add_layer(previous, run_id, "empty_dirs", crossed)
     state = replace(previous, layers=layers)
 
     last_revision, cleanup_change = summary["last_revision"], None
     if options.cleanup:
-        usage = state.dir_usage
+        usage = state.empty_dirs.where("empty = 1").select("path", F.lit(0).cast("long").alias("usage"))
         if not (options.skip_empty_cleanup and directories.empty_dirs(usage).isEmpty()):
             last_revision, cleanup_change = last_revision + 1, summary["last_change_id"] + 1
             removed = nodes.cleanup_nodes(directories.number_empty_dirs(usage), cleanup_change)

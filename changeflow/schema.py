@@ -31,6 +31,7 @@ NODE_RECORDS = _table(
 )
 DIR_USAGE = _table(path=_str, usage=_long)
 PATH_STATUS = _table(path=_str, status=_int)
+EMPTY_DIRS = _table(path=_str, empty=_int)
 FINGERPRINTS = _table(depot_path=_str, rev=_int, n_bytes=_int, digest=_str)
 COPIES = _table(change_id=_int, file_ord=_int, copy_from_path=_str, copy_from_rev=_int)
 LAYER = _table(folder=_str, rows=_long, buckets=_int)

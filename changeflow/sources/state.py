@@ -24,12 +24,14 @@ from changeflow import schema
 
 TABLES = {
     "dir_usage": schema.DIR_USAGE,
+    "empty_dirs": schema.EMPTY_DIRS,
     "path_status": schema.PATH_STATUS,
     "revision_map": schema.REVISION_MAP,
     "fingerprints": schema.FINGERPRINTS,
 }
 KEYS = {
     "dir_usage": ["path"],
+    "empty_dirs": ["path"],
     "path_status": ["path"],
     "revision_map": ["change_id"],
     "fingerprints": ["depot_path", "rev"],
@@ -60,6 +62,7 @@ class State:
     layers: dict[str, tuple[Layer, ...]] = field(default_factory=dict)
 
     dir_usage = property(lambda self: self.table("dir_usage"))
+    empty_dirs = property(lambda self: self.table("empty_dirs"))
     path_status = property(lambda self: self.table("path_status"))
     revision_map = property(lambda self: self.table("revision_map"))
     fingerprints = property(lambda self: self.table("fingerprints"))

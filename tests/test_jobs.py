@@ -454,7 +454,7 @@ def test_runs_write_only_what_they_touch(spark, tmp_path, monkeypatch):
     assert [tuple(r) for r in own["revision_map"].collect()] == [(3, 3)]
     assert [tuple(r) for r in own["path_status"].collect()] == [("trunk/a.txt", 0)]
     assert {tuple(r) for r in own["dir_usage"].collect()} == {("trunk/", 20)}
-    assert {n: len(x) for n, x in state.layers.items()} == {n: 1 if n == "fingerprints" else 2 for n in TABLES}
+    assert {n: len(x) for n, x in state.layers.items()} == {n: 1 if n in ("fingerprints", "empty_dirs") else 2 for n in TABLES}
     assert {r.path: r.usage for r in second.usage.collect()} == {"trunk/": 20, "rel/": 1, "trunk/deep/": 20}
 
 
@@ -490,3 +490,20 @@ def test_ranges_left_to_do():
     assert pipeline.without([(0, 10)], [(2, 4), (6, 12)]) == [(0, 2), (4, 6)]
     assert pipeline.without([(0, 5), (5, 9)], [(0, 9)]) == []
     assert pipeline.without([(0, 5), (5, 9)], [(4, 6)]) == [(0, 4), (6, 9)]
+
+
+def test_empty_directories_follow_zero_crossings(spark, tmp_path):
+    root = str(tmp_path / "s")
+    files = [
+        (1, 1, "//d/main/a/x", 1, "ADD", "text"), (1, 2, "//d/main/b/y", 1, "ADD", "text"),
+        (2, 1, "//d/main/a/x", 2, "DELETE", "text"), (3, 1, "//d/main/a/z", 1, "ADD", "text"),
+        (3, 2, "//d/main/b/y", 2, "DELETE", "text"),
+    ]
+    log = _log(spark, files=files, content=[], links=[])
+    want = {1: set(), 2: {"trunk/a/"}, 3: {"trunk/b/"}}
+    for last, empty in want.items():
+        built = pipeline.run_incremental(log, replace(OPTIONS, to_change=last, cleanup=False), root, f"r{last}")
+        assert {r.path for r in built.usage.where("usage = 0").collect()} == empty
+        assert {r.path for r in built.state.empty_dirs.where("empty = 1").collect()} == empty
+    own = spark.read.parquet(f"{root}/{load_state(spark, root).layers['empty_dirs'][-1].folder}")
+    assert {tuple(r) for r in own.collect()} >= {("trunk/a/", 0), ("trunk/b/", 1)}
