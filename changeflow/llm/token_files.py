@@ -34,8 +34,8 @@ STRIPE_BYTES = 16 << 20
 BLOOM_FPP = 0.01
 SEGMENT_BYTES = 64 << 20
 
-BATCH_BYTES = 3 << 20
-STORE_BYTES = 64 << 20  # of words and ids kept per worker
+BATCH_BYTES = 2 << 20
+STORE_BYTES = 24 << 20  # of words and ids kept per worker
 LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[ord("A") : ord("Z") + 1] += 32
 
