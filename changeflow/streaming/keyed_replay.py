@@ -1,9 +1,11 @@
 """Replay of a stream of node records in Spark's own keyed state.
 
-A path's status and its rows that are still open live in the state store (RocksDB), spread over executors by path. Change
-ids serve as event time, one second each, and the watermark lags one id behind: a change is closed, and its rows replayed
-in order of part, by a timer that fires once a higher id has arrived. Rows of closed changes that come late are dropped by
-the watermark. The newest change stays open until a higher id arrives; ``closing_row`` makes one.
+Paths are dealt to ``BUCKETS`` keys by a hash. The statuses of a bucket's paths and its rows that are still open live in the
+state store (RocksDB), spread over executors by bucket. Change ids serve as event time, one second each, and the watermark
+lags one id behind: a change is closed, and its rows replayed in order of part, by a timer that fires once a higher id has
+arrived. A bucket has a timer for its first open change, which settles all that are closed by then, path by path, so calls
+into Python grow with buckets and micro-batches, and look-ups with the paths that a micro-batch names. Rows of closed changes
+that come late are dropped by the watermark. The newest change stays open until a higher id arrives; ``closing_row`` makes one.
 
 Unlike ``replay_stream`` there is no table of statuses, so what a micro-batch costs depends on its own rows alone; the state
 ends with the checkpoint folder.
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from itertools import groupby
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -29,44 +32,57 @@ ROWS = "change_id int, part int, path string, change_action string"
 # A path that no record has.
 NO_PATH = "\n"
 SECOND = 1_000
+# Part of a checkpoint: a stream goes on with the number it began with.
+BUCKETS = 1 << 12
 
 
 class ReplayProcessor(StatefulProcessor):
+    """One bucket of paths. A call costs exchanges with the state store, so one call settles all changes closed by then."""
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.status = handle.getValueState("status", "status int")
-        self.open = handle.getListState("open", "change_id int, part int, change_action string")
+        self.status = handle.getMapState("status", "path string", "status int")
+        # One entry holds many rows, as every entry is an exchange of its own.
+        self.open = handle.getListState("open", "path array<string>, change_id array<int>, part array<int>, change_action array<string>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
         for some in rows:
-            found = some[["change_id", "part", "change_action"]]
-            self.open.appendList([(int(c), int(p), a) for c, p, a in found.itertuples(index=False)])
-            for change in found["change_id"].unique():
-                self.handle.registerTimer(int(change) * SECOND)
+            columns = tuple(some[c].tolist() for c in ("path", "change_id", "part", "change_action"))
+            self.open.appendValue(columns)
+            first = min(columns[1]) if first is None else min(first, *columns[1])
+        if first is not None:
+            self.handle.registerTimer(first * SECOND)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        closed = expiredTimerInfo.getExpiryTimeInMs() // SECOND
-        held = [tuple(r) for r in self.open.get()]
-        ready = sorted(r for r in held if r[0] <= closed)
+        closed = timerValues.getCurrentWatermarkInMs() // SECOND
+        ready, left = [], []
+        for entry in self.open.get():
+            for row in zip(*entry, strict=True):
+                (ready if row[1] <= closed else left).append(row)
         if not ready:
+            # An earlier timer of this bucket settled them already.
             yield pd.DataFrame()
             return
-        status = self.status.get()[0] if self.status.exists() else 0
         out = []
-        for change, part, action in ready:
-            if action in ("Add", "Add Copy"):
-                out.append((change, part, key[0], action, status == 0))
-                status = 1
-            elif action == "Delete":
-                out.append((change, part, key[0], action, status == 1))
-                status = 0
-            else:
-                out.append((change, part, key[0], action, status == 1 if action in ("Edit", "Replace Copy") else True))
-        self.status.update((status,))
-        left = [r for r in held if r[0] > closed]
+        for path, own in groupby(sorted(ready, key=lambda r: r[:3]), key=lambda r: r[0]):
+            before = self.status.getValue((path,))
+            before = status = 0 if before is None else before[0]
+            for _, change, part, action in own:
+                if action in ("Add", "Add Copy"):
+                    out.append((change, part, path, action, status == 0))
+                    status = 1
+                elif action == "Delete":
+                    out.append((change, part, path, action, status == 1))
+                    status = 0
+                else:
+                    out.append((change, part, path, action, status == 1 if action in ("Edit", "Replace Copy") else True))
+            if status != before:
+                self.status.updateValue((path,), (status,))
         if left:
-            self.open.put(left)
+            self.open.put([tuple(map(list, zip(*left, strict=True)))])
+            self.handle.registerTimer(min(r[1] for r in left) * SECOND)
         else:
             self.open.clear()
         yield pd.DataFrame(out, columns=["change_id", "part", "path", "change_action", "allowed"])
@@ -84,7 +100,8 @@ def replayed(records: DataFrame) -> DataFrame:
     """The stream of closed rows with their ``allowed`` flag."""
     rows = records.selectExpr("CAST(change_id AS INT) change_id", "CAST(part AS INT) part", "path", "change_action")
     timed = rows.withColumn("_time", F.timestamp_seconds("change_id")).withWatermark("_time", "1 second")
-    return timed.groupBy("path").transformWithStateInPandas(
+    timed = timed.withColumn("_bucket", F.pmod(F.xxhash64("path"), F.lit(BUCKETS)).cast("int"))
+    return timed.groupBy("_bucket").transformWithStateInPandas(
         statefulProcessor=ReplayProcessor(), outputStructType=f"{ROWS}, allowed boolean", outputMode="Append", timeMode="EventTime"
     )
 
