@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, replace
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,34 +99,54 @@ def _marked(spark: SparkSession, path: str, table_schema, fingerprint: str, opti
     return st.read_or_empty(spark, path, table_schema).where(F.col("fingerprint") == fingerprint)
 
 
-def _contents_in(log: ChangeLog, options: MigrationOptions, low: int, high: int) -> DataFrame:
-    """Contents of the revisions made in a range of ids.
+def _prints_in(log: ChangeLog, options: MigrationOptions, ranges: list[tuple[int, int]]) -> DataFrame:
+    """Fingerprints of the revisions made in ranges of ids.
 
-    With a ``change_id`` the range is a filter that reaches the scan; without one, the revisions of the range are named.
+    With a ``change_id`` the one range given is a filter that reaches the scan. Without one, contents are hashed where they are
+    read, and the revisions of the ranges are picked among the narrow fingerprints, so no bytes move.
     """
-    part = replace(options, from_change=low, to_change=high)
-    rows = lineage.contents_of_run(log.contents, part)
     if "change_id" in log.contents.columns:
-        return rows
-    made = changes.in_range(log.file_revisions, low, high).select("depot_path", "rev").distinct()
-    return rows.join(made, ["depot_path", "rev"], "left_semi")
+        ((low, high),) = ranges
+        rows = lineage.contents_of_run(log.contents, replace(options, from_change=low, to_change=high))
+        return lineage.fingerprints(rows, options.charset)
+    prints = lineage.fingerprints(lineage.contents_of_run(log.contents, options), options.charset)
+    within = [(F.col("change_id") > low) & (F.col("change_id") <= high) for low, high in joined(ranges)]
+    made = log.file_revisions.where(reduce(or_, within)).select("depot_path", "rev").distinct()
+    # An inner join, as Spark would push a semi join below the hashes and shuffle the bytes.
+    return prints.join(made, ["depot_path", "rev"])
+
+
+def joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Half-open id ranges in order, with those that touch put together."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(ranges):
+        if out and out[-1][1] >= low:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
 
 
 def hash_contents(
     log: ChangeLog, options: MigrationOptions, folder: str, steps: list[tuple[int, int]], fingerprint: str, attempt: str
 ) -> DataFrame:
-    """Fingerprints of the run's contents, step by step; ranges that an earlier attempt finished are not read again."""
+    """Fingerprints of the run's contents; ranges that an earlier attempt finished are left out.
+
+    Contents with a ``change_id`` are read step by step, each step its own range. Others would be read whole by every step, so
+    one pass makes all steps.
+    """
     spark = log.contents.sparkSession
     marks = _marked(spark, f"{folder}/hashed", schema.HASHED, fingerprint, options).collect()  # one row per step
     stored = [m.batch for m in marks]
-    for number, (low, high) in enumerate(without(steps, [(m.low, m.high) for m in marks])):
+    left = without(steps, [(m.low, m.high) for m in marks])
+    passes = [[step] for step in left] if "change_id" in log.contents.columns else [left] if left else []
+    for number, ranges in enumerate(passes):
         batch = f"{attempt}-{number:06d}"
-        prints = lineage.fingerprints(_contents_in(log, options, low, high), options.charset)
-        st.write_table(prints, f"{folder}/prints/batch={batch}", schema.FINGERPRINTS)
-        mark = spark.createDataFrame([(low, high, fingerprint, batch)], schema.HASHED)
+        st.write_table(_prints_in(log, options, ranges), f"{folder}/prints/batch={batch}", schema.FINGERPRINTS)
+        mark = spark.createDataFrame([(low, high, fingerprint, batch) for low, high in ranges], schema.HASHED)
         mark.coalesce(1).write.mode("append" if options.restore or number else "overwrite").parquet(f"{folder}/hashed")
         stored.append(batch)
-    return _batches_of(spark, f"{folder}/prints", schema.FINGERPRINTS, stored)
+    return _batches_of(spark, f"{folder}/prints", schema.FINGERPRINTS, sorted(set(stored)))
 
 
 def _batches_of(spark: SparkSession, path: str, table_schema, stored: list[str], *more: StructField) -> DataFrame:
