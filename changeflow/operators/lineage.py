@@ -9,6 +9,7 @@ from changeflow.functions.paths import is_wanted, map_prefix
 from changeflow.functions.text import missing_text, to_bytes
 from changeflow.operators.changes import in_range
 from changeflow.options import MigrationOptions
+from changeflow.sources.tables import SharedContents
 
 
 def pick_sources(integrations: DataFrame, semantics: str = "faithful") -> DataFrame:
@@ -60,7 +61,9 @@ def resolved_content(depot_path: Column, rev: Column, content: Column, charset:
     return F.coalesce(content, to_bytes(missing_text(depot_path, rev), charset))
 
 
-def load_content(contents: DataFrame, charset: str = "UTF-8") -> DataFrame:
+def load_content(contents: DataFrame | SharedContents, charset: str = "UTF-8") -> DataFrame:
+    if isinstance(contents, SharedContents):
+        contents = contents.table()
     present = F.when(~F.coalesce("missing", F.lit(False)), F.col("content"))
     resolved = resolved_content(F.col("depot_path"), F.col("rev"), present, charset)
     return contents.select(
@@ -68,16 +71,33 @@ def load_content(contents: DataFrame, charset: str = "UTF-8") -> DataFrame:
     )
 
 
-def fingerprints(contents: DataFrame, charset: str = "UTF-8") -> DataFrame:
+def attach_content(rows: DataFrame, contents: DataFrame | SharedContents, charset: str = "UTF-8") -> DataFrame:
+    """Add ``content`` to rows of (depot_path, rev, others); shared contents move once, to the rows that name them."""
+    key = ["depot_path", "rev"]
+    if isinstance(contents, SharedContents):
+        found = contents.fill(rows.join(contents.refs.drop("change_id"), key, "left"), "left").drop("missing")
+    else:
+        found = rows.join(load_content(contents, charset).select(*key, "content"), key, "left")
+    return found.withColumn("content", resolved_content(F.col("depot_path"), F.col("rev"), F.col("content"), charset))
+
+
+def print_of(content: Column) -> Column:
+    return F.struct(F.octet_length(content).alias("n_bytes"), F.sha2(content, 256).alias("digest"))
+
+
+def fingerprints(contents: DataFrame | SharedContents, charset: str = "UTF-8") -> DataFrame:
     """Length and digest per revision: computed where the bytes are read, cheap to shuffle."""
-    return load_content(contents, charset).select(
-        "depot_path", "rev",
-        F.octet_length("content").alias("n_bytes"),
-        F.sha2("content", 256).alias("digest"),
-    )
+    if isinstance(contents, SharedContents) and "prefix" not in contents.columns:
+        blobs = contents.blobs.select("blob_id", F.when(F.col("content").isNotNull(), print_of(F.col("content"))).alias("_found"))
+        gone = print_of(to_bytes(missing_text(F.col("depot_path"), F.col("rev")), charset))
+        found = F.coalesce(F.when(~F.col("missing"), F.col("_found")), gone)
+        rows = contents.refs.join(blobs, "blob_id")
+        return rows.select("depot_path", "rev", found.alias("_f")).select("depot_path", "rev", "_f.*")
+    rows = load_content(contents, charset)
+    return rows.select("depot_path", "rev", print_of(F.col("content")).alias("_f")).select("depot_path", "rev", "_f.*")
 
 
-def contents_of_run(contents: DataFrame, options: MigrationOptions) -> DataFrame:
+def contents_of_run(contents: DataFrame | SharedContents, options: MigrationOptions) -> DataFrame | SharedContents:
     """Contents under the branches; with a ``change_id`` column, only those of the run's range.
 
     Both filters reach the scan, so an increment need not read the bytes of earlier runs.

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from changeflow import options as o
 from changeflow.functions.records import record_bytes
 from changeflow.functions.text import munge_keywords, to_bytes
-from changeflow.operators.lineage import load_content, resolved_content
+from changeflow.operators.lineage import attach_content
 from changeflow.operators.numbering import prefix_sum
 from changeflow.operators.skew import segment_of
+from changeflow.sources.tables import SharedContents
 
 LAYOUT = ["split_id", "segment", "change_id", "part", "record"]
 
@@ -21,15 +22,15 @@ def divide(value: Column, by: int) -> Column:
     return F.call_function("div", value, F.lit(by))
 
 
-def with_content(nodes: DataFrame, contents: DataFrame, options: o.MigrationOptions) -> DataFrame:
+def with_content(nodes: DataFrame, contents: DataFrame | SharedContents, options: o.MigrationOptions) -> DataFrame:
     """Attach ``content`` to the records that need it. Give this only records that will be kept."""
     charset = options.charset
-    stored = F.col("content_ref").isNotNull()
-    keyed = nodes.where(stored).select("*", "content_ref.depot_path", "content_ref.rev")
-    bytes_ = load_content(contents, charset).select("depot_path", "rev", "content")
-    found = keyed.join(bytes_, ["depot_path", "rev"], "left")
-    raw = resolved_content(F.col("depot_path"), F.col("rev"), F.col("content"), charset)
     form = F.col("content_form")
+    # Said of placeholders too, so that a plan for placeholders alone reads no contents.
+    stored = F.col("content_ref").isNotNull() & ~form.eqNullSafe("placeholder")
+    keyed = nodes.where(stored).select("*", "content_ref.depot_path", "content_ref.rev")
+    found = attach_content(keyed, contents, charset)
+    raw = F.col("content")
     shaped = F.when(form == "symlink", F.concat(to_bytes(F.lit(o.SYMLINK_PREFIX), charset), raw))
     if options.munge_keywords:
         shaped = shaped.when(form == "text", munge_keywords(raw, charset))
@@ -39,7 +40,7 @@ def with_content(nodes: DataFrame, contents: DataFrame, options: o.MigrationOpti
 
 
 def serialise(
-    nodes: DataFrame, contents: DataFrame, options: o.MigrationOptions, carry: tuple[str, ...] = ()
+    nodes: DataFrame, contents: DataFrame | SharedContents, options: o.MigrationOptions, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """(carried columns, change_id, part, record): the final bytes of each record."""
     rows = with_content(nodes, contents, options)
@@ -109,7 +110,7 @@ def _unit() -> Column:
 
 
 def lay_out(
-    nodes: DataFrame, contents: DataFrame, options: o.MigrationOptions, sizes: DataFrame | None = None
+    nodes: DataFrame, contents: DataFrame | SharedContents, options: o.MigrationOptions, sizes: DataFrame | None = None
 ) -> DataFrame:
     """Dump records ready for the sink; ``sizes`` are the contents' fingerprints, if they are stored.
 

@@ -13,7 +13,7 @@ from changeflow.operators.numbering import number_changes
 from changeflow.options import MigrationOptions
 from changeflow.session import stage
 from changeflow.sources import event_log
-from changeflow.sources.tables import ChangeLog
+from changeflow.sources.tables import ChangeLog, SharedContents
 
 OPTIONS = MigrationOptions(branches=event_log.BRANCHES, cleanup_time="2024-12-31 00:00:00")
 
@@ -74,7 +74,7 @@ class Log:
         return stage(event_log.integrations(self.revised), "integrations")
 
     @cached_property
-    def contents(self) -> DataFrame:
+    def contents(self) -> SharedContents:
         return event_log.contents(self.spark, self.sf_dir, self.revised, self.keyword_line)
 
     @cached_property

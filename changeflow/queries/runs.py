@@ -10,7 +10,7 @@ from changeflow.plans import pipeline
 from changeflow.queries.common import OPTIONS, Log
 from changeflow.queries.registry import query
 from changeflow.session import scratch_path, stage
-from changeflow.sinks.dump import read_segments, split_files, write_dump
+from changeflow.sinks.dump import split_digests, split_files, write_dump
 from changeflow.sources import legacy, parts
 from changeflow.sources.event_log import table
 from changeflow.sources.state import load_state, merge_latest
@@ -43,14 +43,8 @@ def dump_write_roundtrip(spark, sf_dir):
     kept = stage(replay.keep_allowed(log.records.unionByName(log.headers)), "kept")
     out = scratch_path(spark, "dump")
     write_dump(publish.lay_out(kept, log.contents, options, log.prints), out)
-    # The files themselves, their bytes in manifest order; a split of 100 changes fits a row.
-    parts = F.sort_array(F.collect_list(F.struct("segment", "content")))
-    joined = F.aggregate(parts, F.lit("").cast("binary"), lambda whole, part: F.concat(whole, part["content"]))
-    return (
-        read_segments(spark, out)
-        .groupBy("split_id")
-        .agg(F.sum("records").alias("records"), F.sum(F.length("content")).alias("bytes"), F.md5(joined).alias("digest"))
-    )
+    # The files themselves, their bytes in manifest order.
+    return split_digests(spark, out)
 
 
 def _staged_log(spark, sf_dir):
@@ -58,10 +52,8 @@ def _staged_log(spark, sf_dir):
     from changeflow.sources.tables import ChangeLog
 
     log = Log(spark, sf_dir).change_log
-    return ChangeLog(
-        stage(log.changelists, "changelists"), log.file_revisions, stage(log.contents, "contents"),
-        log.integrations,
-    )
+    contents = replace(log.contents, refs=stage(log.contents.refs, "contents"))
+    return ChangeLog(stage(log.changelists, "changelists"), log.file_revisions, contents, log.integrations)
 
 
 @query("""

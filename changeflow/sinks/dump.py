@@ -9,6 +9,7 @@ deletes the files of its other attempts; replacing a dump also deletes what earl
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
@@ -16,6 +17,7 @@ import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,6 +30,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 MANIFEST = "manifest.jsonl"
 COPY_BYTES = 8 << 20
+_DIGESTS = pa.schema([("split_id", pa.int32()), ("records", pa.int64()), ("bytes", pa.int64()), ("digest", pa.string())])
 MANIFEST_SCHEMA = "split_id int, segment long, file string, bytes long, records long"
 ORDER = ["split_id", "segment", "change_id", "part"]
 
@@ -184,6 +187,30 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     return read_manifest(spark, path).join(named, "file")
 
 
+def split_digests(spark: SparkSession, path: str) -> DataFrame:
+    """(split_id, records, bytes, digest): MD5 of each split's bytes as its files hold them, in manifest order.
+
+    Only names of files are shuffled: the task that holds a split streams its segments, so no split has to fit a row.
+    """
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = file_store(path)
+        rows = (row for batch in batches for row in batch.to_pylist())
+        for split, segments in groupby(rows, key=lambda row: row["split_id"]):
+            records, size, digest = 0, 0, hashlib.md5()
+            for row in segments:
+                records += row["records"]
+                with store.open_input_stream(f"{root}/{row['file']}") as segment:
+                    while chunk := segment.read(COPY_BYTES):
+                        size += len(chunk)
+                        digest.update(chunk)
+            one = {"split_id": split, "records": records, "bytes": size, "digest": digest.hexdigest()}
+            yield pa.RecordBatch.from_pylist([one], _DIGESTS)
+
+    dealt = read_manifest(spark, path).repartition("split_id").sortWithinPartitions("split_id", "segment")
+    return dealt.mapInArrow(digests, "split_id int, records long, bytes long, digest string")
+
+
 def split_files(spark: SparkSession, path: str, name: str = "dump") -> DataFrame:
     """Compose the segments of each split into one file, ``dump`` or ``dump1``, ``dump2``, ...; (split_id, file, bytes).
 

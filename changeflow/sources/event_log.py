@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from changeflow.functions.text import missing_text, to_bytes
 from changeflow.operators.skew import running, segment_of
 from changeflow.options import Branch
-from changeflow.sources.tables import ChangeLog
+from changeflow.sources.tables import ChangeLog, SharedContents
 
 BRANCHES = (
     Branch("//depot/main/", "trunk/", 1),
@@ -147,21 +147,17 @@ def fingerprints(spark: SparkSession, sf_dir: str, revised: DataFrame, keyword_l
     return rows.select("depot_path", "rev", found.alias("_f")).select("depot_path", "rev", "_f.*")
 
 
-def contents(spark: SparkSession, sf_dir: str, revised: DataFrame, keyword_line: bool = False) -> DataFrame:
+def contents(spark: SparkSession, sf_dir: str, revised: DataFrame, keyword_line: bool = False) -> SharedContents:
     """Each revision holds one whole document; neighbouring events share a few of them."""
     documents = table(spark, sf_dir, "documents")
-    rows = _document_of_row(spark, sf_dir, revised)
-    text = F.col("text")
+    line = []
     if keyword_line:
         is_text = F.col("file_type").isin("text", "unicode")
-        text = F.when(is_text, F.concat(F.lit(KEYWORD_LINE + "\n"), text)).otherwise(text)
-    missing = F.col("k") == MISSING_K
-    # Both sides grow with the data, so they meet by shuffle and the texts spread over all tasks.
-    return rows.join(documents.select("doc_id", "text").hint("merge"), "doc_id").select(
-        "depot_path", "rev",
-        F.when(~missing, text.cast("binary")).alias("content"),
-        missing.alias("missing"),
+        line = [F.when(is_text, F.lit(KEYWORD_LINE + "\n")).cast("binary").alias("prefix")]
+    refs = _document_of_row(spark, sf_dir, revised).select(
+        "depot_path", "rev", (F.col("k") == MISSING_K).alias("missing"), F.col("doc_id").alias("blob_id"), *line
     )
+    return SharedContents(refs, documents.select(F.col("doc_id").alias("blob_id"), F.col("text").cast("binary").alias("content")))
 
 
 def change_log(spark: SparkSession, sf_dir: str, keyword_line: bool = False) -> ChangeLog:

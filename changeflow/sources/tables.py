@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow import schema
@@ -13,11 +13,41 @@ from changeflow.operators.changes import in_range, last_per_key
 from changeflow.options import MigrationOptions
 
 
+@dataclass(frozen=True)
+class SharedContents:
+    """Contents of which many revisions may share one, so that each is stored, hashed and shuffled once.
+
+    ``refs`` names the content of each revision: (depot_path, rev, missing, blob_id), with ``change_id`` and ``prefix`` (bytes
+    that stand before the blob's) if there are any. ``blobs`` holds (blob_id, content), one row per id.
+    """
+
+    refs: DataFrame
+    blobs: DataFrame
+
+    sparkSession = property(lambda self: self.refs.sparkSession)
+    columns = property(lambda self: self.refs.columns)
+
+    def where(self, condition: Column | str) -> SharedContents:
+        return replace(self, refs=self.refs.where(condition))
+
+    def fill(self, rows: DataFrame, how: str = "inner") -> DataFrame:
+        """Rows with columns of ``refs``, with ``content`` in place of ``blob_id`` and ``prefix``."""
+        # Both sides grow with the data, so they meet by shuffle and the bytes spread over all tasks.
+        filled = rows.join(self.blobs.hint("merge"), "blob_id", how)
+        whole = F.concat(F.coalesce("prefix", F.lit(b"")), "content") if "prefix" in rows.columns else F.col("content")
+        return filled.withColumn("content", F.when(~F.col("missing"), whole)).drop("blob_id", "prefix")
+
+    def table(self) -> DataFrame:
+        """The same with the bytes of every revision, as in ``schema.CONTENTS``."""
+        filled = self.fill(self.refs)
+        return filled.select("depot_path", "rev", "content", "missing", *(c for c in filled.columns if c == "change_id"))
+
+
 @dataclass(frozen=True)
 class ChangeLog:
     changelists: DataFrame
     file_revisions: DataFrame
-    contents: DataFrame
+    contents: DataFrame | SharedContents
     integrations: DataFrame
 
 
