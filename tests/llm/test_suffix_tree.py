@@ -147,3 +147,37 @@ def test_scores_equal_a_tree_of_tuples(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {r.doc_id: r.score for r in suffix_tree.scores(docs, held_out(docs["doc_id"], 7)).collect()}
     assert max(abs(got[d] - want[d]) for d, _ in rows) < 1e-9
+
+
+def phrase_rows():
+    rng = random.Random(3)
+    phrases = ["a b c d e f g", "b c a", "d e f a b", "g g a b c d", "x y a b c d e"]
+    texts = [" ".join(rng.choice(phrases) for _ in range(rng.randint(1, 6))) for _ in range(120)]
+    texts += [f"{t} rare{i % 9} word{i}" for i, t in enumerate(texts[:30])] + ["never seen a b c d", "", None] + [texts[0]] * 5
+    return list(enumerate(texts))
+
+
+def check_scores(spark, rows):
+    train = [t for d, t in rows if zlib.crc32(str(d).encode()) % 7 != 2]
+    want, _ = tree_scores(train, [t for _, t in rows], 10, suffix_tree.MOST_DEPTH)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in suffix_tree.scores(docs, held_out(docs["doc_id"], 7)).collect()}
+    assert max(abs(got[d] - want[d]) for d, _ in rows) < 1e-9
+
+
+def test_states_and_counts_have_no_limit(spark, monkeypatch):
+    for name, value in {"LEAST_CONTEXT": 4, "SYMBOLS": 10, "START": 11}.items():
+        monkeypatch.setattr(suffix_tree, name, value)
+    for name in ("STATES", "TRANSITIONS"):  # the limits of earlier versions
+        monkeypatch.setattr(suffix_tree, name, 8, raising=False)
+    check_scores(spark, phrase_rows())
+
+
+def test_frequent_contexts_have_buckets_of_their_own(spark, monkeypatch):
+    for name, value in {"LEAST_CONTEXT": 4, "SYMBOLS": 10, "START": 11, "BUCKET": 20}.items():
+        monkeypatch.setattr(suffix_tree, name, value)
+    depths = []
+    add_heavy = suffix_tree.Plan.add_heavy
+    monkeypatch.setattr(suffix_tree.Plan, "add_heavy", lambda plan, *a: depths.append(len(plan.heavy) + 1) or add_heavy(plan, *a))
+    check_scores(spark, phrase_rows())
+    assert depths == [1, 2, 3, 4]
