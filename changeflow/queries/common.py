@@ -99,6 +99,12 @@ class Log:
         """Node records as a stored table, which is what replay reads."""
         return stage(self.nodes, "node-records")
 
+    @cached_property
+    def replay_records(self) -> DataFrame:
+        """The same with the columns that replay reads, so that no others are joined, numbered and stored."""
+        narrow = self.nodes.select("change_id", "part", "path", "change_action", "node_kind")
+        return stage(narrow, "replay-records")
+
     @cached_property
     def headers(self) -> DataFrame:
         return nodes.header_nodes(self.changelists, self.numbered, self.options)

@@ -11,14 +11,12 @@ from changeflow.streaming.replay_stream import flush_replay, replay_stream
 
 
 def _records(spark, sf_dir):
-    return Log(spark, sf_dir).records.select("change_id", "part", "path", "change_action", "node_kind")
+    return Log(spark, sf_dir).replay_records
 
 
 @query("SELECT change_id, part, path, change_action, allowed FROM t_replayed WHERE node_kind = 'file'")
 def replay_allowed(spark, sf_dir):
-    log = Log(spark, sf_dir)
-    records = log.records.where(F.col("node_kind") == "file").select("change_id", "part", "path", "change_action")
-    return replay.replay(records)
+    return replay.replay(_records(spark, sf_dir).where(F.col("node_kind") == "file").drop("node_kind"))
 
 
 @query("""
@@ -35,9 +33,7 @@ def replay_summary(spark, sf_dir):
 
 @query("SELECT change_id, part, path, change_action, allowed FROM t_replayed")
 def replay_with_directories(spark, sf_dir):
-    log = Log(spark, sf_dir)
-    records = log.records.select("change_id", "part", "path", "change_action")
-    return replay.replay(records)
+    return replay.replay(_records(spark, sf_dir).drop("node_kind"))
 
 
 @query("""
@@ -67,7 +63,7 @@ def replay_with_carried_state(spark, sf_dir):
     user = F.regexp_extract("path", "/u([0-9]+)/", 1).cast("int")
     previous = log.wanted_events.select(F.col("svn_path").alias("path")).distinct()
     previous = previous.withColumn("status", F.when(user % 3 == 0, 1).otherwise(0))
-    records = log.records.where(F.col("node_kind") == "file").select("change_id", "part", "path", "change_action")
+    records = log.replay_records.where(F.col("node_kind") == "file").drop("node_kind")
     return replay.replay(records, previous)
 
 

@@ -93,3 +93,16 @@ def test_keep_allowed_joins_headers_files_and_directories(spark):
     df = as_nodes(spark.createDataFrame(rows, RECORDS + ", node_kind string"))
     kept = {(r.change_id, r.part) for r in keep_allowed(df).collect()}
     assert kept == {(1, 0), (1, 1), (1, 2), (2, 0), (3, 0), (3, 1)}
+
+
+def test_replay_queries_store_only_what_replay_reads(spark, monkeypatch):
+    from changeflow.queries import common, replays
+
+    stored = {}
+    stage = common.stage
+    monkeypatch.setattr(common, "stage", lambda df, name: stored.update({name: df.columns}) or stage(df, name))
+    records = replays._records(spark, "/root/testdata/sf0.001")
+    narrow = ["change_id", "part", "path", "change_action", "node_kind"]
+    assert records.columns == narrow and stored["replay-records"] == narrow and "node-records" not in stored
+    whole = common.Log(spark, "/root/testdata/sf0.001").records.select(*narrow)
+    assert sorted(map(tuple, records.collect())) == sorted(map(tuple, whole.collect()))
