@@ -1,16 +1,18 @@
 """Removal of long repeated byte strings with a sparse enhanced suffix array.
 
-A repeat is a string of ``LENGTH`` bytes that starts at two places, in one text or two.
+A repeat is a string of ``LENGTH`` bytes that starts at two places, in one text or two; it is removed. Repeats of ``SHORT``
+bytes are found by the same steps. They are not removed: a passage of some 50 words is often shorter than ``LENGTH``, and
+``passage_words`` counts the words of those that hold enough.
 
-1. Anchors: of all ``GRAM``-byte strings in a window of ``LENGTH`` bytes the one with the least hash is an anchor.
+1. Anchors: of all ``GRAM``-byte strings in a window of ``SHORT`` bytes the one with the least hash is an anchor.
    The choice depends on the window's bytes alone, so every repeat holds the same anchor at all its places.
 2. Anchors whose bytes occur at one place only are dropped: keys with two places are found by an aggregate and joined back.
 3. The suffixes at the anchors that remain are sorted within their group of equal ``GRAM`` bytes, which gives a suffix
    array restricted to anchors, with the lengths of common prefixes. A scan with a stack lists its common-prefix
    intervals; within each interval the occurrences are sorted by what stands to their left. Occurrences whose left
-   and right extensions reach ``LENGTH`` together form a repeat group, with all of its occurrences, not just neighbours.
+   and right extensions reach the length together form a repeat group, with all of its occurrences, not just neighbours.
    An anchor needs no more than ``REACH`` bytes on either side, as longer repeats hold further anchors; its groups all cover
-   its own bytes, so one stretch per anchor is written.
+   its own bytes, so one stretch per anchor and length is written.
 4. Per text the found stretches are merged and cut out.
 
 Equal texts are one text with a number of copies: of ``LENGTH`` bytes or more, such a text is removed whole. Anchors with
@@ -38,10 +40,13 @@ from changeflow.llm.common import column, ship, stage, sub_batches
 from changeflow.llm.runs import blocked, whole_runs
 
 LENGTH = 400
-GRAM = 256
+SHORT = 256
+GRAM = 112
 REACH = LENGTH - GRAM
+SHORT_REACH = SHORT - GRAM
 BLOCK = 4_096
 AROUND = ["r1", "r2", "pos", "key", "around", "n_left", "n_right", "left", "right"]
+COVER = ["before", "behind", "short_before", "short_behind"]
 PIECE = 1 << 20  # bytes of one text handled at once
 BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -74,15 +79,15 @@ def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
 def anchor_places(data: np.ndarray) -> np.ndarray:
     """Starts of the anchors of one text's bytes."""
     found = []
-    for start in range(0, max(len(data) - LENGTH + 1, 0), PIECE):
-        piece = data[start : start + PIECE + LENGTH - 1]
+    for start in range(0, max(len(data) - SHORT + 1, 0), PIECE):
+        piece = data[start : start + PIECE + SHORT - 1]
         up, down, of_byte = _power_tables(len(piece))
         sums = np.zeros(len(piece) + 1, np.uint64)
         np.cumsum(of_byte[piece] * up[: len(piece)], out=sums[1:])
         grams = (sums[GRAM:] - sums[:-GRAM]) * down[: len(piece) - GRAM + 1]
         grams = (grams ^ (grams >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         grams ^= grams >> np.uint64(32)
-        width = REACH + 1
+        width = SHORT_REACH + 1
         least = _sliding(grams, width, np.minimum)
         around = np.zeros(len(least) + 2 * (width - 1), np.uint64)
         around[width - 1 : len(around) - width + 1] = least
@@ -102,7 +107,7 @@ def anchors(texts: DataFrame) -> DataFrame:
         for batch in sub_batches(batches):
             r1, r2, places, keys, rows = column(batch, "r1"), column(batch, "r2"), [], [], []
             for i, text in enumerate(_texts(batch)):
-                if len(text) >= LENGTH:
+                if len(text) >= SHORT:
                     own = anchor_places(np.frombuffer(text, np.uint8))
                     places.append(own)
                     rows.append(np.full(len(own), i))
@@ -220,7 +225,7 @@ class Least:
 def repeat_groups(left: np.ndarray, right: np.ndarray, bounds: np.ndarray):
     """Rows of every repeat group, how far each reaches left of its anchor, and how far right behind it.
 
-    A group is the part of a common-prefix interval whose members each share ``LENGTH`` bytes with another member.
+    A group is the part of a common-prefix interval whose members each share ``SHORT`` bytes with another member.
     """
     run = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     edge = run[1:] != run[:-1]
@@ -243,14 +248,15 @@ def repeat_groups(left: np.ndarray, right: np.ndarray, bounds: np.ndarray):
         inner = np.flatnonzero(node[1:] == node[:-1])
         near[inner + 1] = shared.of(rank[rows[inner]], rank[rows[inner + 1]])
         reach, length = np.maximum(near[:-1], near[1:]), found[part, 2][node]
-        good = reach + length >= REACH
+        good = reach + length >= SHORT_REACH
         yield rows[good], reach[good], length[good]
 
 
 def reaches(around: DataFrame) -> DataFrame:
-    """(key, around, before, behind): how far repeats cover the bytes around anchors with these surroundings.
+    """(key, around, before, behind, short_before, short_behind): how far repeats cover the bytes around such anchors.
 
-    All repeat groups of an anchor cover its own bytes, so together they cover one stretch.
+    All repeat groups of an anchor cover its own bytes, so together they cover one stretch. Without repeats of ``LENGTH``
+    bytes ``before`` and ``behind`` are -1.
     """
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,42 +267,55 @@ def reaches(around: DataFrame) -> DataFrame:
             new[1:] = (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])
             new[bounds[:-1]] = True
             table, bounds = table.filter(pa.array(new)), np.append(0, np.cumsum(np.add.reduceat(new, bounds[:-1])))
-            before, behind = np.full(table.num_rows, -1), np.zeros(table.num_rows, np.int64)
+            far = [np.full(table.num_rows, -1) for _ in COVER]
             for rows, reach, length in repeat_groups(_matrix(table.column("left")), _matrix(table.column("right")), bounds):
-                np.maximum.at(before, rows, reach)
-                np.maximum.at(behind, rows, length)
-            hit = before >= 0
-            arrays = [key[new][hit], digest[new][hit], before[hit], behind[hit]]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "around", "before", "behind"])
+                long = reach + length >= REACH
+                for values, of, v in zip(far, (long, long, ..., ...), (reach, length, reach, length), strict=True):
+                    np.maximum.at(values, rows[of], v[of])
+            hit = far[2] >= 0
+            arrays = [key[new][hit], digest[new][hit], *(values[hit] for values in far)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["key", "around", *COVER])
 
     sizes = around.groupBy("key").agg(F.count_distinct("around").alias("size")).where(F.col("size") > BLOCK)
     bytes_of = around.where(F.col("left").isNotNull()).select("key", "around", "left", "right")
     sized = bytes_of.join(sizes, "key", "left").withColumn("size", F.coalesce("size", F.lit(1)))
     place = ["key", "_i", "_j"]
     dealt = blocked(sized, "size", "around", BLOCK).repartition(*place).sortWithinPartitions(*place, "around")
-    return dealt.mapInArrow(scan, "key long, around long, before long, behind long")
+    return dealt.mapInArrow(scan, "key long, around long, " + ", ".join(f"{c} long" for c in COVER))
 
 
 def stretches(around: DataFrame) -> DataFrame:
-    """(r1, r2, start, end): the stretch around each anchor that is covered by repeats."""
-    known = reaches(around).groupBy("key", "around").agg(F.max("before").alias("before"), F.max("behind").alias("behind"))
+    """(r1, r2, start, end, short_start, short_end): the stretches around each anchor that repeats cover.
+
+    ``start`` and ``end`` are those of repeats of ``LENGTH`` bytes, null if there are none.
+    """
+    known = reaches(around).groupBy("key", "around").agg(*(F.max(c).alias(c) for c in COVER))
     # Places with equal surroundings repeat each other as far as these go.
     places = around.groupBy("key", "around").agg(
         F.count("*").alias("n"), F.first("n_left").alias("n_left"), F.first("n_right").alias("n_right")
     )
-    several = (F.col("n") > 1) & (F.col("n_left") + F.col("n_right") >= REACH)
+    size = F.col("n_left") + F.col("n_right")
+    several, several_short = (F.col("n") > 1) & (size >= REACH), (F.col("n") > 1) & (size >= SHORT_REACH)
+    long = F.col("before") >= 0
     covers = (
         places.join(known, ["key", "around"], "left")
-        .where(several | F.col("before").isNotNull())
+        .where(several_short | F.col("short_before").isNotNull())
         .select(
             "key",
             "around",
-            F.when(several, F.col("n_left")).otherwise(F.col("before")).alias("before"),
-            F.when(several, F.col("n_right")).otherwise(F.col("behind")).alias("behind"),
+            F.when(several, F.col("n_left")).when(long, F.col("before")).alias("before"),
+            F.when(several, F.col("n_right")).when(long, F.col("behind")).alias("behind"),
+            F.when(several_short, F.col("n_left")).otherwise(F.col("short_before")).alias("short_before"),
+            F.when(several_short, F.col("n_right")).otherwise(F.col("short_behind")).alias("short_behind"),
         )
     )
     return around.select("r1", "r2", "pos", "key", "around").join(covers, ["key", "around"]).select(
-        "r1", "r2", (F.col("pos") - F.col("before")).alias("start"), (F.col("pos") + GRAM + F.col("behind")).alias("end")
+        "r1",
+        "r2",
+        (F.col("pos") - F.col("before")).alias("start"),
+        (F.col("pos") + GRAM + F.col("behind")).alias("end"),
+        (F.col("pos") - F.col("short_before")).alias("short_start"),
+        (F.col("pos") + GRAM + F.col("short_behind")).alias("short_end"),
     )
 
 
@@ -344,15 +363,41 @@ def cut_out(text: memoryview, spans: list, whole: bool) -> tuple[bytes, int, int
     return b"".join(kept), removed, runs
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts_too: bool = False) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256) per row; with ``texts_too`` also the kept bytes as ``kept``."""
+def passage_size(text: memoryview, spans: list, whole: bool, least: int) -> int:
+    """Words of a text in runs of covered bytes that hold ``least`` whole words or more."""
+    runs: list[list[int]] = []
+    for start, end in [(0, len(text))] if whole else sorted((s["start"], s["end"]) for s in spans):
+        if runs and start <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], end)
+        else:
+            runs.append([start, end])
+    total = 0
+    for start, end in runs:
+        n = len(bytes(text[start:end]).split())
+        # Words that the run's ends cut.
+        n -= sum(len(bytes(text[max(p - 1, 0) : p + 1]).strip()) == 2 for p in (start, end))
+        total += n if n >= least else 0
+    return total
+
+
+def remove_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts_too: bool = False, passage_words: int | None = None
+) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256) per row; with ``texts_too`` also the kept bytes as ``kept``.
+
+    With ``passage_words`` a last column ``n_passage_words`` counts the words ``[^\\x20\\x09-\\x0D]+`` in passages: runs of
+    bytes covered by strings of ``SHORT`` bytes that also start elsewhere, which hold so many whole words or more.
+    """
     ship(docs.sparkSession)
     texts = keyed(docs, id_col, text_col)
-    spans = repeat_stretches(texts).groupBy("r1", "r2").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    long, short = F.struct("start", "end"), F.struct(F.col("short_start").alias("start"), F.col("short_end").alias("end"))
+    spans = repeat_stretches(texts).groupBy("r1", "r2").agg(
+        F.collect_set(F.when(F.col("start").isNotNull(), long)).alias("spans"), F.collect_set(short).alias("passages")
+    )
     copies = texts.groupBy("r1", "r2").agg(F.count("*").alias("copies"))
     found = stage(
         copies.join(spans, ["r1", "r2"], "left").where("copies > 1 or spans is not null").select(
-            F.col("r1").alias("_r1"), F.col("r2").alias("_r2"), "copies", "spans"
+            F.col("r1").alias("_r1"), F.col("r2").alias("_r2"), "copies", "spans", "passages"
         ),
         "repeat-spans",
     )
@@ -361,16 +406,24 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches):
             out = []
-            rows = zip(_texts(batch), column(batch, "copies").to_pylist(), column(batch, "spans"), strict=True)
-            for text, times, own in rows:
-                kept, removed, runs = cut_out(text, own.as_py() or [], (times or 0) > 1 and len(text) >= LENGTH)
-                out.append((len(text), removed, runs, hashlib.sha256(kept).hexdigest(), kept))
-            columns = list(zip(*out, strict=True))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()][: 5 if texts_too else 4]
-            arrays = [column(batch, "_id"), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=False))]
+            rows = zip(
+                _texts(batch), column(batch, "copies").to_pylist(), column(batch, "spans"), column(batch, "passages"), strict=True
+            )
+            for text, times, own, passages in rows:
+                again = (times or 0) > 1
+                kept, removed, runs = cut_out(text, own.as_py() or [], again and len(text) >= LENGTH)
+                values = [len(text), removed, runs, hashlib.sha256(kept).hexdigest()]
+                values += [kept] if texts_too else []
+                if passage_words is not None:
+                    values.append(passage_size(text, passages.as_py() or [], again and len(text) >= SHORT, passage_words))
+                out.append(values)
+            columns = zip(*out, strict=True)
+            arrays = [column(batch, "_id"), *(pa.array(c, k) for c, k in zip(columns, arrow, strict=True))]
             yield pa.RecordBatch.from_arrays(arrays, [f.name for f in schema.fields])
 
     kinds = [("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType())]
     kinds += [("kept", T.BinaryType())] if texts_too else []
+    kinds += [("n_passage_words", T.LongType())] if passage_words is not None else []
+    arrow = [{"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}[k.simpleString()] for _, k in kinds]
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(*k) for k in kinds)])
-    return joined.select("_id", "_text", "copies", "spans").mapInArrow(cut, schema)
+    return joined.select("_id", "_text", "copies", "spans", "passages").mapInArrow(cut, schema)

@@ -3,11 +3,13 @@
 import collections
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
 
 from changeflow.llm import repeats
+from changeflow.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, r1 long, _text string, size long"
 
@@ -80,3 +82,49 @@ def test_kept_bytes_and_no_rows(spark):
     got = {r.doc_id: r.kept for r in repeats.remove_repeats(docs, texts_too=True).collect()}
     assert got == {1: b"x", 2: b"y"}
     assert repeats.remove_repeats(docs.limit(0)).count() == 0
+
+
+def passages(rows, least):
+    data = [(t or "").encode() for _, t in rows]
+    seen = collections.Counter(d[p : p + 256] for d in data for p in range(len(d) - 255))
+    out = {}
+    for (doc, _), d in zip(rows, data, strict=True):
+        hit = bytearray(len(d))
+        for p in range(len(d) - 255):
+            if seen[d[p : p + 256]] > 1:
+                hit[p : p + 256] = b"\x01" * 256
+        words = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", d)]
+        runs = [m.span() for m in re.finditer(rb"\x01+", bytes(hit))]
+        inside = [sum(a <= w and z <= b for w, z in words) for a, b in runs]
+        out[doc] = sum(n for n in inside if n >= least)
+    return out
+
+
+@pytest.mark.parametrize("block, piece", [(4_096, 1 << 20), (3, 700)])
+def test_passages_equal_brute_force(spark, monkeypatch, block, piece):
+    monkeypatch.setattr(repeats, "BLOCK", block)
+    monkeypatch.setattr(repeats, "PIECE", piece)
+    rng = random.Random(5)
+    make = lambda n: "".join(rng.choices("abcé  \n\t", k=n))
+    shared = [make(n) for n in (240, 256, 270, 330, 399, 520)]
+    texts = [None, "", make(256), make(390), "la " * 200, "lo " * 84]
+    for _ in range(60):
+        parts = [make(rng.randint(0, 200))]
+        for _ in range(rng.randint(0, 3)):
+            s = rng.choice(shared)
+            parts += [s[rng.randint(0, 12) : len(s) - rng.randint(0, 12)], make(rng.randint(0, 90))]
+        texts.append("".join(parts))
+    rows = list(enumerate([*texts, texts[3], texts[2]]))
+    docs = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], SCHEMA).repartition(3)
+    got = [tuple(r) for r in repeats.remove_repeats(docs, passage_words=51).collect()]
+    assert {r[0]: r[-1] for r in got} == passages(rows, 51)
+    assert sorted((r[:-1] for r in got), key=repr) == brute(rows)
+
+
+def test_query_counts_passages_shorter_than_removed_strings(spark, tmp_path):
+    passage = " ".join(f"word{i}" for i in range(51))
+    assert 256 <= len(passage) < 400
+    rows = [(1, f"one {passage} end"), (2, f"{passage}\nother"), (3, " ".join(f"v{i}" for i in range(90))), (4, f"x{passage}")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_removed, r.n_passage_words) for r in QUERIES["op7_repeats"](spark, str(tmp_path)).collect()}
+    assert got == {1: (0, 51), 2: (0, 51), 3: (0, 0), 4: (0, 0)}
